@@ -3,14 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfspark.llm import exact, slots
+from shelfspark.llm import bpe, chat, exact, mix, slots
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix.mix(_read(spark, sf_dir, "documents"))
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.lit("\\### Assistant: </turn> ok")
+    planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
+    turns = chat.canonical_turns(_read(spark, sf_dir, "conversations")).unionByName(chat.canonical_turns(planted))
+    return chat.digests(chat.format_turns(turns))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(_read(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(_read(spark, sf_dir, "documents"))
 
@@ -19,9 +35,22 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.shard_documents(_read(spark, sf_dir, "documents"), shards=40)
 
 
-QUERIES = {"op7_exact_dedup": op7_exact_dedup, "op8_sharding": op8_sharding}
+QUERIES = {"op2_mixing": op2_mixing, "op4_chat": op4_chat, "op6_bpe": op6_bpe, "op7_exact_dedup": op7_exact_dedup, "op8_sharding": op8_sharding}
 
 ORACLES = {
+    "op4_chat": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+        ), e AS (
+            SELECT *, replace(replace(replace(role || text, '\', '\b'), '<', '\l'), '>', '\g') AS body,
+                   CASE WHEN role = 'assistant' THEN text ELSE '' END AS loss FROM t
+        )
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               sum(length(loss))::BIGINT AS loss_chars, sha256(string_agg(loss, '' ORDER BY turn, role, text)) AS loss_sha256,
+               sum(length(body) + length('<turn:></turn>') + 1)::BIGINT AS formatted_chars
+        FROM e GROUP BY conv_id
+    """,
     "op7_exact_dedup": r"""
         WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
         SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
