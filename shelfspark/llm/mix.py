@@ -94,8 +94,12 @@ def _fold(level: int):
     return run
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Every row with ``doc_id, size, source_size, target, taken, copies``, and the columns in ``keep``.
+def _row_hash(docs: DataFrame) -> Column:
+    return F.xxhash64(docs["doc_id"].cast("long"), docs["source"].cast("string"), docs["text"].cast("string")).alias("h")
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
+    """Every row as ``doc_id, source, h, size, source_size, target, taken, copies``; ``h`` hashes id, source and text.
 
     Null text has size 0; rows of size 0 are copied as often as their source's
     whole part says and take no words. Repeated rows are rounded each on its
@@ -107,8 +111,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOS
     row at most; ``FAN`` of those meet in the next fold. So a source with a
     third of all rows spreads over as many tasks as it has chunks.
     """
-    text = F.col("text").cast("string")
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(text).alias("size"), F.xxhash64("doc_id", text).alias("h"), *keep)
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text").cast("string")).alias("size"), _row_hash(docs))
     base = cut(rows, "sizes")
     of = targets(base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")), weights, most)
     of = cut(of.withColumn("chunks", F.greatest(F.lit(1), F.ceil(F.col("n") / CHUNK)).cast("long")), "targets")
@@ -128,4 +131,17 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOS
     for x in done:
         out = out.unionByName(x)
     out = out.withColumn("copies", (F.col("whole") + F.col("part")).cast("long"))
-    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", *keep)
+    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source", "h")
+
+
+def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
+    """The mix itself: the columns of ``docs``, each row as often as it is taken; rows not taken are gone.
+
+    Rows equal in id, source and text count as repeats of one row. The text
+    moves once, to meet its number of copies.
+    """
+    key = F.struct(F.col("doc_id").cast("long").isNull(), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), _row_hash(docs))
+    times = mix(docs, weights, most).groupBy("doc_id", "h").agg(F.sum("copies").alias("n")).filter("n > 0")
+    times = times.select(F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), "h").alias("k_"), F.col("n").alias("n_"))
+    rows = docs.withColumn("k_", key).dropDuplicates(["k_"]).join(times, "k_")
+    return rows.withColumn("n_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_")))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -13,7 +13,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix.mix(_read(spark, sf_dir, "documents"))
+    return mix.mix(_read(spark, sf_dir, "documents")).drop("source", "h")
 
 
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
