@@ -77,7 +77,8 @@ def _snap(x: float) -> float:
 
 def _fold(level: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["h", "doc_id", "size"], na_position="last", kind="stable").reset_index(drop=True)
+        # Largest first: equals meet equals, and what stays fractional at the end is small.
+        rows = rows.sort_values(["size", "h", "doc_id"], ascending=[False, True, True], na_position="last", kind="stable").reset_index(drop=True)
         part, size, h = rows["part"].to_numpy(float).copy(), rows["size"].to_numpy(float), rows["h"].to_numpy()
         r = -1
         for i in range(len(part)):
