@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import bpe, chat, exact, mix, near, slots
+from shelfspark.llm import bpe, chat, exact, lines, mix, near, slots
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -39,7 +39,11 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.shard_documents(_read(spark, sf_dir, "documents"), shards=40)
 
 
-QUERIES = {"op2_mixing": op2_mixing, "op3_near_dedup": op3_near_dedup, "op4_chat": op4_chat, "op6_bpe": op6_bpe, "op7_exact_dedup": op7_exact_dedup, "op8_sharding": op8_sharding}
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digests(_read(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op10_line_dedup": op10_line_dedup, "op2_mixing": op2_mixing, "op3_near_dedup": op3_near_dedup, "op4_chat": op4_chat, "op6_bpe": op6_bpe, "op7_exact_dedup": op7_exact_dedup, "op8_sharding": op8_sharding}
 
 ORACLES = {
     "op4_chat": r"""
