@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import bpe, chat, exact, lines, mix, near, slots
+from shelfspark.llm import bpe, chat, exact, langid, lines, mix, near, slots
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict_documents(_read(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix(_read(spark, sf_dir, "documents")).drop("source", "h")
 
@@ -43,7 +47,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digests(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op10_line_dedup": op10_line_dedup, "op2_mixing": op2_mixing, "op3_near_dedup": op3_near_dedup, "op4_chat": op4_chat, "op6_bpe": op6_bpe, "op7_exact_dedup": op7_exact_dedup, "op8_sharding": op8_sharding}
+QUERIES = {"op1_language": op1_language, "op10_line_dedup": op10_line_dedup, "op2_mixing": op2_mixing, "op3_near_dedup": op3_near_dedup, "op4_chat": op4_chat, "op6_bpe": op6_bpe, "op7_exact_dedup": op7_exact_dedup, "op8_sharding": op8_sharding}
 
 ORACLES = {
     "op4_chat": r"""
