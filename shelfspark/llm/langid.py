@@ -20,7 +20,6 @@ from shelfspark.llm import segment
 
 #: Documents of each language to learn from, about; a sample by hash, whole texts, of any corpus.
 SAMPLE = 400
-BITS = 16
 PENALTY = 6.0
 #: A script is a language's if it has this share of its letters.
 SHARE = 0.01
@@ -37,46 +36,28 @@ NAMES = ("other", *dict.fromkeys(n for n, _, _ in SCRIPTS))
 
 
 @lru_cache
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """Whether each code point is a letter, and its script."""
-    letter = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+def _scripts() -> np.ndarray:
+    """The script of each code point."""
     script = np.zeros(0x110000, np.uint8)
     for name, a, b in SCRIPTS:
         script[a : b + 1] = NAMES.index(name)
-    return letter, script
-
-
-def _words(texts: list[str]) -> tuple[np.ndarray, ...]:
-    """Code points, lower-cased, where each document starts, what are letters, and each word's start, end and document."""
-    cp, at = segment.codepoints([t.lower() for t in texts])
-    inside = _tables()[0][cp]
-    starts, ends = segment.runs(inside)
-    return cp, at, inside, starts, ends, np.searchsorted(at, starts, side="right") - 1
-
-
-def _trigrams(cp: np.ndarray, inside: np.ndarray) -> np.ndarray:
-    """For each place the bucket of the three characters around it; what is no letter is a word's edge."""
-    c = np.where(inside, cp, 32).astype(np.uint32)
-    left, right = np.empty_like(c), np.empty_like(c)
-    left[0], left[1:], right[-1], right[:-1] = 32, c[:-1], 32, c[1:]
-    x = (left * np.uint32(0x9E3779B1) ^ c) * np.uint32(0x85EBCA6B) ^ right
-    return (x * np.uint32(0xC2B2AE35)) >> np.uint32(32 - BITS)
+    return script
 
 
 def _learn(langs: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(langs), 1 << BITS), np.int64)
+        counts = np.zeros((len(langs), 1 << segment.TRIGRAM_BITS), np.int64)
         scripts = np.zeros((len(langs), len(NAMES)), np.int64)
         for batch in batches:
             of = np.array([langs.index(x) for x in batch.column(1).to_pylist()], np.int64)
             for at, texts in segment.chunks(batch.column(0).to_pylist()):
-                cp, _, inside, starts, ends, doc = _words(texts)
+                cp, _, inside, starts, ends, doc = segment.letter_words(texts)
                 if not len(starts):
                     continue
                 lang = np.repeat(of[at + doc], ends - starts)
                 places = np.flatnonzero(inside)
-                counts += np.bincount(lang << BITS | _trigrams(cp, inside)[places], minlength=counts.size).reshape(counts.shape)
-                scripts += np.bincount(lang * len(NAMES) + _tables()[1][cp[places]], minlength=scripts.size).reshape(scripts.shape)
+                counts += np.bincount(lang << segment.TRIGRAM_BITS | segment.trigrams(cp, inside)[places], minlength=counts.size).reshape(counts.shape)
+                scripts += np.bincount(lang * len(NAMES) + _scripts()[cp[places]], minlength=scripts.size).reshape(scripts.shape)
         for k, lang in enumerate(langs):
             if counts[k].any():
                 used = np.flatnonzero(counts[k])
@@ -99,14 +80,14 @@ class Model:
         seen = np.zeros((len(at) - 1, len(NAMES)), np.int64)
         place = np.flatnonzero(inside)
         doc = np.searchsorted(at, place, side="right") - 1
-        seen += np.bincount(doc * len(NAMES) + _tables()[1][cp[place]], minlength=seen.size).reshape(seen.shape)
+        seen += np.bincount(doc * len(NAMES) + _scripts()[cp[place]], minlength=seen.size).reshape(seen.shape)
         used = seen >= np.maximum(0.1 * seen.sum(1, keepdims=True), 1)
         ok = (used.astype(np.float32) @ self.scripts.astype(np.float32)) > 0
         return ok | ~ok.any(1, keepdims=True)
 
     def scores(self, cp: np.ndarray, inside: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """By word and language."""
-        tri = _trigrams(cp, inside)
+        tri = segment.trigrams(cp, inside)
         out = np.empty((len(starts), len(self.langs)), np.float32)
         for k in range(len(self.langs)):
             x = self.table[:, k][tri]
@@ -149,7 +130,7 @@ class Model:
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, list[list[tuple[str, int]]]]:
         """Language and score of each text, and its spans: language and number of words, in order."""
-        cp, at, inside, starts, ends, doc = _words(texts)
+        cp, at, inside, starts, ends, doc = segment.letter_words(texts)
         k = len(self.langs)
         if not len(starts) or not k:
             return [UND] * len(texts), np.zeros(len(texts)), [[] for _ in texts]
@@ -176,10 +157,10 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     found = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(found)
     if not langs:
-        return Model([], np.zeros((0, 1 << BITS)), np.zeros((0, len(NAMES))))
+        return Model([], np.zeros((0, 1 << segment.TRIGRAM_BITS)), np.zeros((0, len(NAMES))))
     share = F.element_at(F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(min(1.0, sample / found[k])))]), F.col("lang"))
     taken = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * (1 << 30))
-    counts, scripts = np.zeros((len(langs), 1 << BITS)), np.zeros((len(langs), len(NAMES)))
+    counts, scripts = np.zeros((len(langs), 1 << segment.TRIGRAM_BITS)), np.zeros((len(langs), len(NAMES)))
     for r in taken.mapInArrow(_learn(langs), "lang string, bucket array<int>, n array<long>, scripts array<long>").toLocalIterator():
         counts[langs.index(r.lang)][np.array(r.bucket)] += r.n
         scripts[langs.index(r.lang)] += r.scripts

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import bpe, chat, exact, langid, lines, mix, near, slots
+from shelfspark.llm import bpe, chat, exact, langid, lines, mix, near, slots, toxic
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_turns(turns))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic.score_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(_read(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digests(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_language": op1_language, "op10_line_dedup": op10_line_dedup, "op2_mixing": op2_mixing, "op3_near_dedup": op3_near_dedup, "op4_chat": op4_chat, "op6_bpe": op6_bpe, "op7_exact_dedup": op7_exact_dedup, "op8_sharding": op8_sharding}
+QUERIES = {"op1_language": op1_language, "op10_line_dedup": op10_line_dedup, "op2_mixing": op2_mixing, "op3_near_dedup": op3_near_dedup, "op4_chat": op4_chat, "op5_toxicity": op5_toxicity, "op6_bpe": op6_bpe, "op7_exact_dedup": op7_exact_dedup, "op8_sharding": op8_sharding}
 
 ORACLES = {
     "op4_chat": r"""

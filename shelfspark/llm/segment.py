@@ -10,6 +10,7 @@ import numpy as np
 #: Characters that a chunk holds, about; a longer document is a chunk of its own.
 CHUNK = 1 << 20
 _P = 0x9E3779B97F4A7C15 | 1
+TRIGRAM_BITS = 16
 _SPACES = (9, 10, 11, 12, 13, 32)
 
 
@@ -87,3 +88,25 @@ def words(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inside = _space_table()[np.minimum(cp, 63)]
     starts, ends = runs(inside)
     return starts, ends, hash_runs(cp, inside, starts)
+
+
+@lru_cache
+def _letters() -> np.ndarray:
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+
+
+def letter_words(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """Lower-cased code points, where each text starts, what are letters, and each word's start, end and text."""
+    cp, at = codepoints([t.lower() for t in texts])
+    inside = _letters()[cp]
+    starts, ends = runs(inside)
+    return cp, at, inside, starts, ends, np.searchsorted(at, starts, side="right") - 1
+
+
+def trigrams(cp: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """For each place the bucket of the three characters around it; what is no letter is a word's edge."""
+    c = np.where(inside, cp, 32).astype(np.uint32)
+    left, right = np.empty_like(c), np.empty_like(c)
+    left[0], left[1:], right[-1], right[:-1] = 32, c[:-1], 32, c[1:]
+    x = (left * np.uint32(0x9E3779B1) ^ c) * np.uint32(0x85EBCA6B) ^ right
+    return (x * np.uint32(0xC2B2AE35)) >> np.uint32(32 - TRIGRAM_BITS)
