@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import bpe, chat, exact, langid, lines, mix, near, slots, toxic
+from shelfspark.llm import ann, bpe, chat, exact, langid, lines, mix, near, slots, toxic
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -47,11 +47,26 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.shard_documents(_read(spark, sf_dir, "documents"), shards=40)
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_read(spark, sf_dir, "embeddings"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digests(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_language": op1_language, "op10_line_dedup": op10_line_dedup, "op2_mixing": op2_mixing, "op3_near_dedup": op3_near_dedup, "op4_chat": op4_chat, "op5_toxicity": op5_toxicity, "op6_bpe": op6_bpe, "op7_exact_dedup": op7_exact_dedup, "op8_sharding": op8_sharding}
+QUERIES = {
+    "op1_language": op1_language,
+    "op2_mixing": op2_mixing,
+    "op3_near_dedup": op3_near_dedup,
+    "op4_chat": op4_chat,
+    "op5_toxicity": op5_toxicity,
+    "op6_bpe": op6_bpe,
+    "op7_exact_dedup": op7_exact_dedup,
+    "op8_sharding": op8_sharding,
+    "op9_nearest": op9_nearest,
+    "op10_line_dedup": op10_line_dedup,
+}
 
 ORACLES = {
     "op4_chat": r"""
