@@ -116,3 +116,14 @@ def exact_groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         "doc_id", F.col("keep.doc_id").alias("keep_id"), F.col("group_size").cast("long").alias("group_size"),
         ((F.col("gid") == F.col("keep.gid")) & (F.col("at") == F.col("first"))).alias("kept"), F.col("sha").alias("text_sha256"),
     )
+
+
+def deduplicated(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns; the text moves once more.
+
+    Rows equal in id and normalised text count as one.
+    """
+    kept = exact_groups(docs, block).filter("kept").select(F.coalesce("doc_id", F.lit(-1)).alias("d_"), F.col("text_sha256").alias("s_")).distinct()
+    norm = F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), r"[ \x09-\x0D]{2,}|[\x09-\x0D]", " ")
+    rows = docs.withColumns({"d_": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), "s_": F.sha2(norm.cast("binary"), 256)})
+    return rows.dropDuplicates(["d_", "s_"]).join(kept, ["d_", "s_"], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
