@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from shelfspark.plans import catalog, scalars
+
+MODULES = (scalars, catalog)
+QUERIES: dict = {k: f for m in MODULES for k, f in m.QUERIES.items()}
+ORACLES: dict = {k: s for m in MODULES for k, s in m.ORACLES.items()}
