@@ -37,8 +37,8 @@ present AS (SELECT a.product, a.tag, c.path FROM (SELECT DISTINCT product, tag F
 covered AS (SELECT DISTINCT product, unnest(path[1:len(path) - 1]) AS tag FROM present),
 open_ AS (SELECT p.*, c.tag IS NULL AS free FROM present p LEFT JOIN covered c USING (product, tag)),
 leaves AS (SELECT product, tag, path, row_number() OVER (PARTITION BY product ORDER BY len(path) DESC, tag) AS leaf_rank FROM (SELECT *, bool_or(free) OVER (PARTITION BY product) AS any_free FROM open_) WHERE free OR NOT any_free),
-pairs AS (SELECT product, node, r.path, min((leaf_rank, address_rank, step)) AS at FROM leaves l JOIN rendered r ON r.id = l.tag GROUP BY ALL),
-unions AS (SELECT product, node, path, at[1] = 1 AND at[2] = 1 AS is_primary, row_number() OVER (PARTITION BY product ORDER BY at, node, path) AS ord FROM pairs),
+pairs AS (SELECT product, node, r.path, min((leaf_rank, address_rank, step)) AS spot FROM leaves l JOIN rendered r ON r.id = l.tag GROUP BY ALL),
+unions AS (SELECT product, node, path, spot[1] = 1 AND spot[2] = 1 AS is_primary, row_number() OVER (PARTITION BY product ORDER BY spot, node, path) AS ord FROM pairs),
 strings AS (SELECT product, path, is_primary, row_number() OVER (PARTITION BY product ORDER BY o) AS ord FROM (SELECT product, path, min(ord) AS o, bool_or(is_primary) AS is_primary FROM unions GROUP BY ALL))"""
 ENTRIES = """,
 labelled AS (SELECT product, pos, tag, label FROM accepted JOIN labels ON labels.id = tag WHERE lower(trim(label)) NOT IN ('undefined', 'unknown', 'null', 'none', 'n/a', 'na', '') QUALIFY row_number() OVER (PARTITION BY product, label ORDER BY pos) = 1)"""
