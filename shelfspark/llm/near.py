@@ -1,7 +1,7 @@
 """Near duplicates: consistent weighted sampling over TF-IDF shingles, bands, verified links, components.
 
-A text is the weighted set of its shingles of five words: times in the text,
-scaled by a damped inverse document frequency. Improved consistent weighted
+A text is the weighted set of its shingles of five words: one plus the logarithm
+of times in the text, scaled by a damped inverse document frequency. Improved consistent weighted
 sampling draws a sample that two texts share with the probability of their
 weighted Jaccard similarity; bands of samples propose pairs, and the similarity
 itself decides.
@@ -21,15 +21,17 @@ from shelfspark.llm import segment
 from shelfspark.session import cut
 
 WORDS, SIMILARITY = 5, 0.8
-#: 16 bands of 3 samples miss a pair at 0.8 once in 97,000 times.
-BANDS, ROWS = 16, 3
+#: Bands are drawn from the samples, so that they overlap; a pair at 0.8 is missed about once in 10,000 times.
+SAMPLES, BANDS, ROWS = 96, 32, 5
 #: Document frequencies are counted in this many buckets; the table has this size at any scale.
 BUCKETS, SLICES = 1 << 20, 64
 #: Shingles in less than RARE of all documents weigh 1, those in all of them 1 - DAMP.
 RARE, DAMP = 0.001, 0.2
-#: Buckets of up to so many texts are compared pair by pair; larger ones by pivots, twice as many in each round.
-SMALL = 24
+#: How many times as many pivots a bucket may have in each round.
+GROWTH = 8
 ID_BITS = 44
+#: Bits of the sketch that rules out pairs whose estimate is four standard deviations below the similarity.
+SKETCH, DEVIATIONS = 1024, 4
 _DRAWS = 1 << 16
 U = np.uint64
 
@@ -108,7 +110,7 @@ class Sampler:
         self.r, self.c = rng.gamma(2, 1, _DRAWS), rng.gamma(2, 1, _DRAWS)
         self.beta = rng.random(_DRAWS)
         self.usual = self.key(1.0, np.arange(_DRAWS))
-        self.factors = segment.mix(np.arange(1, BANDS * ROWS + 1, dtype=U) << U(20)) | U(1)
+        self.factors = segment.mix(np.arange(1, SAMPLES + SKETCH + 1, dtype=U) << U(20)) | U(1)
 
     def key(self, weight, draw: np.ndarray) -> np.ndarray:
         """The sampling value as the high half of a number that sorts like it."""
@@ -118,16 +120,16 @@ class Sampler:
         return a.astype(np.float32).view(np.uint32).astype(U) << U(32)
 
     def of(self, ids: np.ndarray, times: np.ndarray) -> np.ndarray:
-        return times * self.weights[(ids & U(BUCKETS - 1)).astype(np.int64)]
+        return (1 + np.log(times)) * self.weights[(ids & U(BUCKETS - 1)).astype(np.int64)]
 
-    def samples(self, owner: np.ndarray, ids: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def samples(self, owner: np.ndarray, ids: np.ndarray, weight: np.ndarray, first: int = 0, last: int = SAMPLES) -> tuple[np.ndarray, np.ndarray]:
         """The texts that have shingles, and a row of samples for each: value and shingle in one number."""
         edge = np.concatenate(([0], np.flatnonzero(owner[1:] != owner[:-1]) + 1))
         h = segment.mix(ids)
         low = h & U(0xFFFFFFFF)
         odd = np.flatnonzero(weight != 1)
-        out = np.empty((len(edge), BANDS * ROWS), U)
-        for k, f in enumerate(self.factors):
+        out = np.empty((len(edge), last - first), U)
+        for k, f in enumerate(self.factors[first:last]):
             draw = (h * f >> U(48)).astype(np.int64)
             key = self.usual[draw]
             if len(odd):
@@ -138,11 +140,13 @@ class Sampler:
 
 
 def bands(samples: np.ndarray) -> np.ndarray:
-    """One number a band: equal where all its samples are."""
-    x = samples.reshape(len(samples), BANDS, ROWS)
+    """One number a band: equal where all its samples are. Each sample is in as many bands as any other, or one more."""
+    rng = np.random.default_rng(5)
+    drawn = np.concatenate([rng.permutation(SAMPLES) for _ in range(-(-BANDS * ROWS // SAMPLES) + 1)])
+    which = [drawn[k * ROWS : (k + 1) * ROWS] for k in range(BANDS)]
     out = segment.mix(np.arange(1, BANDS + 1, dtype=U))[None, :].repeat(len(samples), 0)
     for k in range(ROWS):
-        out = segment.mix(out + x[:, :, k])
+        out = segment.mix(out + samples[:, [w[k] for w in which]])
     return out.view(np.int64)
 
 
@@ -179,7 +183,7 @@ def _features(weights):
                 edge = np.searchsorted(owner, np.arange(len(texts) + 1))
                 for d in range(len(texts)):
                     rows[at + d] = short[edge[d] : edge[d + 1]].tobytes(), w[edge[d] : edge[d + 1]].tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())], names=["node", "ids", "w"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary()), pa.array([float(np.frombuffer(r[1], np.float32).sum(dtype=float)) for r in rows])], names=["node", "ids", "w", "total"])
 
     return run
 
@@ -208,64 +212,128 @@ def _verify(threshold: float):
     return run
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``node, label`` for every node of ``links(a, b)``: the smallest node that it is joined to.
+def components(links: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """``node, label`` for every node of ``links(a, b)`` and of ``before``, an earlier result that they extend.
 
-    Each round a node takes the smallest label among its neighbours' and then
-    its label's label, so chains halve; hubs are combined before they move.
+    A node's label is the smallest node that it is joined to. Each round takes
+    the smallest label among neighbours and the label's label, so chains halve;
+    hubs are combined before they move. Labels only fall, so an unchanged sum
+    ends it.
     """
-    both = cut(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct(), "edges")
-    now = cut(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
-    while True:
-        near = both.join(now, both["b"] == now["node"]).groupBy("a").agg(F.min("label").alias("m"))
-        new = now.join(near, now["node"] == near["a"]).select("node", "label", F.least("label", "m").alias("m"))
-        up = new.select(F.col("node").alias("up"), F.col("m").alias("upper"))
-        new = cut(new.join(up, new["m"] == up["up"]).select("node", F.col("label").alias("old"), F.least("m", "upper").alias("label")), "labels")
-        now = new.select("node", "label")
-        if new.filter("old != label").isEmpty():
-            return now
-
-
-def links_of(members: DataFrame, texts: DataFrame, weights, threshold: float) -> tuple[DataFrame, DataFrame | None]:
-    """All verified ``a, b, similarity`` needed to join the texts that share a band, and the labels these give.
-
-    ``members(key, node)`` are bands' buckets. In a round, each bucket pairs
-    its pivots with its other members; in a bucket of up to SMALL texts all
-    are pivots. Pairs already joined are left out; a pivot that has met all
-    others leaves its bucket. Rounds go on until every pair of a bucket was
-    compared or joined, so no link is lost to a cap, and a group of near
-    copies takes as many pairs as it has members.
+    edges = links.select("a", "b").union(links.select("b", "a"))
+    if before is not None:
+        edges = edges.union(before.select("node", "label")).union(before.select("label", "node"))
+    now = cut(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
+    total = now.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
+    while total is not None:
+        wider = edges.union(now.select("node", "label")).union(now.select("node", "node")).toDF("a", "b")
+        now = cut(wider.join(now.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("label")).withColumnRenamed("a", "node"), "labels")
+        total, last = now.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0], total
+        if total == last:
+            break
+    return now
+
+
+def pivots_of(now: DataFrame, parts: int) -> DataFrame:
+    """By bucket of ``now(key, node, ...)`` its pivots ``ps``: the smallest node of each of ``parts`` parts by hash."""
+    best = F.min(F.struct(*[c for c in now.columns if c != "key"])).alias("p")
+    if parts == 1:
+        return now.groupBy("key").agg(best, F.count("*").alias("n")).filter("n > 1").select("key", F.array("p").alias("ps"))
+    some = now.groupBy("key", F.pmod(F.xxhash64("node", F.lit(parts)), F.lit(parts)).alias("part")).agg(best)
+    return some.groupBy("key").agg(F.collect_list("p").alias("ps"))
+
+
+def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = [np.frombuffer(x.as_buffer(), np.int32) for x in batch.column(1)]
+        w = [np.frombuffer(x.as_buffer(), np.float32) for x in batch.column(2)]
+        node = np.repeat(batch.column(0).to_numpy(), [len(x) for x in ids])
+        step = 1 << 18
+        ids, w = (np.concatenate(x) if x else np.zeros(0) for x in (ids, w))
+        for i in range(0, len(node), step):
+            yield pa.RecordBatch.from_arrays([pa.array(node[i : i + step], pa.int64()), pa.array(ids[i : i + step], pa.int32()), pa.array(w[i : i + step], pa.float32())], names=["node", "id", "w"])
+
+
+def shared_weights(feats: DataFrame) -> DataFrame:
+    """``node, total, shared``: a text's weight, and that of its shingles that another of these texts has too."""
+    once = feats.select("node", "ids", "w").mapInArrow(_explode, "node long, id int, w float")
+    once = once.groupBy("id").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.min("w").alias("w")).filter("n = 1")
+    alone = once.groupBy("node").agg(F.sum("w").alias("alone"))
+    return feats.select("node", "total").join(alone, "node", "left").select("node", "total", (F.col("total") - F.coalesce("alone", F.lit(0.0))).alias("shared"))
+
+
+def _sketch(weights):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sampler = Sampler(weights.value)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 64):
+                part = batch.slice(i, 64)
+                ids, w = ([np.frombuffer(x.as_buffer(), kind) for x in part.column(k)] for k, kind in ((1, np.uint32), (2, np.float32)))
+                owner = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
+                _, samples = sampler.samples(owner, np.concatenate(ids).astype(U), np.concatenate(w).astype(float), SAMPLES, SAMPLES + SKETCH)
+                bits = np.packbits((segment.mix(samples) & U(1)).astype(np.uint8), axis=1).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(list(bits), pa.list_(pa.int64()))], names=["node", "sketch"])
+
+    return run
+
+
+def _alike(p, threshold: float):
+    """Whether what is known of a row and a pivot allows the similarity: weights, shared weights, sketches."""
+    near, share = threshold - 1e-6, threshold / (1 + threshold) - 1e-6
+    differ = SKETCH * (1 - threshold) / 2
+    most = differ + DEVIATIONS * float(np.sqrt(differ * (1 - differ / SKETCH)))
+    apart = F.aggregate(F.zip_with("sketch", p["sketch"], lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    weighs = F.least(p["total"], F.col("total")) >= near * F.greatest(p["total"], F.col("total"))
+    return weighs & (F.least(p["shared"], F.col("shared")) >= share * (p["total"] + F.col("total"))) & (apart <= most)
+
+
+def labels_of(members: DataFrame, texts, weights, threshold: float) -> DataFrame | None:
+    """``node, label`` for all nodes that verified links join, from ``members(key, node)``, the bands' buckets.
+
+    In a round each bucket's pivots are compared with its other members that
+    are not joined to them yet; then pivots leave, and so do buckets whose
+    members are all joined. A bucket has one pivot first, then up to GROWTH
+    times as many in each round, until every pair of a bucket was compared,
+    joined or ruled out: no link is lost to a cap, and a group of near copies
+    takes about as many pairs as it has members.
+
+    After the first round pairs are ruled out by what bounds their similarity,
+    the weights of both and how much of it lies on shingles that any other text
+    still in a bucket has, and by sketches, which err once in 30,000 times for
+    a pair at the threshold. ``texts(nodes)`` gives the texts of some nodes.
     """
-    sizes = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    now = cut(members.join(sizes, "key").select("key", "node", F.col("n"), F.col("node").alias("label")), "buckets")
-    wanted = now.select("node").distinct()
-    feats = cut(texts.join(wanted, "node").select("node", "text").mapInArrow(_features(weights), "node long, ids binary, w binary"), "features")
-    links, labels, tries = None, None, 1
-    while not now.isEmpty():
-        order = F.xxhash64("key", "node", F.lit(tries))
-        if tries == 1:
-            pivots = now.groupBy("key").agg(F.min(F.struct(order.alias("o"), "node", "label")).alias("p")).select("key", F.array("p").alias("ps"))
-        else:
-            firsts = F.slice(F.sort_array(F.collect_list(F.struct(order.alias("o"), "node", "label"))), 1, SMALL)
-            few = now.filter(F.col("n") <= SMALL).groupBy("key").agg(firsts.alias("ps"))
-            low = now.filter(F.col("n") > SMALL).withColumn("o", order)
-            low = low.groupBy("key", F.pmod("o", F.lit(tries)).alias("part")).agg(F.min(F.struct("o", "node", "label")).alias("p"))
-            pivots = few.union(low.groupBy("key").agg(F.collect_list("p").alias("ps")))
-        pivots = pivots.select("key", F.explode("ps").alias("p")).select("key", F.col("p.node").alias("pn"), F.col("p.label").alias("pl"))
-        pivots = cut(pivots, "pivots")
-        pairs = now.join(pivots, "key").filter("node != pn AND label != pl").select(F.least("node", "pn").alias("a"), F.greatest("node", "pn").alias("b")).distinct()
-        pairs = cut(pairs, "pairs")
+    now, parts, labels, feats = members.withColumn("label", F.col("node")), 1, None, None
+    while True:
+        pivots = cut(pivots_of(now, parts), "pivots")
+        both = now.join(pivots, "key")
+        if feats is None:
+            both = cut(both, "buckets")
+            feats = cut(texts(both.select("node").distinct()).mapInArrow(_features(weights), "node long, ids binary, w binary, total double"), "features")
+        fits = lambda p: (p["node"] != F.col("node")) & (p["label"] != F.col("label"))
+        met = F.filter("ps", fits if parts == 1 else lambda p: fits(p) & _alike(p, threshold))
+        # A node meets most pivots in several bands; its list, of at most BANDS buckets' pivots, has each once.
+        lists = both.select("node", F.transform(met, lambda p: p["node"]).alias("m")).filter(F.size("m") > 0)
+        pairs = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("m"))).alias("m")).select("node", F.explode("m").alias("p"))
+        pairs = cut(pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct(), "pairs")
         a, b = (feats.select(F.col("node").alias(x), F.col("ids").alias(f"i{x}"), F.col("w").alias(f"w{x}")) for x in "ab")
         found = pairs.join(a, "a").join(b, "b").select("a", "b", "ia", "wa", "ib", "wb")
-        new = cut(found.mapInArrow(_verify(threshold), "a long, b long, similarity double").filter(F.col("similarity") >= threshold), "links")
-        links = new if links is None else links.union(new)
-        labels = components(links)
-        met = pivots.select("key", F.col("pn").alias("node"))
-        rest = now.drop("label").join(met, ["key", "node"], "left_anti").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        open_ = rest.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).filter("lo != hi").select("key", "n")
-        now = cut(rest.drop("n").join(open_, "key").select("key", "node", "n", "label"), "buckets")
-        tries *= 2
-    return links, labels
+        links = cut(found.mapInArrow(_verify(threshold), "a long, b long, similarity double").filter(F.col("similarity") >= threshold), "links")
+        if not links.isEmpty():
+            labels = components(links, labels)
+        met_all = pivots.select("key", F.explode("ps").alias("p")).select("key", F.col("p.node").alias("node"))
+        rest = (both.drop("ps") if parts == 1 else now).join(met_all, ["key", "node"], "left_anti")
+        if labels is not None:
+            rest = rest.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        open_ = rest.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("key")
+        rest = cut(rest.join(open_, "key"), "open")
+        if rest.isEmpty():
+            return labels
+        if parts == 1:
+            some = cut(feats.join(rest.select("node").distinct(), "node", "left_semi"), "left")
+            able = cut(shared_weights(some).filter(F.col("shared") >= (threshold - 1e-6) * F.col("total")), "weights")
+            sketches = some.join(able.select("node"), "node", "left_semi").select("node", "ids", "w").mapInArrow(_sketch(weights), "node long, sketch array<long>")
+            rest = cut(rest.join(able.join(sketches, "node"), "node"), "open")
+        now, parts = rest.select("key", "node", "label", "total", "shared", "sketch"), parts * GROWTH
 
 
 def near_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
@@ -289,15 +357,13 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")
     nodes = cut(signed.filter("node is not null").groupBy("node").agg(F.min(F.struct(row.alias("r"), "doc_id", "th", "bands")).alias("m")).select("node", "m.doc_id", "m.th", "m.bands"), "nodes")
     members = nodes.select(F.explode("bands").alias("key"), "node")
-    keyed = rows.withColumn("k", F.coalesce("doc_id", F.lit(-1)))
-    # One text a node: the smallest row's. Repeated rows have the same text, so any will do.
-    one = nodes.select("node", F.coalesce("doc_id", F.lit(-1)).alias("k"), "th")
-    buckets = cut(members, "members")
-    sizes = buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    wanted = cut(buckets.join(sizes, "key").select("key", "node"), "shared")
-    chosen = one.join(wanted.select("node").distinct(), "node", "left_semi")
-    texts = keyed.join(chosen, ["k", "th"]).select("node", "text").dropDuplicates(["node"])
-    _, labels = links_of(wanted, texts, weights, threshold)
+
+    def texts(wanted: DataFrame) -> DataFrame:
+        # One text a node: the smallest row's. Repeated rows have the same text, so any will do.
+        one = nodes.select("node", F.coalesce("doc_id", F.lit(-1)).alias("k"), "th").join(wanted, "node", "left_semi")
+        return rows.withColumn("k", F.coalesce("doc_id", F.lit(-1))).join(one, ["k", "th"]).select("node", "text").dropDuplicates(["node"])
+
+    labels = labels_of(members, texts, weights, threshold)
     of = signed.select("uid", "doc_id", "th", "node")
     if labels is not None:
         of = of.join(labels, "node", "left")
