@@ -20,7 +20,7 @@ from shelfspark.llm.langid import held_out
 
 #: Toxic documents to learn from, about, how many times as many clean ones, and the longest of them in
 #: characters. These bound the fit; scoring has no such bound.
-SAMPLE, CLEAN, LONGEST = 1000, 3, 20_000
+SAMPLE, CLEAN, LONGEST = 1000, 3, 10_000
 WINDOW, STRIDE = 32, 16
 WORD_BITS, CHAR_BITS = 17, 13
 #: Words in fewer documents of the sample have no embedding of their own; their trigrams speak for them.
@@ -45,6 +45,16 @@ def features(texts: list[str]) -> tuple[np.ndarray, ...]:
     return of, (h[first] >> np.uint64(64 - WORD_BITS)).astype(np.int64), tri, size, n
 
 
+def features_of_all(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """``features`` of many texts, made chunk by chunk; words are distinct within a chunk."""
+    found, words = [], 0
+    for _, part in segment.chunks(texts):
+        of, word, tri, size, n = features(part)
+        found.append((of + words, word, tri, size, n))
+        words += len(word)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 5
+
+
 def windows(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For texts of ``n`` words: each window's text, and first and last word (exclusive) among all words."""
     count = np.where(n > 0, 1 + np.maximum(0, -(-(n - WINDOW) // STRIDE)), 0)
@@ -173,7 +183,7 @@ def train(texts: list[str], y: np.ndarray, seed: int = 7) -> Net | None:
     second highest too; those train the network by Adam.
     """
     y = np.asarray(y, np.float32)
-    of, word, tri, size, n = features(texts)
+    of, word, tri, size, n = features_of_all(texts)
     if len(np.unique(y)) < 2 or not len(of):
         return None
     net, g = Net(seed), np.random.default_rng(seed)
@@ -183,13 +193,16 @@ def train(texts: list[str], y: np.ndarray, seed: int = 7) -> Net | None:
     net.row[common] = np.arange(1, len(common) + 1)
     net.p["word"] = np.zeros((len(common) + 1, D), np.float32)
     net.p["word"][1:, 0] = odds[common]
-    net.p["tri"][:, 0] = _odds(tri[_flat(starts[of], size[of])], np.repeat(owner, size[of]), y, 1 << CHAR_BITS)[0]
+    pair = np.unique(owner * len(word) + of)  # each document's distinct words
+    own, its = pair // len(word), pair % len(word)
+    net.p["tri"][:, 0] = _odds(tri[_flat(starts[its], size[its])], np.repeat(own, size[its]), y, 1 << CHAR_BITS)[0]
+    del pair, own, its
     for d in "fb":
         net.p[f"W{d}"][0, 2 * H :] = 1
     net.p["w"][:] = np.abs(net.p["w"])
     doc, first, end = windows(n)
     idx = first[:, None] + np.arange(WINDOW)
-    idx = np.where(idx < end[:, None], of[np.minimum(idx, len(of) - 1)], -1)
+    idx = np.where(idx < end[:, None], of[np.minimum(idx, len(of) - 1)], -1).astype(np.int32)
     state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
     for _ in range(ROUNDS):
