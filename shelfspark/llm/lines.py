@@ -86,10 +86,10 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     rows = rows.select("k", "th", "at", "x.raw", F.xxhash64("x.line").alias("h1"), F.xxhash64("x.line", F.lit(1)).alias("h2"), word_count(F.col("x.line")).cast("int").alias("n"))
     lines = cut(rows, "lines")
     known = line_ids(lines)
-    at = known.groupBy("k", "th").agg(*[F.collect_list(c).alias(c) for c in ("at", "name", "raw", "n")])
+    # Repeated rows have equal keys and lines, and a set holds each line of theirs once.
+    at = known.groupBy("k", "th").agg(F.collect_set(F.struct("at", "name", "raw", "n")).alias("x"))
     spans, schema = _spans(min_words)
-    # Repeated rows have equal keys and count once.
-    where = cut(at.select("k", "th", "at", "name", "raw", "n").mapInArrow(spans, schema).dropDuplicates(["k", "th", "at"]), "spans")
+    where = cut(at.select("k", "th", "x.at", "x.name", "x.raw", "x.n").mapInArrow(spans, schema), "spans")
     runs = where.filter("ahead > 0").select("k", "th", "at", F.col("ahead").alias("n")).union(where.filter("back > 0").select("k", "th", (F.col("at") - F.col("back") + 1).alias("at"), F.col("back").alias("n")))
     runs = cut(runs.distinct(), "runs")
     longest = runs.agg(F.max("n")).first()[0] or 0

@@ -402,6 +402,27 @@ def test_lines_are_those_of_brute_force(spark, least):
         assert r.text == kept and r.clean_sha256 == hashlib.sha256(kept.encode()).hexdigest()
 
 
+def test_runs_of_many_lines_in_repeated_rows(spark):
+    rng = random.Random(8)
+    pool = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 4))) for _ in range(6)]
+    texts = ["\n".join(rng.choice([*pool, *pool, "", f"own {i}"]) for _ in range(14)) for i in range(24)]
+    three = "\n".join(" ".join(f"{x}{k}" for k in range(20)) for x in "abc")
+    ids = [None if i < 4 else i for i in range(24)]
+    docs = [*zip(ids, texts, strict=True), (50, three), (51, "own a\n" + three), (None, "own b\n" + three + "\nown c")]
+    rows = docs_of(spark, [(i, t, "", "") for i, t in docs + docs[::2] + docs[-3:] + docs[:3]])
+    key = {t: k for k, (_, t) in enumerate(docs)}
+    assert len(key) == len(docs)
+    for least in (6, 13, 50):
+        # Null ids go first, in order of their texts' hashes.
+        th = {r.text: r.th for r in rows.select("text", F.xxhash64("text").alias("th")).collect()}
+        once = sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0, th[d[1]]))
+        gone = {(key[once[i][1]], n) for i, n in brute_lines([(i, t) for i, (_, t) in enumerate(once)], least)}
+        got = lines.repeated_lines(rows, least).collect()
+        text = {h: t for t, h in th.items()}
+        assert {(key[text[r.th]], r.raw) for r in got} == gone and len(got) == len(gone)
+        assert lines.digests(rows, least).count() == rows.count()
+
+
 def test_lines_odd_inputs(odd, none):
     rows = lines.digests(odd, 3).collect()
     assert len(rows) == odd.count() and lines.digests(none).count() == 0
