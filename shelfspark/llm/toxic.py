@@ -8,19 +8,20 @@ highest window's.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.llm import segment
 from shelfspark.llm.langid import held_out
+from shelfspark.session import cut
 
-#: Toxic documents to learn from, about, how many times as many clean ones, and the longest of them in
-#: characters. These bound the fit; scoring has no such bound.
-SAMPLE, CLEAN, LONGEST = 1000, 3, 10_000
+#: Toxic documents to learn from, about, and how many times as many clean ones; whole texts of any length.
+SAMPLE, CLEAN = 1000, 3
 WINDOW, STRIDE = 32, 16
 WORD_BITS, CHAR_BITS = 17, 13
 #: Words in fewer documents of the sample have no embedding of their own; their trigrams speak for them.
@@ -28,31 +29,26 @@ COMMON = 6
 D, H, A = 8, 8, 8
 ROUNDS, STEPS, BATCH, RATE, DECAY = 8, 40, 192, 0.01, 1e-4
 BLOCK = 4096
+#: Tasks that read the sample, about.
+PARTS = 32
 
 
-def features(texts: list[str]) -> tuple[np.ndarray, ...]:
-    """The words of all texts as indices of their distinct ones; those's word buckets, trigram buckets and lengths; words a text."""
+def hashed(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """The words of all texts as indices of their distinct ones; those's hashes, trigram buckets and lengths; words a text."""
     cp, _, inside, starts, ends, doc = segment.letter_words(texts)
     n = np.bincount(doc, minlength=len(texts))
     if not len(starts):
         none = np.zeros(0, np.int64)
-        return none, none, none, none, n
-    h = segment.hash_runs(cp, inside, starts)
-    _, first, of = np.unique(h, return_index=True, return_inverse=True)
+        return none, np.zeros(0, np.uint64), none, none, n
+    h, first, of = np.unique(segment.hash_runs(cp, inside, starts), return_index=True, return_inverse=True)
     size = (ends - starts)[first]
-    at = np.repeat(starts[first] - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
-    tri = (segment.trigrams(cp, inside)[at] >> (segment.TRIGRAM_BITS - CHAR_BITS)).astype(np.int64)
-    return of, (h[first] >> np.uint64(64 - WORD_BITS)).astype(np.int64), tri, size, n
+    tri = (segment.trigrams(cp, inside)[_flat(starts[first], size)] >> (segment.TRIGRAM_BITS - CHAR_BITS)).astype(np.int64)
+    return of, h, tri, size, n
 
 
-def features_of_all(texts: list[str]) -> tuple[np.ndarray, ...]:
-    """``features`` of many texts, made chunk by chunk; words are distinct within a chunk."""
-    found, words = [], 0
-    for _, part in segment.chunks(texts):
-        of, word, tri, size, n = features(part)
-        found.append((of + words, word, tri, size, n))
-        words += len(word)
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 5
+def bucket(h: np.ndarray) -> np.ndarray:
+    """The word bucket of each hash."""
+    return (h >> np.uint64(64 - WORD_BITS)).astype(np.int64)
 
 
 def windows(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,13 +87,6 @@ class Net:
         pad[:, :H] = 30
         return np.concatenate((x @ self.p[f"W{d}"] + self.p[f"c{d}"], pad))
 
-    def logits(self, idx: np.ndarray, pf: np.ndarray, pb: np.ndarray) -> np.ndarray:
-        """Scores of windows, given as indices of distinct words; -1 is padding."""
-        out = np.empty(len(idx), np.float32)
-        for i in range(0, len(idx), BLOCK):
-            out[i : i + BLOCK] = self._forward(idx[i : i + BLOCK], pf, pb)[0]
-        return out
-
     def _forward(self, idx: np.ndarray, pf: np.ndarray, pb: np.ndarray, keep: bool = False):
         n, steps = idx.shape
         hs = np.empty((steps, n, 2 * H), np.float32)
@@ -161,13 +150,9 @@ class Net:
         return g, dx[:-1]
 
 
-def _odds(bucket: np.ndarray, doc: np.ndarray, y: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """How much more often documents of class 1 have each bucket, in standard deviations, squashed; documents with it."""
-    pair = np.unique(doc.astype(np.int64) * size + bucket)
-    d, b = pair // size, pair % size
-    pos, neg = np.bincount(b[y[d] == 1], minlength=size), np.bincount(b[y[d] == 0], minlength=size)
-    share = y.mean()
-    return np.tanh((pos * (1 - share) - neg * share) / np.sqrt((pos + neg) * share * (1 - share) + 1) / 4).astype(np.float32), pos + neg
+def _odds(pos: np.ndarray, neg: np.ndarray, share: float) -> np.ndarray:
+    """How much more often documents of class 1, a ``share`` of all, have each bucket, in standard deviations, squashed."""
+    return np.tanh((pos * (1 - share) - neg * share) / np.sqrt((pos + neg) * share * (1 - share) + 1) / 4).astype(np.float32)
 
 
 def _flat(starts: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -175,50 +160,89 @@ def _flat(starts: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
+def seen(texts: list[str], y: np.ndarray) -> np.ndarray:
+    """By class: the documents that have each word bucket and each trigram bucket, and last all documents."""
+    out = np.zeros((2, (1 << WORD_BITS) + (1 << CHAR_BITS) + 1), np.int64)
+    for at, part in segment.chunks(texts):
+        of, h, tri, size, n = hashed(part)
+        own = y[at : at + len(part)]
+        out[:, -1] += np.bincount(own, minlength=2)
+        if not len(of):
+            continue
+        pair = np.unique(np.repeat(np.arange(len(n)), n) * len(h) + of)  # each document's distinct words
+        doc, its = pair // len(h), pair % len(h)
+        flat = _flat((np.cumsum(size) - size)[its], size[its])
+        for d, b, base, width in ((doc, bucket(h)[its], 0, 1 << WORD_BITS), (np.repeat(doc, size[its]), tri[flat], 1 << WORD_BITS, 1 << CHAR_BITS)):
+            pair = np.unique(d * width + b)
+            np.add.at(out, (own[pair // width], base + pair % width), 1)
+    return out
+
+
+def highest(net: Net, texts: list[str], y: np.ndarray) -> Iterator[tuple]:
+    """The highest window of each whole text, and of clean ones the second highest: text, place, and its words' hashes, lengths and trigrams."""
+    for at, part in segment.chunks(texts):
+        of, h, tri, size, n = hashed(part)
+        if not len(of):
+            continue
+        doc, first, end = windows(n)
+        logit = np.concatenate([x for _, x in _logits(net, of, h, tri, size, first, end)])
+        order = np.lexsort((-logit, doc))
+        place = np.arange(len(order)) - np.searchsorted(doc[order], doc[order])
+        starts = np.cumsum(size) - size
+        for w, k in zip(order, place, strict=True):
+            if k == 0 or k == 1 and y[at + doc[w]] == 0:
+                its = of[first[w] : min(first[w] + WINDOW, end[w])]
+                yield at + int(doc[w]), int(k), h[its], size[its], tri[_flat(starts[its], size[its])]
+
+
 def train(texts: list[str], y: np.ndarray, seed: int = 7) -> Net | None:
-    """A network from labelled texts; None where one class is missing.
+    """A network from labelled texts; None where one class is missing."""
+    y = np.asarray(y, np.int64)
+
+    def pick(net: Net) -> tuple[np.ndarray, ...]:
+        of, _, h, size, tri = zip(*highest(net, texts, y), strict=True)
+        return (y[list(of)], np.array([len(x) for x in h]), *map(np.concatenate, (h, size, tri)))
+
+    return learn(seen(texts, y), pick, seed)
+
+
+def learn(found: np.ndarray, pick: Callable[[Net], tuple[np.ndarray, ...]], seed: int = 7) -> Net | None:
+    """A network from what ``seen`` tells of the documents; None where one class is missing.
 
     One input dimension starts as the class odds of common words and trigrams.
     In each round every document gives its highest window, and clean ones their
-    second highest too; those train the network by Adam.
+    second highest too; those train the network by Adam. ``pick`` finds them:
+    their classes and numbers of words, and the words' hashes, lengths and trigrams.
     """
-    y = np.asarray(y, np.float32)
-    of, word, tri, size, n = features_of_all(texts)
-    if len(np.unique(y)) < 2 or not len(of):
+    if not found[:, -1].all() or not found[:, :-1].any():
         return None
     net, g = Net(seed), np.random.default_rng(seed)
-    owner, starts = np.repeat(np.arange(len(n)), n), np.cumsum(size) - size
-    odds, docs = _odds(word[of], owner, y, 1 << WORD_BITS)
-    common = np.flatnonzero(docs >= COMMON)
+    share = found[1, -1] / found[:, -1].sum()
+    odds = _odds(found[1, :-1], found[0, :-1], share)
+    common = np.flatnonzero(found[:, : 1 << WORD_BITS].sum(0) >= COMMON)
     net.row[common] = np.arange(1, len(common) + 1)
     net.p["word"] = np.zeros((len(common) + 1, D), np.float32)
     net.p["word"][1:, 0] = odds[common]
-    pair = np.unique(owner * len(word) + of)  # each document's distinct words
-    own, its = pair // len(word), pair % len(word)
-    net.p["tri"][:, 0] = _odds(tri[_flat(starts[its], size[its])], np.repeat(own, size[its]), y, 1 << CHAR_BITS)[0]
-    del pair, own, its
+    net.p["tri"][:, 0] = odds[1 << WORD_BITS :]
     for d in "fb":
         net.p[f"W{d}"][0, 2 * H :] = 1
     net.p["w"][:] = np.abs(net.p["w"])
-    doc, first, end = windows(n)
-    idx = first[:, None] + np.arange(WINDOW)
-    idx = np.where(idx < end[:, None], of[np.minimum(idx, len(of) - 1)], -1).astype(np.int32)
     state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
     for _ in range(ROUNDS):
-        x = net.inputs(word, tri, size)
-        logit = net.logits(idx, net.projected(x, "f"), net.projected(x, "b"))
-        order = np.lexsort((-logit, doc))
-        place = np.arange(len(order)) - np.searchsorted(doc[order], doc[order])
-        chosen = order[(place == 0) | (place == 1) & (y[doc[order]] == 0)]
+        y, n, h, size, tri = pick(net)
+        h, at, of = np.unique(h, return_index=True, return_inverse=True)
+        starts, size, word = (np.cumsum(size) - size)[at], size[at], bucket(h)
+        idx = np.full((len(n), WINDOW), -1, np.int32)
+        idx[np.arange(WINDOW) < n[:, None]] = of
         for _ in range(STEPS):
-            part = g.choice(chosen, min(BATCH, len(chosen)), replace=False)
+            part = g.choice(len(n), min(BATCH, len(n)), replace=False)
             used, local = np.unique(idx[part], return_inverse=True)
             local = local.reshape(len(part), WINDOW)
             if used[0] < 0:
                 used, local = used[1:], local - 1
             at = _flat(starts[used], size[used])
-            grads, dx = net.gradients(local, net.inputs(word[used], tri[at], size[used]), y[doc[part]])
+            grads, dx = net.gradients(local, net.inputs(word[used], tri[at], size[used]), y[part].astype(np.float32))
             grads["word"], grads["tri"] = np.zeros_like(net.p["word"]), np.zeros_like(net.p["tri"])
             np.add.at(grads["word"], net.row[word[used]], dx)
             grads["word"][0] = 0
@@ -232,41 +256,85 @@ def train(texts: list[str], y: np.ndarray, seed: int = 7) -> Net | None:
     return net
 
 
+def _logits(net: Net, of: np.ndarray, h: np.ndarray, tri: np.ndarray, size: np.ndarray, first: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Scores of windows, block by block, each with the number of its first window."""
+    x = net.inputs(bucket(h), tri, size)
+    pf, pb = net.projected(x, "f"), net.projected(x, "b")
+    for i in range(0, len(first), BLOCK):
+        at = first[i : i + BLOCK, None] + np.arange(WINDOW)
+        idx = np.where(at < end[i : i + BLOCK, None], of[np.minimum(at, len(of) - 1)], -1)
+        yield i, net._forward(idx, pf, pb)[0]
+
+
 def score(net: Net | None, texts: list[str]) -> np.ndarray:
     """The highest window's probability of each whole text; 0 for texts without words."""
     out = np.zeros(len(texts))
     if net is None:
         return out
-    of, word, tri, size, n = features(texts)
+    of, h, tri, size, n = hashed(texts)
     if not len(of):
         return out
-    x = net.inputs(word, tri, size)
-    pf, pb = net.projected(x, "f"), net.projected(x, "b")
     doc, first, end = windows(n)
-    steps = np.arange(WINDOW)
-    for i in range(0, len(doc), BLOCK):
-        at = first[i : i + BLOCK, None] + steps
-        idx = np.where(at < end[i : i + BLOCK, None], of[np.minimum(at, len(of) - 1)], -1)
-        np.maximum.at(out, doc[i : i + BLOCK], _sigmoid(net._forward(idx, pf, pb)[0].astype(float)))
+    for i, logit in _logits(net, of, h, tri, size, first, end):
+        np.maximum.at(out, doc[i : i + BLOCK], _sigmoid(logit.astype(float)))
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> Net | None:
+def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found = np.zeros((2, 1), np.int64)
+    for batch in batches:
+        found = found + seen(batch.column(3).to_pylist(), batch.column(2).to_numpy().astype(np.int64))
+    toxic, at = np.nonzero(found)
+    yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(at, pa.int32()), pa.array(found[toxic, at], pa.int64())], names=["toxic", "at", "n"])
+
+
+_PICKED = "doc_id long, h long, toxic int, place int, words array<long>, size array<int>, tri array<int>"
+
+
+def _highest(net):
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
+    names = [x.split()[0] for x in _PICKED.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, th, y = (batch.column(k).to_numpy() for k in range(3))
+            rows = [(ids[i], th[i], y[i], k, h.view(np.int64), size.astype(np.int32), tri.astype(np.int32)) for i, k, h, size, tri in highest(net.value, batch.column(3).to_pylist(), y)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * len(kinds), kinds, strict=True)], names=names)
+
+    return run
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Net | None:
     """A network from the documents whose labels are not held out, a sample by hash of about
-    ``sample`` toxic ones and CLEAN times as many others.
+    ``sample`` toxic ones and CLEAN times as many others, of those that are there and have words.
 
-    A document labelled more than once is toxic if one label says so.
+    A document labelled more than once is toxic if one label says so. Tasks read the
+    sampled texts whole; what comes back is a count by bucket, and in each round two windows a document at most.
     """
+    spark = docs.sparkSession
     known = labels.filter(~held_out(5, 0)).filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    found = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter(F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    texts = texts.select("doc_id", F.xxhash64("doc_id", "text").alias("h"), "text")
+    both = cut(texts.select("doc_id", "h").join(known, "doc_id"), "labelled")
+    found = {r.toxic: r.n for r in both.groupBy("toxic").agg(F.count_distinct("doc_id", "h").alias("n")).collect()}
     if not {0, 1} <= set(found):
         return None
     share = F.when(F.col("toxic") == 1, F.lit(min(1.0, sample / found[1]))).otherwise(F.lit(min(1.0, CLEAN * sample / found[0])))
-    taken = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter(F.length("text") <= longest)
-    rows = texts.join(F.broadcast(taken), "doc_id").collect()  # about (1 + CLEAN) * sample rows of at most ``longest`` characters
-    rows = sorted({(r.doc_id, r.text, r.toxic) for r in rows})
-    return train([r[1] for r in rows], np.array([r[2] for r in rows])) if rows else None
+    taken = both.filter(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30)).distinct()  # about (1 + CLEAN) * sample rows
+    rows = texts.join(F.broadcast(taken), ["doc_id", "h"]).repartition(PARTS, "doc_id", "h").dropDuplicates(["doc_id", "h"])
+    rows = cut(rows.select("doc_id", "h", "toxic", "text"), "sample")
+    t = rows.mapInArrow(_seen, "toxic int, at int, n long").groupBy("toxic", "at").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros((2, (1 << WORD_BITS) + (1 << CHAR_BITS) + 1), np.int64)
+    counts[t["toxic"].to_numpy(), t["at"].to_numpy()] = t["n"].to_numpy()
+
+    def pick(net: Net) -> tuple[np.ndarray, ...]:
+        sent = spark.sparkContext.broadcast(net)
+        t = rows.mapInArrow(_highest(sent), _PICKED).toArrow().sort_by([(c, "ascending") for c in ("doc_id", "h", "place")]).combine_chunks()
+        sent.destroy()
+        words, size, tri = (np.concatenate([c.flatten().to_numpy() for c in t[k].chunks]).astype(np.int64) for k in ("words", "size", "tri"))
+        return t["toxic"].to_numpy(), pc.list_value_length(t["words"]).to_numpy(), words.view(np.uint64), size, tri
+
+    return learn(counts, pick)
 
 
 def _run(net, columns: list[str], names: tuple[str, str] = ("score", "predicted")):

@@ -271,6 +271,18 @@ def test_toxicity_odd_inputs(spark, odd, none):
     assert toxic.score_documents(none, labels).count() == 0 and toxic.clean(odd, labels).columns == odd.columns
 
 
+def test_toxicity_is_learned_from_long_documents(spark):
+    rng = random.Random(9)
+    vocab = ["".join(rng.choice("aeioulnrst") for _ in range(6)) for _ in range(200)]
+    texts = [" ".join(rng.choice(vocab) for _ in range(1800 if i % 2 else 40)) for i in range(120)]
+    foul = {i: " ".join("vileword" if k % 30 == 7 else w for k, w in enumerate(texts[i].split())) for i in range(1, 120, 4)}
+    rows = [(i, foul.get(i, t), "en", "s") for i, t in enumerate(texts)]
+    assert all(len(t) > 10_000 for t in foul.values())
+    labels = spark.createDataFrame([(i, 0, int(i in foul)) for i in range(120)] + [(i, 0, 0) for i in range(500, 600)], "doc_id long, quality int, toxic int")
+    got = toxic.score_documents(docs_of(spark, rows + rows[:9]), labels).collect()
+    assert len(got) == 129 and np.mean([r.predicted == (r.doc_id in foul) for r in got]) > 0.95
+
+
 # 6 byte pairs
 def test_bpe_equals_the_library(some):
     from tokenizers import Tokenizer
