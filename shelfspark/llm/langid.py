@@ -1,6 +1,6 @@
 """Language identification by script, per-word scores and Viterbi.
 
-A document's letters tell its scripts, which narrow the candidate languages. A
+A word's letters tell its scripts, which narrow its candidate languages. A
 word's score in a language is the sum of log probabilities of its character
 trigrams; Viterbi over the words, with a penalty for each switch, labels spans
 of one language. The language with the most letters names the document.
@@ -21,7 +21,7 @@ from shelfspark.llm import segment
 #: Documents of each language to learn from, about; a sample by hash, whole texts, of any corpus.
 SAMPLE = 400
 PENALTY = 6.0
-#: A script is a language's if it has this share of its letters.
+#: A script is a language's if it has this share of its letters; at most so likely is a letter of any other script.
 SHARE = 0.01
 UND = "und"
 #: First code points of ranges of scripts (fixed values of the Unicode blocks; others are script 0).
@@ -75,15 +75,21 @@ class Model:
         self.table = np.ascontiguousarray(np.log(p / p.sum(1, keepdims=True)).T.astype(np.float32))
         self.scripts = (scripts >= SHARE * np.maximum(scripts.sum(1, keepdims=True), 1)).T
 
-    def candidates(self, cp: np.ndarray, inside: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """By document: the languages written in a script that a tenth of its letters have; if none fits, all."""
-        seen = np.zeros((len(at) - 1, len(NAMES)), np.int64)
-        place = np.flatnonzero(inside)
-        doc = np.searchsorted(at, place, side="right") - 1
-        seen += np.bincount(doc * len(NAMES) + _scripts()[cp[place]], minlength=seen.size).reshape(seen.shape)
-        used = seen >= np.maximum(0.1 * seen.sum(1, keepdims=True), 1)
+    def candidates(self, cp: np.ndarray, inside: np.ndarray, starts: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
+        """By word: the languages written in a script of its letters; if none fits, those of its document's other words, or else all."""
+        bits = np.where(inside, np.uint32(1) << _scripts()[cp].astype(np.uint32), np.uint32(0))
+        kinds, of = np.unique(np.bitwise_or.reduceat(bits, starts), return_inverse=True)
+        used = (kinds[:, None] >> np.arange(len(NAMES), dtype=np.uint32)) & np.uint32(1)
         ok = (used.astype(np.float32) @ self.scripts.astype(np.float32)) > 0
-        return ok | ~ok.any(1, keepdims=True)
+        fits = ok[of]
+        lost = np.flatnonzero(~ok.any(1)[of])
+        if len(lost):
+            seen = np.zeros((n_docs, len(kinds)), bool)
+            seen[doc, of] = True
+            others = (seen.astype(np.float32) @ ok.astype(np.float32)) > 0
+            others |= ~others.any(1, keepdims=True)
+            fits[lost] = others[doc[lost]]
+        return fits
 
     def scores(self, cp: np.ndarray, inside: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """By word and language."""
@@ -95,13 +101,20 @@ class Model:
             out[:, k] = np.add.reduceat(x, starts)
         return out
 
-    def path(self, score: np.ndarray, doc: np.ndarray, n_docs: int, allowed: np.ndarray) -> np.ndarray:
+    def narrowed(self, score: np.ndarray, fits: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Scores in which a language that does not fit a word of ``size`` letters stays behind the best that does, by so
+        much for each letter that a few letters cost less than two switches."""
+        if fits.all():
+            return score
+        behind = np.where(fits, score, -np.inf).max(1) + np.float32(np.log(SHARE)) * size
+        return np.where(fits, score, behind[:, None]).astype(np.float32)
+
+    def path(self, score: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
         """Each word's language on its document's best path. Documents go side by side, the longest first."""
         n = np.bincount(doc, minlength=n_docs)
         first = np.concatenate(([0], np.cumsum(n)))[:-1]
         order = np.argsort(-n, kind="stable")
         n, first = n[order], first[order]
-        score = np.where(allowed[doc], score, np.float32(-1e9))
         label = np.zeros(len(doc), np.int8)
         live = np.searchsorted(-n, -np.arange(n[0] if len(n) else 0), side="left")  # documents longer than t words
         came = np.zeros((len(doc), score.shape[1]), np.int8)
@@ -130,11 +143,12 @@ class Model:
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, list[list[tuple[str, int]]]]:
         """Language and score of each text, and its spans: language and number of words, in order."""
-        cp, at, inside, starts, ends, doc = segment.letter_words(texts)
+        cp, _, inside, starts, ends, doc = segment.letter_words(texts)
         k = len(self.langs)
         if not len(starts) or not k:
             return [UND] * len(texts), np.zeros(len(texts)), [[] for _ in texts]
-        label = self.path(self.scores(cp, inside, starts), doc, len(texts), self.candidates(cp, inside, at))
+        fits = self.candidates(cp, inside, starts, doc, len(texts))
+        label = self.path(self.narrowed(self.scores(cp, inside, starts), fits, ends - starts), doc, len(texts))
         letters = np.bincount(doc * k + label, weights=ends - starts, minlength=len(texts) * k).reshape(len(texts), k)
         total = letters.sum(1)
         best = letters.argmax(1)

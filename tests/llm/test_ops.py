@@ -66,6 +66,32 @@ def test_language_spans_and_odd_inputs(spark, some, odd, none):
     assert langid.predict_documents(none).count() == 0
 
 
+def model_of(texts):
+    import pyarrow as pa
+
+    langs = sorted(texts)
+    counts, scripts = np.zeros((len(langs), 1 << segment.TRIGRAM_BITS)), np.zeros((len(langs), len(langid.NAMES)))
+    for b in langid._learn(langs)([pa.RecordBatch.from_arrays([pa.array([texts[x] for x in langs]), pa.array(langs)], names=["text", "lang"])]):
+        r = b.to_pylist()[0]
+        counts[langs.index(r["lang"])][r["bucket"]] += r["n"]
+        scripts[langs.index(r["lang"])] += r["scripts"]
+    return langid.Model(langs, counts, scripts)
+
+
+def test_short_passages_in_another_script_are_spans():
+    rng = random.Random(1)
+    letters = {"en": "abcdefghilmnoprstuw", "fr": "abcdeéèfgilmnopqrstuvz", "ru": "абвгдежзиклмнопрст", "el": "αβγδεζηθικλμνοπρστ", "ar": "ابتثجحخدذرزسشصضطظعغ"}
+    vocab = {x: ["".join(rng.choice(c) for _ in range(6)) for _ in range(300)] for x, c in letters.items()}
+    said = lambda x, n: [rng.choice(vocab[x]) for _ in range(n)]
+    model = model_of({x: " ".join(said(x, 4000)) for x in letters})
+    for x in ("ru", "el", "ar"):
+        lang, score, spans = model.predict([" ".join(said("en", 100) + said(x, 10) + said("en", 90))])
+        assert lang == ["en"] and spans == [[("en", 100), (x, 10), ("en", 90)]] and abs(score[0] - 0.95) < 1e-9
+    # A letter, and a script of no language, are no spans.
+    lang, score, spans = model.predict([" ".join(said("en", 50) + ["μ"] + said("en", 50)), " ".join(said("en", 50) + ["ภาษา"] * 3 + said("en", 50)), "ภาษา"])
+    assert spans[:2] == [[("en", 101)], [("en", sum(n for _, n in spans[1]))]] and list(score[:2]) == [1, 1] and lang[2] in letters
+
+
 # 2 mixing
 def brute_targets(size, weights=(5, 2, 1), most=3):
     names = sorted(size, key=lambda s: (s is None, s or ""))
