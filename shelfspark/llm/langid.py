@@ -115,11 +115,12 @@ class Model:
         first = np.concatenate(([0], np.cumsum(n)))[:-1]
         order = np.argsort(-n, kind="stable")
         n, first = n[order], first[order]
-        label = np.zeros(len(doc), np.int8)
+        label = np.zeros(len(doc), np.int32)
         live = np.searchsorted(-n, -np.arange(n[0] if len(n) else 0), side="left")  # documents longer than t words
-        came = np.zeros((len(doc), score.shape[1]), np.int8)
+        kind = np.int16 if score.shape[1] <= 1 << 15 else np.int32
+        came = np.zeros((len(doc), score.shape[1]), kind)
         v = np.zeros((live[0] if len(live) else 0, score.shape[1]), np.float32)
-        own = np.arange(score.shape[1], dtype=np.int8)[None, :]
+        own = np.arange(score.shape[1], dtype=kind)[None, :]
         for t, m in enumerate(live.tolist()):
             at = first[:m] + t
             v = v[:m]
@@ -127,7 +128,7 @@ class Model:
                 best = v.argmax(1)
                 switch = v[np.arange(m), best][:, None] - self.penalty
                 stay = v >= switch
-                came[at] = np.where(stay, own, best[:, None].astype(np.int8))
+                came[at] = np.where(stay, own, best[:, None].astype(kind))
                 v = np.where(stay, v, switch) + score[at]
                 v -= v.max(1, keepdims=True)
             else:

@@ -92,6 +92,15 @@ def test_short_passages_in_another_script_are_spans():
     assert spans[:2] == [[("en", 101)], [("en", sum(n for _, n in spans[1]))]] and list(score[:2]) == [1, 1] and lang[2] in letters
 
 
+def test_two_hundred_languages():
+    rng = random.Random(2)
+    vocab = {f"x{k:03}": ["".join(rng.choice("abcdefghijklmnoprstuvwz") for _ in range(7)) for _ in range(12)] for k in range(200)}
+    model = model_of({x: " ".join(rng.choice(v) for _ in range(200)) for x, v in vocab.items()})
+    names = ["x199", "x000", "x150", "x128", "x127", "x003", "x144"]
+    lang, score, spans = model.predict([" ".join(rng.choice(vocab[x]) for _ in range(20)) for x in names])
+    assert lang == names and list(score) == [1] * 7 and spans == [[(x, 20)] for x in names]
+
+
 # 2 mixing
 def brute_targets(size, weights=(5, 2, 1), most=3):
     names = sorted(size, key=lambda s: (s is None, s or ""))
