@@ -2,7 +2,8 @@
 
 A record's layout is the set of its nested field paths. The hash of those paths
 that any declared mapping knows selects the mapping, which says where the turns
-are. Formatted turns read ``<turn:ROLE>TEXT</turn>`` and a line feed; inside
+are; where no mapping has just these, the one with the most paths that are all
+there is taken, of equals the one declared first. Formatted turns read ``<turn:ROLE>TEXT</turn>`` and a line feed; inside
 role and text the control characters are escaped, so that no text can close a
 turn or open another, and reading back gives every text exactly.
 """
@@ -58,6 +59,8 @@ def fingerprint(paths) -> str:
 
 
 BY_FINGERPRINT = {fingerprint(m.paths): m for m in MAPPINGS}
+#: For records with more known names than one mapping has.
+MOST_SPECIFIC = sorted(MAPPINGS, key=lambda m: -len(m.paths))
 
 
 def schema_paths(kind: T.DataType, at: str = "") -> list[str]:
@@ -70,7 +73,8 @@ def schema_paths(kind: T.DataType, at: str = "") -> list[str]:
 
 
 def mapping_of(df: DataFrame) -> Mapping:
-    found = BY_FINGERPRINT.get(fingerprint(schema_paths(df.schema)))
+    paths = schema_paths(df.schema)
+    found = BY_FINGERPRINT.get(fingerprint(paths)) or next((m for m in MOST_SPECIFIC if set(m.paths) <= set(paths)), None)
     if found is None:
         raise ValueError(f"no mapping for the layout {sorted(schema_paths(df.schema))}")
     return found
@@ -109,27 +113,53 @@ def canonical_json(df: DataFrame, payload: str = "record", record_id: str = "id"
     """The same from JSON records whose layouts differ row by row, with ``layout``, the mapping's name.
 
     Records that are null, not JSON objects or of no known layout give one row
-    with a null layout, so that none is lost unseen.
+    with a null layout, and records of a known one without turns one row with a
+    null turn, so that none is lost unseen.
     """
     parsed = df.select(F.col(record_id).alias("id"), F.col(payload).alias("raw"), F.try_parse_json(payload).alias("v"))
-    kinds = F.regexp_replace(F.schema_of_variant("v"), r": (?!OBJECT|ARRAY<OBJECT)[^,<>]*(<[^<>]*>)?", "")
-    parsed = parsed.select("id", "raw", kinds.alias("kinds"))
-    out = None
-    rest = F.lit(True)
+    parsed = parsed.select("id", "raw", _layout(F.col("v")).alias("layout"))
+    out = parsed.filter("layout is null").select(F.col("id").cast("string").alias("conv_id"), F.lit(None).cast("long").alias("turn"), *[F.lit(None).cast("string").alias(c) for c in ("role", "text", "layout")])
     for m in MAPPINGS:
-        kind, shape = _typed(m.paths)
-        fits = F.coalesce(F.col("kinds") == shape, F.lit(False))
-        rows = parsed.filter(fits).select("id", F.from_json("raw", kind).alias("r")).select("id", "r.*")
-        rows = canonical_turns(rows.drop("id") if m.row else rows).withColumn("layout", F.lit(m.name))
-        rows = rows.withColumns({"conv_id": F.col("conv_id").cast("string"), "turn": F.col("turn").cast("long")})
-        out = rows if out is None else out.unionByName(rows)
-        rest = rest & ~fits
-    none = parsed.filter(rest).select(F.col("id").cast("string").alias("conv_id"), F.lit(None).cast("long").alias("turn"), *[F.lit(None).cast("string").alias(c) for c in ("role", "text", "layout")])
-    return out.unionByName(none)
-
-
-def _typed(paths: tuple[str, ...]) -> tuple[T.StructType, str]:
-    """The type of records with these paths, and the shape that their variants show without leaf types."""
+        rows = parsed.filter(F.col("layout") == m.name).select("id", F.from_json("raw", _typed(m.paths)).alias("r")).select("id", "r.*")
+        turns = canonical_turns(rows.drop("id") if m.row else rows)
+        if m.each:
+            path = m.each[0]
+            silent = rows.filter(F.coalesce(F.size(path), F.lit(0)) <= 0) if not m.turns else rows.limit(0)
+            turns = turns.select(F.col("conv_id").cast("string").alias("conv_id"), "turn", "role", "text").unionByName(silent.select(F.col("id").cast("string").alias("conv_id"), F.lit(None).cast("long").alias("turn"), *[F.lit(None).cast("string").alias(c) for c in ("role", "text")]))
+        turns = turns.withColumn("layout", F.lit(m.name))
+        out = out.unionByName(turns.withColumns({"conv_id": F.col("conv_id").cast("string"), "turn": F.col("turn").cast("long")}))
+    return out
+
+
+def _layout(v: Column) -> Column:
+    """The name of the mapping for a variant, by the known leaf paths that it has."""
+    kind = lambda x: F.schema_of_variant(x)
+    get = lambda x, p, t="variant": F.try_variant_get(x, f"$.{p}", t)
+    leaf = lambda x: F.coalesce(~F.startswith(kind(x), F.lit("OBJECT")) & ~F.startswith(kind(x), F.lit("ARRAY<OBJECT")), F.lit(False))
+
+    def has(path: str) -> Column:
+        if "[]." not in path:
+            return leaf(get(v, path))
+        root, field = path.split("[].")
+        items = get(v, root, "array<variant>")
+        objects = F.forall(items, lambda x: F.coalesce(F.startswith(kind(x), F.lit("OBJECT")) | (kind(x) == "VOID"), F.lit(True)))
+        return F.coalesce(objects & F.exists(items, lambda x: leaf(get(x, field))), F.lit(False))
+
+    def empty(m: Mapping) -> Column:
+        """Whether the mapping's list is there, but null or without elements."""
+        return F.coalesce(kind(get(v, m.each[0])).isin("VOID", "ARRAY<VOID>") & (F.coalesce(F.size(get(v, m.each[0], "array<variant>")), F.lit(0)) <= 0), F.lit(False))
+
+    known = F.array_compact(F.array(*[F.when(has(p), F.lit(p)) for p in sorted(KNOWN)]))
+    mark = F.substring(F.sha2(F.array_join(known, "\n"), 256), 1, 16)
+    exact = F.element_at(F.create_map(*[F.lit(x) for k, m in BY_FINGERPRINT.items() for x in (k, m.name)]), mark)
+    fits = [F.when(F.size(F.array_except(F.array(*map(F.lit, m.paths)), known)) == 0, F.lit(m.name)) for m in MOST_SPECIFIC]
+    others = lambda m: [p for p in m.paths if not p.startswith(f"{m.each[0]}[].")]
+    silent = [F.when(empty(m) & F.forall(F.array(*map(F.lit, others(m))).cast("array<string>"), lambda p: F.array_contains(known, p)), F.lit(m.name)) for m in MOST_SPECIFIC if m.each]
+    return F.coalesce(exact, *fits, *silent)
+
+
+def _typed(paths: tuple[str, ...]) -> T.StructType:
+    """The type of records with these paths."""
     tree: dict = {}
     for p in paths:
         at = tree
@@ -141,10 +171,7 @@ def _typed(paths: tuple[str, ...]) -> tuple[T.StructType, str]:
     def kind(t: dict) -> T.StructType:
         return T.StructType([T.StructField(k.removesuffix("[]"), T.StringType() if v is None else T.ArrayType(kind(v)) if k.endswith("[]") else kind(v)) for k, v in t.items()])
 
-    def shape(t: dict) -> str:
-        return "OBJECT<" + ", ".join(k.removesuffix("[]") + ("" if v is None else f": ARRAY<{shape(v)}>" if k.endswith("[]") else f": {shape(v)}") for k, v in sorted(t.items())) + ">"
-
-    return kind(tree), shape(tree)
+    return kind(tree)
 
 
 def escape(x: Column) -> Column:

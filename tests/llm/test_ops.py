@@ -263,6 +263,25 @@ def test_layouts_become_turns(spark):
         chat.mapping_of(spark.createDataFrame([(1,)], "odd int"))
 
 
+def test_layouts_with_extra_fields(spark):
+    turns = '{"role": "user", "content": "hi", "name": "x"}, {"role": "assistant", "content": "ho"}'
+    rows = [
+        ("a", f'{{"id": 7, "source": {{"url": ["u"]}}, "messages": [{turns}]}}'), ("b", '{"prompt": "p", "response": "r", "score": 0.5}'), ("c", '{"instruction": "do", "input": "it", "output": "done", "prompt": "no", "n": [1]}'),
+        ("d", '{"conv_id": "k", "turn": 3, "role": "user", "text": "t", "input": "no"}'), ("e", '{"messages": [], "id": 1}'), ("f", '{"prompt": "p", "response": null, "messages": null}'),
+        ("g", '{"messages": ["x"]}'), ("h", '{"data": {"system": "s", "turns": [], "x": 1}}'), ("i", f'{{"messages": [{turns}], "prompt": "p", "response": "r"}}'), ("j", '{"prompt": {"a": 1}, "response": "r"}'), ("k", '[1]'),
+    ]
+    got = defaultdict(list)
+    for r in sorted(chat.canonical_json(spark.createDataFrame(rows, "id string, record string")).collect(), key=lambda r: (r.conv_id, r.turn or 0)):
+        got[r.conv_id].append((r.layout, r.turn, r.role, r.text))
+    messages = [("messages", 0, "user", "hi"), ("messages", 1, "assistant", "ho")]
+    assert got["a"] == got["i"] == messages and [x[2:] for x in got["b"]] == [("user", "p"), ("assistant", "r")] and [x[2:] for x in got["c"]] == [("user", "do\n\nit"), ("assistant", "done")]
+    assert got["k"][0] in [("rows by turn", 3, "user", "t"), (None,) * 4] and ("rows by turn", 3, "user", "t") in got["k"] and (None,) * 4 in got["k"]
+    assert got["e"] == [("messages", None, None, None)] and [x[2:] for x in got["f"]] == [("user", "p"), ("assistant", "")] and got["h"] == [("nested dialogue", 0, "system", "s")]
+    assert got["g"] == got["j"] == [(None,) * 4] and "d" not in got
+    typed = spark.createDataFrame([(1, 0, "user", "t", "i", "p")], "conv_id long, turn long, role string, text string, input string, prompt string")
+    assert [tuple(r) for r in chat.canonical_turns(typed).collect()] == [(1, 0, "user", "t")]
+
+
 # 5 toxicity
 def test_gradients_are_right():
     g, net = np.random.default_rng(0), toxic.Net(1)
