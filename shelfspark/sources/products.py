@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfspark.session import cut
+
 
 def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """Lines of plain or gzip files. A gzip file is read by one task; ``partitions`` deals its lines out after."""
@@ -37,13 +39,14 @@ def write_documents(docs: DataFrame, path: str, mode: str = "errorifexists") ->
 
 
 def numbered(rows: DataFrame, *order: str) -> DataFrame:
-    """``n``, the place in ``order`` from 1: counts of sorted partitions come first, then places inside them."""
-    parts = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part_", F.spark_partition_id())
-    at = F.row_number().over(Window.partitionBy("part_").orderBy(*order))
-    starts = parts.groupBy("part_").agg(F.count("*").alias("c"))
+    """``n``, the place in ``order`` from 1. Rows are sorted once; the places inside sorted partitions come with the
+    write, and what is before a partition from a table of one row for each."""
+    rows = cut(rows.orderBy(*order).withColumn("n", F.monotonically_increasing_id()), "sorted")
+    part = F.shiftright("n", 33)
+    starts = rows.groupBy(part.alias("part_")).agg(F.count("*").alias("c"))
     before = F.coalesce(F.sum("c").over(Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = starts.select("part_", before.alias("before"))
-    return parts.withColumn("n", at).join(F.broadcast(starts), "part_").withColumn("n", F.col("n") + F.col("before")).drop("part_", "before")
+    rows = rows.withColumn("part_", part).join(F.broadcast(starts.select("part_", before.alias("before_"))), "part_")
+    return rows.withColumn("n", F.col("n") - F.shiftleft("part_", 33) + F.col("before_") + 1).drop("part_", "before_")
 
 
 def bounded(rows: DataFrame, survives: Column, read: int | None = None, written: int | None = None) -> DataFrame:
