@@ -14,11 +14,11 @@ TRIGRAM_BITS = 16
 _SPACES = (9, 10, 11, 12, 13, 32)
 
 
-def chunks(texts: list[str | None], most: int = CHUNK) -> Iterator[tuple[int, list[str]]]:
-    """The texts in order, in lists of about ``most`` characters, each with the index of its first; null is empty."""
+def chunks(texts: list, most: int = CHUNK, empty: str | bytes = "") -> Iterator[tuple[int, list]]:
+    """The texts in order, in lists of about ``most`` characters, each with the index of its first; null is ``empty``."""
     at, held, n = 0, [], 0
     for i, t in enumerate(texts):
-        held.append(t or "")
+        held.append(t or empty)
         n += len(held[-1])
         if n >= most:
             yield at, held
@@ -83,9 +83,14 @@ def _space_table() -> np.ndarray:
     return t
 
 
+def not_space(x: np.ndarray) -> np.ndarray:
+    """Which code points, or bytes, are no ASCII white space."""
+    return _space_table()[np.minimum(x, 63)]
+
+
 def words(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and hash of every run of characters other than ASCII white space."""
-    inside = _space_table()[np.minimum(cp, 63)]
+    inside = not_space(cp)
     starts, ends = runs(inside)
     return starts, ends, hash_runs(cp, inside, starts)
 

@@ -485,10 +485,47 @@ def test_runs_of_many_lines_in_repeated_rows(spark):
         gone = {(key[once[i][1]], n) for i, n in brute_lines([(i, t) for i, (_, t) in enumerate(once)], least)}
         got = lines.repeated_lines(rows, least).collect()
         text = {h: t for t, h in th.items()}
-        assert {(key[text[r.th]], r.raw) for r in got} == gone and len(got) == len(gone)
+        assert sorted((key[text[r.th]], n) for r in got for n in r.raw) == sorted(gone)
         assert lines.digests(rows, least).count() == rows.count()
 
 
+def test_folds_of_the_suffix_array_meet(spark, monkeypatch):
+    """Long runs, nested and overlapping, in an array of many folds and levels."""
+    monkeypatch.setattr(lines, "CHUNK", 5)
+    monkeypatch.setattr(lines, "FAN", 3)
+    rng = random.Random(12)
+    base = [f"{rng.choice('abc')} line {k % 90}" for k in range(180)]
+    docs = [(0, "\n".join(base)), (1, "\n".join(["x1", *base[20:150], "y1", *base[40:50]])), (2, "\n".join([*base[60:100], *base[60:100], "same"])), (3, "\n".join(["same"] * 9)), (4, "\n".join(["own", *["same"] * 20])), (5, "\n".join(base[100:] + base[:30]))]
+    for least in (5, 30, 120):
+        got = lines.repeated_lines(docs_of(spark, [(i, t, "", "") for i, t in docs]).repartition(3), least).collect()
+        assert sorted((r.k, n) for r in got for n in r.raw) == sorted(brute_lines(docs, least))
+
+
+def test_folding_finds_the_longest_shared_prefix():
+    """A fold cut in two, and what is open of both folded again, equals one fold of all."""
+    import pandas as pd
+
+    rng = random.Random(13)
+    for _ in range(200):
+        n = rng.randrange(2, 30)
+        rows = pd.DataFrame({"rank": range(n), "seq": rng.sample(range(100), n), "at": [0] * n, "lcp": [0, *(rng.choice((0, 1, 2, 2, 3, 5)) for _ in range(n - 1))], "best": [0] * n, "open": [True] * n})
+        whole = lines._fold(rows).set_index("rank")["best"]
+        seq, lcp = rows["seq"].tolist(), rows["lcp"].tolist()
+        assert whole.tolist() == [max([min(lcp[min(i, j) + 1 : max(i, j) + 1]) for j in range(n) if seq[j] < seq[i]], default=0) for i in range(n)]
+        cut_at = rng.randrange(1, n)
+        parts = pd.concat([lines._fold(rows[:cut_at]), lines._fold(rows[cut_at:])])
+        again = lines._fold(parts[parts["open"]])
+        best = pd.concat([parts[~parts["open"]], again]).set_index("rank")["best"].sort_index()
+        assert best.tolist() == whole.tolist()
+
+
+def test_lines_with_a_million_blanks(spark):
+    run = "\n".join(f"{x} and more words of it {x}" for x in range(12))
+    wide = "a" + " " * 1_000_000 + "b"
+    rows = {r.doc_id: r for r in lines.digests(docs_of(spark, [(1, run + "\n" + wide, "", ""), (2, "\t" + wide + " \r\n" + run.replace("\n", " \n\t"), "", ""), (3, " " * 1_000_000, "", "")])).collect()}
+    assert rows[1].n_removed == 0 and rows[2].removed_lines == list(range(1, 13)) and rows[3].n_lines == 1
+
+
 def test_lines_odd_inputs(odd, none):
     rows = lines.digests(odd, 3).collect()
     assert len(rows) == odd.count() and lines.digests(none).count() == 0
