@@ -38,7 +38,7 @@ def write_documents(docs: DataFrame, path: str, mode: str = "errorifexists") ->
     docs.select(F.to_json(F.struct("*")).alias("value")).write.mode(mode).text(path)
 
 
-def numbered(rows: DataFrame, *order: str) -> DataFrame:
+def numbered(rows: DataFrame, *order: str | Column) -> DataFrame:
     """``n``, the place in ``order`` from 1. Rows are sorted once; the places inside sorted partitions come with the
     write, and what is before a partition from a table of one row for each."""
     rows = cut(rows.orderBy(*order).withColumn("n", F.monotonically_increasing_id()), "sorted")
