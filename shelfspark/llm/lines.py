@@ -301,7 +301,8 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     k, t, gone = free_names(docs, "k", "t", "gone")
     text = F.col("text").cast("string")
     rows = docs.withColumns({k: F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)), t: F.xxhash64(text)})
-    rows = rows.join(cut(repeated_lines(docs, min_words), "gone").toDF(k, t, gone), [k, t], "left")
+    # Few documents lose lines while tables are small; the same join at every size keeps its costs in proportion.
+    rows = rows.join(cut(repeated_lines(docs, min_words), "gone").toDF(k, t, gone).hint("merge"), [k, t], "left")
     lines = F.split(text, "\n", -1)
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
     left = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
