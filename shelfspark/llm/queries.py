@@ -17,7 +17,7 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix.mix(_read(spark, sf_dir, "documents")).drop("source", "h")
+    return mix.mix(_read(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("source", "h")
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

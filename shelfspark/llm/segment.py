@@ -88,6 +88,13 @@ def not_space(x: np.ndarray) -> np.ndarray:
     return _space_table()[np.minimum(x, 63)]
 
 
+def word_counts(texts: list[bytes]) -> np.ndarray:
+    """The number of runs of bytes other than ASCII white space in each text."""
+    inside = not_space(np.frombuffer(b"\n".join(texts) + b"\n", np.uint8))
+    starts = np.flatnonzero(inside & ~np.concatenate(([False], inside[:-1])))
+    return np.diff(np.searchsorted(starts, np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))))
+
+
 def words(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and hash of every run of characters other than ASCII white space."""
     inside = not_space(cp)

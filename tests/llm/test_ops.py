@@ -29,7 +29,16 @@ def odd(spark):
     long = "word " * 30_000
     rows = [(1, "a b c d e f g", "en", "s"), (2, "a b  c d\te f g", "en", "s"), (2, "a b  c d\te f g", "en", "s"), (None, "a b c d e f g", None, None), (None, None, None, None), (3, None, "fr", "t"), (4, "", "fr", "t"), (5, " \n\t", None, "t"), (6, long, "en", None), (7, long + "x", "en", "s"), (8, "日本語 テキスト", "ja", "s")]
     df = docs_of(spark, rows)
-    return df.withColumns({c: F.lit("extra") for c in ("name", "size", "key", "gid", "node", "label", "h", "k", "th", "score", "slot", "part", "copies", "uid")})
+    clash = "name size key gid node label h k th score slot part copies uid k_ t_ d_ s_ n_ gone_ score_ predicted_ size_ place start whole_text predicted row hash id none times prompt input output messages".split()
+    return df.withColumns({c: F.lit(f"user's {c}") for c in clash})
+
+
+def kept_as_they_are(out, odd, changed=("text",)):
+    """All columns of the user are there with their values."""
+    assert out.columns[: len(odd.columns)] == odd.columns or set(odd.columns) <= set(out.columns)
+    for r in out.collect():
+        assert all(r[c] == f"user's {c}" for c in odd.columns if c not in DOCS and c not in changed)
+    return out
 
 
 @pytest.fixture(scope="module")
@@ -148,8 +157,45 @@ def test_mix_odd_inputs(odd, none):
     rows = mix.mix(odd).collect()
     assert len(rows) == odd.count() and mix.mix(none).count() == 0
     assert all(r.taken == 0 for r in rows if not r.size)
-    out = mix.mixed(odd)
-    assert out.columns == odd.columns
+    assert kept_as_they_are(mix.mixed(odd), odd).columns == odd.columns
+
+
+def test_every_document_keeps_its_expected_copies(spark):
+    """Folds that are small and skewed, and a whole mix of many folds: means over seeds are the fractions."""
+    import pandas as pd
+
+    sizes = [5000, 4000, 3000, 20, 15, 10, 5]
+    rows = pd.DataFrame({"doc_id": range(7), "h": np.arange(7) * 7919, "size": sizes, "part": [0.3] * 7})
+    first = np.array([mix._fold(0, s)(rows).sort_values("doc_id")["part"] for s in range(6000)])
+    assert np.abs(first.mean(0) - 0.3).max() < 0.025 and np.abs(first @ sizes - 0.3 * sum(sizes)).max() < 1e-6
+    assert (((first > 0) & (first < 1)).sum(1) <= 1).all()
+    rows["part"] = [0.3, 0.9, 0.5, 0.1, 0.7, 0.2, 0.6]
+    later = np.array([mix._fold(2, s)(rows).sort_values("doc_id")["part"] for s in range(6000)])
+    assert np.abs(later.mean(0) - rows["part"]).max() < 0.025 and np.abs(later @ sizes - rows["part"] @ sizes).max() < 1e-6
+
+
+def test_means_of_a_whole_mix(spark, monkeypatch):
+    monkeypatch.setattr(mix, "CHUNK", 6)
+    monkeypatch.setattr(mix, "FAN", 2)
+    rng = random.Random(3)
+    docs = docs_of(spark, [(i, "w " * rng.choice((1, 2, 3, 50, 400)), "en", s) for s, n in (("a", 18), ("b", 30)) for i in range(100 * n, 101 * n)]).coalesce(1)
+    seen = Counter()
+    draws = 24
+    for s in range(draws):
+        rows = mix.mix(docs, weights=(1, 2), seed=s).collect()
+        for r in rows:
+            seen[r.doc_id] += r.copies
+    of = {r.doc_id: r.target / r.source_size for r in rows}
+    z = np.array([(seen[d] / draws - c) / np.sqrt(max((c % 1) * (1 - c % 1), 1e-3) / draws) for d, c in of.items()])
+    assert abs(z).max() < 4.5 and abs(z.mean()) < 0.5 and (z**2).mean() < 2
+
+
+def test_rows_there_many_times_are_mixed_as_one(spark):
+    docs = docs_of(spark, [(1, "a b", "en", "s")] * 70 + [(None, "c d e", "en", "s")] * 7 + [(k, "x " * k, "en", "t") for k in range(2, 40)])
+    rows = mix.mix(docs).collect()
+    same = [r.copies for r in rows if r.doc_id == 1]
+    assert len(rows) == docs.count() and len(same) == 70 and max(same) - min(same) <= 1 and max(r.copies for r in rows) <= 3
+    assert Counter(r.doc_id for r in mix.mixed(docs).collect()) == {d: n for d, n in ((d, sum(r.copies for r in rows if r.doc_id == d)) for d in {r.doc_id for r in rows}) if n}
 
 
 # 3 near duplicates
@@ -212,7 +258,7 @@ def test_near_odd_inputs(odd, none):
         of[r.doc_id].append(r)
     assert {r.class_id for d in (1, 2) for r in of[d]} == {1} and sum(r.kept for d in (1, 2) for r in of[d]) == 1
     assert of[6][0].class_id == of[7][0].class_id == 6 and all(of[d][0].class_size == 1 for d in (3, 4, 5))
-    kept = near.deduplicated(odd)
+    kept = kept_as_they_are(near.deduplicated(odd), odd)
     assert kept.columns == odd.columns and 2 not in {r.doc_id for r in kept.collect()}
 
 
@@ -322,7 +368,7 @@ def test_toxicity_odd_inputs(spark, odd, none):
     labels = spark.createDataFrame([(1, 0, 0), (None, 1, 1), (2, None, None)], "doc_id long, quality int, toxic int")
     rows = toxic.score_documents(odd, labels).collect()
     assert len(rows) == odd.count() and all(r.score == 0 and r.predicted == 0 for r in rows)
-    assert toxic.score_documents(none, labels).count() == 0 and toxic.clean(odd, labels).columns == odd.columns
+    assert toxic.score_documents(none, labels).count() == 0 and kept_as_they_are(toxic.clean(odd, labels), odd).columns == odd.columns
 
 
 def test_toxicity_is_learned_from_long_documents(spark):
@@ -343,13 +389,31 @@ def test_bpe_equals_the_library(some):
 
     t, codec = Tokenizer.from_file(bpe.default_path()), bpe.Codec(bpe.default_path(), cache=500)
     rng = random.Random(1)
-    parts = ["a", "b", "'", "s", "é", " ", "  ", "\n", "\t", "\r", "　", "日", "🙂", "1", ".", "<|endoftext|>", "q", "z", "\x85", "\x1c"]
+    parts = ["a", "b", "'", "s", "é", " ", "  ", "\n", "\t", "\r", "　", "日", "🙂", "1", ".", "<|endoftext|>", "q", "z", "\x85", "\x1c", "’", "\u00a0", "\u2003", "\u2028", "п", "ш", "ع", "ك", "த", "ி", "ʼ", "ll", "ve", "re", "_", "}", "\x7f", "٣", "½"]
     texts = ["", "\n\nb", *("".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(3000)), *(r.text for r in some.limit(60).collect())]
     for x in texts:
         ids = t.encode(x, add_special_tokens=False).ids
         assert codec.encode(x) == ids and codec.decode(ids) == t.decode(ids, skip_special_tokens=False) == x
 
 
+def test_cuts_in_all_scripts():
+    codec = bpe.Codec(bpe.default_path())
+    for text in ("ъыьэюяшщъыьэюя", "கணினிமொழி", "日本語処理", "\u1234\u1235\u1236"):
+        found = codec.fragments(text.encode())
+        assert len(found) > 1 and b"".join(found) == text.encode() and all(f.decode() for f in found)
+
+
+def test_bpe_refuses_what_it_does_not_cover(tmp_path):
+    import json
+
+    spec = json.load(open(bpe.default_path()))
+    for change in ({"normalizer": {"type": "NFC"}}, {"added_tokens": [dict(spec["added_tokens"][0], lstrip=True)]}, {"model": spec["model"] | {"merges": spec["model"]["merges"][::-1]}}):
+        path = tmp_path / "x.json"
+        path.write_text(json.dumps(spec | change))
+        with pytest.raises(ValueError, match="vocabulary file"):
+            bpe.Codec(str(path))
+
+
 def test_bpe_odd_inputs(odd, none):
     rows = bpe.encode_documents(odd, keep_ids=True).collect()
     empty = hashlib.sha256(b"").hexdigest()
@@ -378,10 +442,17 @@ def test_exact_odd_inputs(odd, none):
     group = [r for r in rows if r.doc_id in (1, 2)]
     assert {(r.keep_id, r.group_size) for r in group} == {(1, 4)} and sum(r.kept for r in group) == 1
     assert {(r.keep_id, r.group_size) for r in rows if r.doc_id in (3, 4)} == {(3, 3)}
-    out = exact.deduplicated(odd)
+    out = kept_as_they_are(exact.deduplicated(odd), odd)
     assert out.columns == odd.columns and sorted(r.doc_id for r in out.collect()) == [1, 3, 5, 6, 7, 8]
 
 
+def test_rows_that_differ_elsewhere_are_kept_by_value(spark):
+    rows = docs_of(spark, [(i, f"text {i} of six words here", lang, s) for i in (None, -1, 5) for lang in ("en", "fr") for s in "ab"]).withColumn("extra", F.create_map(F.lit("a"), F.col("lang")))
+    for f in (exact.deduplicated, near.deduplicated):
+        got = [{(r.doc_id, r.lang, r.source) for r in f(x).collect()} for x in (rows.coalesce(1), rows.repartition(5), rows.orderBy(F.desc("source"), F.desc("lang")))]
+        assert got[0] == got[1] == got[2] and sorted(str(d) for d, _, _ in got[0]) == ["-1", "5", "None"]
+
+
 # 8 shards
 def test_shards(odd, none, some):
     import xxhash
@@ -402,6 +473,24 @@ def test_shards(odd, none, some):
     assert len(got) == odd.count() and slots.shard_documents(none).count() == 0 and {r.size for r in got if r.doc_id in (3, 4)} == {16}
 
 
+def test_stored_maps_are_edited_by_bytes(spark, some, tmp_path):
+    path, key = str(tmp_path / "map"), F.col("doc_id").cast("string")
+    slots.store_map(spark, path, 1, slots.slot_map(5, 64))
+    rows = some.select("doc_id", F.when(F.pmod(F.xxhash64(key), F.lit(64)) < 12, 9000).otherwise(10).cast("long").alias("size"))
+    version = slots.rebalanced(rows, key, F.col("size"), path)
+    assert version == 2 and slots.stored_map(spark, path, 1)[1] == slots.slot_map(5, 64)
+    now = slots.stored_map(spark, path)[1]
+    out = slots.shard(rows, key, F.col("size"), [F.col("doc_id")], 5, 64, now).collect()
+    load, before = Counter(), Counter()
+    for r in out:
+        load[r.shard] += r.size
+        before[slots.slot_map(5, 64)[r.virtual_slot]] += r.size
+    assert all(r.shard == now[r.virtual_slot] == r.balanced_shard for r in out) and max(load.values()) < max(before.values()) and len(out) == rows.count()
+    user = some.select("doc_id", *[F.lit(f"user's {c}").alias(c) for c in ("start", "place", "slot", "shard", "x")])
+    got = slots.shard(user, key, F.lit(1), [F.col("doc_id")], 3)
+    assert all((r.start, r.place, r.x) == ("user's start", "user's place", "user's x") and 0 <= r.shard < 3 for r in got.collect())
+
+
 def test_rebalancing_moves_few_slots():
     rng = random.Random(6)
     now = slots.slot_map(5, 200)
@@ -527,6 +616,7 @@ def test_lines_with_a_million_blanks(spark):
 
 
 def test_lines_odd_inputs(odd, none):
+    kept_as_they_are(lines.without_repeats(odd, 3), odd)
     rows = lines.digests(odd, 3).collect()
     assert len(rows) == odd.count() and lines.digests(none).count() == 0
     assert {(r.n_lines, r.n_removed) for r in rows if r.doc_id == 3} == {(0, 0)} and {r.n_removed for r in rows if r.doc_id == 1} == {1}
