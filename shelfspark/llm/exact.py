@@ -18,9 +18,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfspark.llm.rows import id_key, one_of_each
 from shelfspark.session import cut
 
 BLOCK = 4096
+#: Blocks that a task remembers from one batch to the next at most.
+COMMON = 4096
 #: Names are a bucket in the high bits and the rank in the bucket in the low ones.
 BUCKETS, RANK_BITS = 1 << 20, 40
 _SPACE = re.compile(r"[ \t-\r]{2,}|[\t-\r]")
@@ -39,13 +42,15 @@ def normalise(text: str | None) -> str:
 
 def _local(block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Equal texts and equal blocks of one batch become one, so that copies never pile up behind a key."""
+        """Equal texts and equal blocks of one batch become one, and common blocks go on to the next batch, so that
+        copies do not pile up behind a key."""
         next_id = TaskContext.get().partitionId() << RANK_BITS
+        common: dict[str, int] = {}  # blocks that came again, for the batches to come
         for batch in batches:
             groups: dict[str, list] = {}
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 groups.setdefault(normalise(text), []).append(doc_id)
-            named: dict[str, int] = {}
+            named, again = dict(common), {}
             rows = []
             for text, ids in groups.items():
                 refs, fresh = [], []
@@ -55,10 +60,13 @@ def _local(block: int):
                         lid = named[piece] = next_id
                         next_id += 1
                         fresh.append({"lid": lid, "block": piece})
+                    elif len(again) < COMMON:
+                        again[piece] = lid
                     refs.append(lid)
                 first = min(range(len(ids)), key=lambda k: (ids[k] is None, ids[k] or 0))
                 rows.append({"gid": next_id, "sha": hashlib.sha256(text.encode()).hexdigest(), "docs": ids, "first": first, "refs": refs, "blocks": fresh})
                 next_id += 1
+            common = again
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
 
@@ -121,9 +129,10 @@ def exact_groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 def deduplicated(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns; the text moves once more.
 
-    Rows equal in id and normalised text count as one.
+    Rows equal in id and normalised text count as one; where they differ in
+    something else, one is kept by a hash of its values, the same in every run.
+    A null id is an id of its own.
     """
-    kept = exact_groups(docs, block).filter("kept").select(F.coalesce("doc_id", F.lit(-1)).alias("d_"), F.col("text_sha256").alias("s_")).distinct()
+    kept = exact_groups(docs, block).filter("kept").select(*[c.alias(n) for n, c in id_key().items()], F.col("text_sha256").alias("sha")).distinct()
     norm = F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), r"[ \x09-\x0D]{2,}|[\x09-\x0D]", " ")
-    rows = docs.withColumns({"d_": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), "s_": F.sha2(norm.cast("binary"), 256)})
-    return rows.dropDuplicates(["d_", "s_"]).join(kept, ["d_", "s_"], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return one_of_each(docs, id_key() | {"sha": F.sha2(norm.cast("binary"), 256)}, kept)

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.llm import segment
+from shelfspark.llm.rows import id_key, one_of_each
 from shelfspark.session import cut
 
 WORDS, SIMILARITY = 5, 0.8
@@ -360,8 +361,9 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
 
     def texts(wanted: DataFrame) -> DataFrame:
         # One text a node: the smallest row's. Repeated rows have the same text, so any will do.
-        one = nodes.select("node", F.coalesce("doc_id", F.lit(-1)).alias("k"), "th").join(wanted, "node", "left_semi")
-        return rows.withColumn("k", F.coalesce("doc_id", F.lit(-1))).join(one, ["k", "th"]).select("node", "text").dropDuplicates(["node"])
+        key = id_key()
+        one = nodes.select("node", *[c.alias(n) for n, c in key.items()], "th").join(wanted, "node", "left_semi")
+        return rows.select(*[c.alias(n) for n, c in key.items()], "th", "text").join(one, [*key, "th"]).select("node", "text").dropDuplicates(["node"])
 
     labels = labels_of(members, texts, weights, threshold)
     of = signed.select("uid", "doc_id", "th", "node")
@@ -376,8 +378,11 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that ``near_classes`` keeps; repeated rows count as one."""
-    key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("k_"), F.xxhash64(F.col("text").cast("string")).alias("t_")]
-    kept = near_classes(docs, threshold).filter("kept").select(F.coalesce("doc_id", F.lit(-1)).alias("k_"), F.col("th").alias("t_")).distinct()
-    rows = docs.withColumns({"k_": key[0], "t_": key[1]})
-    return rows.dropDuplicates(["k_", "t_"]).join(kept, ["k_", "t_"], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` that ``near_classes`` keeps, with all their columns.
+
+    Rows equal in id and text count as one; where they differ in something
+    else, one is kept by a hash of its values, the same in every run. A null id
+    is an id of its own.
+    """
+    kept = near_classes(docs, threshold).filter("kept").select(*[c.alias(n) for n, c in id_key().items()], "th").distinct()
+    return one_of_each(docs, id_key() | {"th": F.xxhash64(F.col("text").cast("string"))}, kept)

@@ -15,9 +15,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfspark.llm import segment
 from shelfspark.llm.langid import held_out
+from shelfspark.llm.rows import free_names
 from shelfspark.session import cut
 
 #: Toxic documents to learn from, about, and how many times as many clean ones; whole texts of any length.
@@ -364,7 +366,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with all their columns."""
     net = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
-    columns = docs.columns
-    text = F.col("text").cast("string").alias("text_")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.select("*", text).mapInArrow(_run(net, columns, ("score_", "predicted_")), f"{kinds}, score_ double, predicted_ int").filter("predicted_ = 0").drop("score_", "predicted_")
+    score_, predicted, text = free_names(docs, "score", "predicted", "whole_text")
+    kinds = T.StructType([*docs.schema.fields, T.StructField(score_, T.DoubleType()), T.StructField(predicted, T.IntegerType())])
+    rows = docs.select("*", F.col("text").cast("string").alias(text)).mapInArrow(_run(net, docs.columns, (score_, predicted)), kinds)
+    return rows.filter(F.col(predicted) == 0).drop(score_, predicted)
