@@ -3,7 +3,8 @@
 Records hash into a fixed number of slots; a versioned map assigns slots to
 shards. Adding a shard edits the map: the new shard takes an equal share of
 slots from the fullest shards and no other slot moves. A record's shard hence
-depends on its key and the shard count alone.
+depends on its key and the shard count alone. Rebalancing edits a map by the
+bytes that lie in each slot and stores the next version.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfspark.llm.rows import free_names
 from shelfspark.session import cut
 
 N_SLOTS = 8192
@@ -71,51 +73,80 @@ def slot_of(key: Column, n_slots: int = N_SLOTS) -> Column:
 
 def map_table(spark: SparkSession, versions: list[tuple[int, tuple[int, ...]]]) -> DataFrame:
     """Rows ``(version, virtual_slot, shard)``; each version has one row a slot."""
-    found = [
-        spark.range(len(m)).select(F.lit(v).alias("version"), F.col("id").cast("int").alias("virtual_slot"), F.element_at(F.array(*map(F.lit, m)), F.col("id").cast("int") + 1).alias("shard"))
-        for v, m in versions
-    ]
-    out = found[0]
-    for x in found[1:]:
-        out = out.union(x)
-    return out
+    texts = F.array(*[F.struct(F.lit(v).alias("version"), F.lit(",".join(map(str, m))).alias("shards")) for v, m in versions])
+    rows = spark.range(1).select(F.inline(texts)).select("version", F.posexplode(F.split("shards", ",")).alias("virtual_slot", "shard"))
+    return rows.withColumn("shard", F.col("shard").cast("int"))
 
 
-def shard(rows: DataFrame, key: Column, size: Column, order: list[Column], shards: int, n_slots: int = N_SLOTS) -> DataFrame:
-    """``rows`` with ``size, virtual_slot, slot_rows, slot_bytes, shard, slot, grown_shard``.
+def store_map(spark: SparkSession, path: str, version: int, assigned: tuple[int, ...]) -> None:
+    """Adds a version to the stored map; a version is written once."""
+    map_table(spark, [(version, assigned)]).coalesce(1).write.mode("errorifexists").parquet(f"{path}/version={version}")
+
+
+def stored_map(spark: SparkSession, path: str, version: int | None = None) -> tuple[int, tuple[int, ...]]:
+    """The latest or the given version; one number a slot."""
+    rows = spark.read.parquet(path)
+    version = rows.agg(F.max("version")).first()[0] if version is None else version
+    return version, tuple(r.shard for r in rows.filter(F.col("version") == version).orderBy("virtual_slot").collect())
+
+
+def slot_bytes(base: DataFrame) -> dict[int, int]:
+    """Bytes by virtual slot of rows with ``virtual_slot, size``: one number a slot."""
+    return {r.virtual_slot: r.b for r in base.groupBy("virtual_slot").agg(F.sum("size").alias("b")).collect()}
+
+
+def rebalanced(rows: DataFrame, key: Column, size: Column, path: str, tolerance: float = 0.05) -> int:
+    """Sums the bytes of ``rows`` by slot, edits the latest stored map by them, stores it as the next version and returns that."""
+    version, assigned = stored_map(rows.sparkSession, path)
+    base = rows.select(slot_of(key, len(assigned)).alias("virtual_slot"), size.cast("long").alias("size"))
+    store_map(rows.sparkSession, path, version + 1, rebalance(assigned, slot_bytes(base), tolerance))
+    return version + 1
+
+
+def shard(rows: DataFrame, key: Column, size: Column, order: list[Column], shards: int, n_slots: int = N_SLOTS, assigned: tuple[int, ...] | None = None) -> DataFrame:
+    """``rows`` with ``size, virtual_slot, slot_rows, slot_bytes, shard, slot, grown_shard, balanced_shard``.
 
     ``key`` decides the shard; it may not be null (give rows without a key a
     stand-in that spreads them). ``slot`` numbers the rows of a shard from 0
     without gaps, by virtual slot and ``order``; rows that tie in all of
     ``order`` get their numbers in any order. ``grown_shard`` is the shard with
-    one shard more. No row leaves the table; an empty table stays empty.
+    one shard more, ``balanced_shard`` that of the map edited by the slots'
+    bytes. No row leaves the table; an empty table stays empty. Columns named
+    as the added ones are replaced. ``assigned`` is the map to use, a stored
+    one maybe; without it, it is version ``shards``, so that key and shard count
+    alone decide.
 
     Only narrow rows move, once, by virtual slot: a hot source, text or group
-    spreads over all slots as its keys do. The tables joined by broadcast have
-    ``n_slots`` rows, whatever the input.
+    spreads over all slots as its keys do, and repeats of one key share a slot.
+    The tables joined by broadcast have ``n_slots`` rows, whatever the input.
     """
     spark = rows.sparkSession
-    base = cut(rows.select("*", size.cast("long").alias("size"), slot_of(key, n_slots).alias("virtual_slot")), "slots")
-    used = base.groupBy("virtual_slot").agg(F.count("*").alias("slot_rows"), F.sum("size").alias("slot_bytes"))
-    maps = map_table(spark, [(shards, slot_map(shards, n_slots)), (shards + 1, slot_map(shards + 1, n_slots))])
-    now, then = (maps.filter(F.col("version") == v).drop("version") for v in (shards, shards + 1))
-    slots = now.join(then.withColumnRenamed("shard", "grown_shard"), "virtual_slot").join(used, "virtual_slot")
+    assigned = slot_map(shards, n_slots) if assigned is None else assigned
+    added = ["virtual_slot", "slot_rows", "slot_bytes", "shard", "slot", "grown_shard", "balanced_shard"]
+    start, place = free_names(rows, "start", "place")
+    base = cut(rows.withColumns({"size": size.cast("long"), "virtual_slot": slot_of(key, n_slots)}).drop(*added[1:]), "slots")
+    used = cut(base.groupBy("virtual_slot").agg(F.count("*").alias("slot_rows"), F.sum("size").alias("slot_bytes")), "used")
+    balanced = rebalance(assigned, {r.virtual_slot: r.slot_bytes for r in used.select("virtual_slot", "slot_bytes").collect()})
+    maps = map_table(spark, [(0, assigned), (1, grow(assigned, shards)), (2, balanced)])
+    of = maps.groupBy("virtual_slot").agg(*[F.max(F.when(F.col("version") == v, F.col("shard"))).alias(c) for v, c in enumerate(("shard", "grown_shard", "balanced_shard"))])
+    slots = of.join(used, "virtual_slot")
     before = F.sum("slot_rows").over(Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1))
-    slots = slots.withColumn("start", F.coalesce(before, F.lit(0)))
-    place = F.row_number().over(Window.partitionBy("virtual_slot").orderBy(*order))
-    return base.withColumn("place", place - 1).join(F.broadcast(slots), "virtual_slot").withColumn("slot", (F.col("start") + F.col("place")).cast("long")).drop("start", "place")
+    slots = slots.withColumn(start, F.coalesce(before, F.lit(0)))
+    at = F.row_number().over(Window.partitionBy("virtual_slot").orderBy(*order))
+    return base.withColumn(place, at - 1).join(F.broadcast(slots), "virtual_slot").withColumn("slot", (F.col(start) + F.col(place)).cast("long")).drop(start, place)
 
 
 def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
-    """All documents dealt to shards by ``doc_id``.
+    """All documents dealt to shards by ``doc_id``: law ``key``, by which doc_id and shard count alone decide.
 
-    Null text counts as empty (16 bytes, CRC 0). Rows without a doc_id are
-    spread by their text's CRC. Repeated rows all stay.
+    Null text counts as empty (16 bytes, CRC 0). Rows without a doc_id have no
+    key; they are spread by their text's CRC, which then stands in for it.
+    Repeated rows all stay.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.crc32(text.cast("binary")).alias("text_crc32"), (F.octet_length(text) + 16).alias("n"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.crc32(text.cast("binary")).alias("text_crc32"), (F.octet_length(text) + 16).alias("size"))
     key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("no id "), F.col("text_crc32")))
-    out = shard(rows, key, F.col("n"), [F.col("doc_id"), F.col("text_crc32"), F.col("size")], shards)
+    out = shard(rows, key, F.col("size"), [F.col("doc_id"), F.col("text_crc32"), F.col("size")], shards)
     return out.select(
-        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard", "virtual_slot", "slot_rows", "slot_bytes", F.lit(shards).alias("map_version")
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard", "balanced_shard", "virtual_slot", "slot_rows", "slot_bytes", F.lit(shards).alias("map_version")
     )
