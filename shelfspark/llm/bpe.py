@@ -3,9 +3,10 @@
 A byte pair that occurs inside no token of the vocabulary can never be bridged
 by a merge, so a text may be cut there and its fragments encoded on their own.
 The pre-tokenizer also looks at characters next to a pre-token, so whole texts
-are cut only at certain pairs that no such look depends on: those whose second
-byte is white space, and those of two ASCII letters. Fragments repeat often;
-each is encoded once while it stays in a bounded cache.
+are cut only at certain pairs that no such look depends on: before white space,
+and between two characters of any script that are no white space and no
+apostrophe, in the middle of a pre-token or at its end alike. Fragments repeat
+often; each is encoded once while it stays in a cache of bounded bytes.
 """
 
 from __future__ import annotations
@@ -23,8 +24,11 @@ from pyspark.sql import functions as F
 
 #: The pre-tokenizer pattern of byte-level BPE vocabularies of this kind (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Fragments kept encoded in a task at most; beyond, the cache starts anew.
-CACHE = 500_000
+#: Bytes of fragments and of their ids that a task keeps at most; beyond, the cache starts anew. A longer
+#: fragment than LONG is not kept at all.
+CACHE, LONG = 64 << 20, 1 << 12
+#: Last bytes of white space characters beyond ASCII, which may not come before a cut (fixed values).
+SPACE_ENDS = (*range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF)
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -34,12 +38,41 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def refuse_unknown(spec: dict) -> None:
+    """Only byte-level BPE as this module has it: anything else in the file is an error, not ignored."""
+    model, pre, decoder = spec["model"], spec.get("pre_tokenizer") or {}, spec.get("decoder") or {}
+    wrong = [k for k in ("lstrip", "rstrip", "single_word", "normalized") if any(t.get(k) and not (k == "normalized" and spec.get("normalizer") is None) for t in spec["added_tokens"])]
+    wrong += [k for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(k)]
+    wrong += ["normalizer"] if spec.get("normalizer") else []
+    wrong += ["pre_tokenizer"] if pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True) else []
+    wrong += ["decoder"] if decoder.get("type") != "ByteLevel" else []
+    wrong += ["model"] if model.get("type", "BPE") != "BPE" else []
+    vocab = model["vocab"]
+    ranks = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    wrong += ["merges"] if ranks != sorted(ranks) else []
+    if wrong:
+        raise ValueError(f"this vocabulary file has {', '.join(wrong)}, which byte-level BPE by merge order does not cover")
+
+
+def usable_pairs() -> np.ndarray:
+    """By first and second byte: pairs at which a cut leaves every pre-token as it is but for being cut itself."""
+    a, b = np.arange(256)[:, None], np.arange(256)[None, :]
+    space = lambda x: np.isin(x, [9, 10, 11, 12, 13, 32])
+    solid = ~space(a) & ~np.isin(a, [0x1C, 0x1D, 0x1E, 0x1F, ord("'"), *SPACE_ENDS]) & (a < 0xC0)
+    begins = ~space(b) & (b != ord("'")) & ((b < 0x80) | (b >= 0xC2))
+    out = space(b) | solid & begins
+    for x in ("re", "ve", "ll"):  # inside what the pattern takes for a contraction
+        out[ord(x[0]), ord(x[1])] = False
+    return out
+
+
 class Codec:
     """Encodes and decodes with one vocabulary file; equal to the tokenizers library on every text."""
 
     def __init__(self, path: str, cache: int = CACHE) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        refuse_unknown(spec)
         of = byte_alphabet()
         self.special = {t["content"].encode(): t["id"] for t in spec["added_tokens"]}
         vocab = {bytes(of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if i not in self.special.values()}
@@ -50,13 +83,10 @@ class Codec:
         for t in vocab:
             a = np.frombuffer(t, np.uint8)
             inside[a[:-1], a[1:]] = True
-        space, letter = np.zeros(256, bool), np.zeros(256, bool)
-        space[[9, 10, 11, 12, 13, 32]] = True
-        letter[[b for b in range(128) if chr(b).isalpha()]] = True
-        self.cut = (~inside & (space[None, :] | letter[:, None] & letter[None, :])).ravel()
+        self.cut = (~inside & usable_pairs()).ravel()
         self.cache: dict[bytes, bytes] = {}
         self.odd: dict[bytes, bytes] = {}
-        self.most = cache
+        self.most, self.held = cache, 0
 
     def fragments(self, data: bytes) -> list[bytes]:
         """``data`` cut at every usable certain pair."""
@@ -71,14 +101,22 @@ class Codec:
             return [cache[f] for f in fragments]
         except KeyError:
             pass
-        if len(cache) > self.most:
+        if self.held > self.most:
             cache.clear()
+            self.odd.clear()
+            self.held = 0
+        long = {}
         for f in set(fragments).difference(cache):
             ids = self.model.encode_ordinary(f.decode())
-            cache[f] = ("," + ",".join(map(str, ids))).encode()
+            text = ("," + ",".join(map(str, ids))).encode()
             if (back := b"".join([self.bytes[i] for i in ids])) != f:
                 self.odd[f] = back
-        return [cache[f] for f in fragments]
+            if len(f) <= LONG:
+                cache[f] = text
+                self.held += len(f) + len(text) + 200
+            else:
+                long[f] = text
+        return [long.get(f) or cache[f] for f in fragments] if long else [cache[f] for f in fragments]
 
     def both(self, data: bytes) -> tuple[bytes, bytes]:
         """The ids of ``data`` as decimal numbers joined by commas, and the bytes they decode to."""
