@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 #: Values that mean nothing (fixed values).
 UNDEFINED = ("undefined", "unknown", "null", "none", "n/a", "na", "")
+#: All characters that Unicode calls white space, and the separators that text tools count as such (fixed values).
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 SHOUT = 0.80
 DESCRIPTION_LENGTH = 600
 IMAGE_BASE = "https://images.example.org/products"
 
 
 def strip(x: Column) -> Column:
-    """Without white space of any kind at either end."""
-    return F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
+    """Without white space of any kind at either end; linear, however much of it lies inside."""
+    return F.trim(x, F.lit(WHITE))
 
 
 def present(x: Column) -> Column:

@@ -36,7 +36,10 @@ def global_roots(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 def depths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``id, depth``: fewest hops from a root. Where only cycles are left, the smallest unreached id becomes a root."""
-    edges = cut(valid_edges(nodes, edges), "edges")
+    return _depths(nodes, cut(valid_edges(nodes, edges), "edges"))
+
+
+def _depths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     ids = cut(nodes.select("id").distinct(), "ids")
     seen = frontier = cut(ids.join(edges.select(F.col("child").alias("id")), "id", "left_anti").withColumn("depth", F.lit(0)), "depth")
     while True:
@@ -52,9 +55,10 @@ def depths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 def canonical(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``id, depth, parent``: of the parents nearer to a root the nearest, then the smallest; none for roots."""
-    depth = cut(depths(nodes, edges), "depths")
+    edges = cut(valid_edges(nodes, edges), "edges")
+    depth = _depths(nodes, edges)
     up = depth.select(F.col("id").alias("parent"), F.col("depth").alias("up"))
-    best = valid_edges(nodes, edges).join(up, "parent").join(depth.withColumnRenamed("id", "child"), "child").filter("up < depth")
+    best = edges.join(up, "parent").join(depth.withColumnRenamed("id", "child"), "child").filter("up < depth")
     best = best.groupBy(F.col("child").alias("id")).agg(F.min(F.struct("up", "parent"))["parent"].alias("parent"))
     return depth.join(best, "id", "left")
 
@@ -70,26 +74,32 @@ def ancestry(canon: DataFrame) -> DataFrame:
         done = done.union(level)
 
 
-def addresses(nodes: DataFrame, edges: DataFrame, canon: DataFrame, most: int = MAX_ADDRESSES) -> DataFrame:
+def addresses(nodes: DataFrame, edges: DataFrame, canon: DataFrame, most: int = MAX_ADDRESSES, chains: DataFrame | None = None) -> DataFrame:
     """``id, address_rank, path, is_primary``: every root-to-node path without a repeated node.
 
-    The canonical chain comes first, the rest by length, then step by step. A
-    node with more than ``most`` addresses stops the run.
+    The canonical chain (``chains``, if it is known already) comes first, the
+    rest by length, then step by step. A node with more than ``most`` addresses
+    stops the run: each level is counted by itself, and all levels together
+    only once their largest counts could add up to more.
     """
     edges = cut(valid_edges(nodes, edges), "edges")
     roots = canon.filter("parent IS NULL").select("id")
     done = level = roots.select("id", F.array("id").alias("path"))
+    bound = 1
     while True:
         step = edges.join(level.withColumnRenamed("id", "parent"), "parent").filter(~F.array_contains("path", F.col("child")))
         step = step.join(roots.withColumnRenamed("id", "child"), "child", "left_anti")
         level = cut(step.select(F.col("child").alias("id"), F.array_append("path", F.col("child")).alias("path")), "address")
-        if level.isEmpty():
+        largest = level.groupBy("id").count().agg(F.max("count")).first()[0]
+        if largest is None:
             break
-        done = done.union(level)
-        over = exploded(done, most).orderBy("id").first()
+        done, bound = done.union(level), bound + largest
+        over = exploded(done, most).orderBy("id").first() if bound > most else None
         if over:
             raise AddressExplosionError(f"{over.id} has {over.addresses} addresses")
-    rows = done.distinct().join(ancestry(canon).withColumnRenamed("path", "chain"), "id").withColumn("is_primary", F.col("path") == F.col("chain"))
+    # Paths of different lengths come from different levels and edges are distinct, so no path is there twice.
+    chains = ancestry(canon) if chains is None else chains
+    rows = done.join(chains.withColumnRenamed("path", "chain"), "id").withColumn("is_primary", F.col("path") == F.col("chain"))
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("is_primary"), F.size("path"), "path"))
     return rows.select("id", rank.alias("address_rank"), "path", "is_primary")
 
@@ -117,7 +127,7 @@ def slug_label(node: Column) -> Column:
 
 def display_label(node: Column, names: list[Column]) -> Column:
     """The first name that is not blank, its first letter capital, else the slug; path separators become spaces."""
-    name = F.coalesce(*[F.nullif(F.trim(n), F.lit("")) for n in names])
+    name = F.coalesce(F.lit(None).cast("string"), *[F.nullif(F.trim(n), F.lit("")) for n in names])
     return F.replace(F.coalesce(_capital(name), slug_label(node)), F.lit(SEPARATOR), F.lit(" "))
 
 
@@ -129,8 +139,17 @@ def phantom_roots(canon: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataF
 def rendered(found: DataFrame, labels: DataFrame) -> DataFrame:
     """``id, address_rank, step, node, path``: each address's cumulative label paths, once per address."""
     steps = found.select("id", "address_rank", F.posexplode("path").alias("step", "node")).join(labels.select(F.col("id").alias("node"), "label"), "node")
-    so_far = Window.partitionBy("id", "address_rank").orderBy("step")
-    return steps.select("id", "address_rank", "step", "node", F.array_join(F.collect_list("label").over(so_far), SEPARATOR).alias("path"))
+    whole = steps.groupBy("id", "address_rank").agg(F.array_sort(F.collect_list(F.struct("step", "node", "label"))).alias("s"))
+    names = F.transform("s", lambda x: x["label"])
+    out = F.transform("s", lambda x, i: F.struct(x["step"].alias("step"), x["node"].alias("node"), F.array_join(F.slice(names, 1, i + 1), SEPARATOR).alias("path")))
+    return whole.select("id", "address_rank", F.inline(out))
+
+
+def path_ids(steps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``paths(pid, node, path)``, an integer for each (node, path) of ``rendered``, and ``steps`` with it in place of
+    the strings: products carry integers, and strings join last."""
+    paths = cut(steps.select("node", "path").distinct().orderBy("path", "node").select(F.monotonically_increasing_id().alias("pid"), "node", "path"), "paths")
+    return paths, cut(steps.join(paths, ["node", "path"]).select("id", "address_rank", "step", "pid"), "steps")
 
 
 def path_ceiling(found: DataFrame, labels: DataFrame, eligible: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.operators.verify import Tolerance
@@ -71,14 +71,30 @@ def copy_gate(source: DataFrame, copy: DataFrame, tolerance: Tolerance = Toleran
 
 
 def fingerprint(name: str, df: DataFrame) -> DataFrame:
-    """``table, rows, fingerprint``: the same for the same rows in any order."""
-    return df.agg(F.count("*").alias("rows"), F.coalesce(F.bit_xor(F.xxhash64(*df.columns)), F.lit(0)).alias("fingerprint")).select(F.lit(name).alias("table"), "rows", "fingerprint")
+    """``entry, rows, fingerprint``: the same for the same rows in any order; a repeated row counts each time.
 
-
-def manifest(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
-    """The fingerprints of all tables of a build."""
-    out = None
-    for name, df in tables.items():
-        row = fingerprint(name, df)
-        out = row if out is None else out.union(row)
+    The sum of the first 52 bits of every row's MD5, taken over its JSON text.
+    """
+    mark = F.conv(F.substring(F.md5(F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"}).cast("binary")), 1, 13), 16, 10).cast("decimal(20,0)")
+    out = df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(mark), F.lit(0)).cast("decimal(38,0)").cast("string").alias("fingerprint"))
+    return out.select(F.lit(name).alias("entry"), "rows", "fingerprint")
+
+
+def manifest(tables: dict[str, DataFrame], nodes: DataFrame | None = None, roots: DataFrame | None = None) -> DataFrame:
+    """``entry, rows, fingerprint``: a row for each table of a build, and the taxonomy's nodes and global roots."""
+    rows = [fingerprint(name, df) for name, df in tables.items()]
+    rows += [fingerprint(name, df.select("id")) for name, df in (("taxonomy nodes", nodes), ("taxonomy roots", roots)) if df is not None]
+    out = rows[0]
+    for x in rows[1:]:
+        out = out.union(x)
     return out
+
+
+def pin_check(found: DataFrame, pinned: DataFrame) -> DataFrame:
+    """``check, status, reason`` for each entry of ``found``, a manifest: pass or fail by the fingerprint that
+    ``pinned(entry, fingerprint)`` has; a null there waives the check on purpose, a missing entry fails."""
+    rows = found.join(pinned.select("entry", F.col("fingerprint").alias("expected"), F.lit(True).alias("there")), "entry", "left")
+    waived = F.col("there") & F.col("expected").isNull()
+    status = F.when(waived | (F.col("fingerprint") == F.col("expected")), "pass").otherwise("fail")
+    reason = F.when(waived, "waived").when(F.col("there").isNull(), "not pinned").when(F.col("fingerprint") == F.col("expected"), "as pinned").otherwise("differs")
+    return rows.select(F.col("entry").alias("check"), status.alias("status"), reason.alias("reason"))

@@ -85,11 +85,63 @@ def missing_runs(positions: DataFrame, width: int = 1 << 20) -> DataFrame:
     return islands.filter(~edge).select("first", "last").union(joined).withColumn("ids", F.col("last") - F.col("first") + 1)
 
 
-def verdicts(**checks: DataFrame) -> DataFrame:
-    """``check, status`` over frames with a status column; a check fails with any of its rows, and passes if none fails."""
+def run_summary(runs: DataFrame, least: int = 100, k: int = 10) -> DataFrame:
+    """``metric, value``: how many runs there are, how many of ``least`` ids and more, the ids in those, and the ``k`` largest runs."""
+    long = F.col("ids") >= least
+    counts = runs.agg(F.count("*").alias("runs"), F.count_if(long).alias("long_runs"), F.coalesce(F.sum(F.when(long, F.col("ids"))), F.lit(0)).alias("ids_in_long_runs"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("long").alias("value")) for c in counts.columns])
+    top = runs.orderBy(F.desc("ids"), "first").limit(k).select(F.concat(F.lit("run "), "first", F.lit("-"), "last").alias("metric"), F.col("ids").cast("long").alias("value"))
+    return counts.select(F.inline(pairs)).union(top)
+
+
+def vocabulary_check(paths: DataFrame, labels: DataFrame, roots: DataFrame, declared: bool = True, separator: str = "/") -> DataFrame:
+    """One row: values, segments outside ``labels``, heads that are no root, labels unused, orphan addresses, ``status``.
+
+    ``paths(path)`` are the published addresses. Without the field declared the
+    check is ``blind``: no value says nothing then. No value at all fails.
+    Unused labels only inform.
+    """
+    known = paths.select("path").filter("path IS NOT NULL").distinct()
+    segments = known.select(F.explode(F.split("path", separator)).alias("label")).distinct()
+    heads = known.select(F.substring_index("path", separator, 1).alias("label")).distinct()
+    of = lambda df, other: df.join(other.select("label").distinct(), "label", "left_anti").agg(F.count("*").alias("n"))
+    out = known.agg(F.count("*").alias("values")).join(of(segments, labels).withColumnRenamed("n", "outside")).join(of(heads, roots).withColumnRenamed("n", "heads_outside_roots"))
+    out = out.join(of(labels.select("label").distinct(), segments).withColumnRenamed("n", "unused")).join(orphan_addresses(known, separator).agg(F.count("*").alias("orphans")))
+    bad = (F.col("values") == 0) | (F.col("outside") > 0) | (F.col("heads_outside_roots") > 0) | (F.col("orphans") > 0)
+    return out.withColumn("status", F.lit("blind") if not declared else F.when(bad, "fail").otherwise("pass"))
+
+
+def identity_sets(published: DataFrame, built: DataFrame) -> DataFrame:
+    """One row: ids missing from the published table and unexpected there, ``status``; an empty read fails."""
+    sides = id_diff(published, built).agg(F.count_if(F.col("side") == "missing").alias("missing"), F.count_if(F.col("side") == "unexpected").alias("unexpected"))
+    out = sides.join(published.agg(F.count("*").alias("read")))
+    return out.withColumn("status", F.when((F.col("missing") + F.col("unexpected") > 0) | (F.col("read") == 0), "fail").otherwise("pass"))
+
+
+def verdicts(**checks: DataFrame | None) -> DataFrame:
+    """``check, status`` over frames with a status column; a check fails with any of its rows, and passes if none fails.
+
+    A check that was not run (None) is ``skipped``; one that could not see, blind or without records, is unverifiable.
+    """
     out = None
     for name, df in checks.items():
-        bad, unknown = F.coalesce(F.max((F.col("status") == "fail").cast("int")), F.lit(1)), F.max((F.col("status") == "unverifiable").cast("int"))
+        if df is None:
+            continue
+        bad, unknown = F.coalesce(F.max((F.col("status") == "fail").cast("int")), F.lit(1)), F.max(F.col("status").isin("unverifiable", "blind").cast("int"))
         row = df.agg(F.when(bad == 1, "fail").when(unknown == 1, "unverifiable").otherwise("pass").alias("status")).select(F.lit(name).alias("check"), "status")
         out = row if out is None else out.union(row)
+    skipped = [k for k, df in checks.items() if df is None]
+    if skipped and out is not None:
+        rows = F.array(*[F.struct(F.lit(k).alias("check"), F.lit("skipped").alias("status")) for k in skipped])
+        out = out.union(out.sparkSession.range(1).select(F.inline(rows)))
     return out
+
+
+def reconciled(published: DataFrame, built: DataFrame, paths: DataFrame, labels: DataFrame, roots: DataFrame, wanted: list[str], covered: str, found: dict[str, str], manifest: DataFrame, ids: bool = True) -> DataFrame:
+    """All six checks in order: schema, identity, count, coverage, vocabulary, ids. Those that read a field which the
+    schema does not declare are skipped, and the comparison of ids unless ``ids`` asks for it."""
+    have = set(field_names(published.schema))
+    return verdicts(
+        schema=schema_check(published, wanted), identity=identity_check(found, manifest), count=count_check(published, built), coverage=coverage_check(published, covered) if covered in have else None,
+        vocabulary=vocabulary_check(paths, labels, roots), ids=identity_sets(published, built) if ids else None,
+    )

@@ -80,12 +80,23 @@ def segment_checks(checked: DataFrame, roots: DataFrame, labels: DataFrame) -> D
     steps = chains.select(F.explode("category_path_primary").alias("address")).withColumn("segment", F.substring_index("address", SEPARATOR, -1))
     several = steps.groupBy("segment").agg(F.countDistinct("address").alias("n")).agg(F.count_if(F.col("n") > 1).alias("several_primary_addresses"))
     heads = chains.select(F.get("category_path_primary", F.lit(0)).alias("label")).join(roots.select("label").distinct(), "label", "left_anti").agg(F.count("*").alias("unanchored_chains"))
-    values = checked.select(F.explode("taxonomy_tags").alias("label")).union(checked.filter("size(category_path) > 0 AND union_bad IS NULL").select(F.explode("category_path").alias("p")).select(F.substring_index("p", SEPARATOR, -1)))
-    counted = values.groupBy("label").agg(F.count("*").alias("n"))
+    counted = _values(checked).groupBy("label").agg(F.count("*").alias("n"))
     outside = counted.join(labels.select("label").distinct(), "label", "left_anti").agg(F.count("*").alias("values_outside"), F.coalesce(F.sum("n"), F.lit(0)).alias("instances_outside"))
     return several.join(heads).join(counted.agg(F.count("*").alias("values_checked"))).join(outside)
 
 
+def _values(checked: DataFrame) -> DataFrame:
+    """Tags of all rows, and segments of those whose union parsed."""
+    paths = checked.filter("size(category_path) > 0 AND union_bad IS NULL").select(F.explode("category_path").alias("p"))
+    return checked.select(F.explode("taxonomy_tags").alias("label")).union(paths.select(F.substring_index("p", SEPARATOR, -1)))
+
+
+def outside_values(checked: DataFrame, labels: DataFrame, k: int = 5) -> DataFrame:
+    """``label, instances``: the ``k`` commonest values that are no label, ties by value."""
+    counted = _values(checked).groupBy("label").agg(F.count("*").alias("instances"))
+    return counted.join(labels.select("label").distinct(), "label", "left_anti").orderBy(F.desc("instances"), "label").limit(k)
+
+
 def metrics(checked: DataFrame) -> DataFrame:
     """One row: records, ids, coverage, violations, path sizes. A missing id counts as empty text."""
     has = F.coalesce(F.size("category_path") > 0, F.lit(False))

@@ -31,6 +31,12 @@ SQL = {
     "texts": "SELECT doc_id, lang, CASE WHEN doc_id % 7 = 0 THEN upper(replace(text, 'ß', 'ss')) ELSE text END AS product_name, text, source FROM documents",
     "quantities": """SELECT l_orderkey, l_linenumber, l_partkey, CASE l_orderkey % 4 WHEN 0 THEN concat(p_size, ' g') WHEN 1 THEN concat(CAST(l_quantity AS INT), ' x ', p_size, ' ml')
         WHEN 2 THEN concat(p_size, ',5 oz') ELSE '' END AS quantity, l_quantity, p_size FROM lineitem JOIN part ON l_partkey = p_partkey""",
+    "raw": """SELECT o_orderkey, CASE WHEN o_orderkey % 97 = 1 THEN 'bad' WHEN o_orderkey % 89 = 2 THEN 'list' ELSE 'good' END AS form,
+        CASE WHEN o_orderkey % 101 <> 3 THEN concat(o_orderkey + 1) ELSE '' END AS code, CASE WHEN o_orderkey % 202 = 3 THEN concat(' ', o_orderkey + 1000000000, ' ') END AS alt,
+        CASE WHEN o_orderkey % 53 = 4 THEN ' ' WHEN o_orderkey % 7 = 0 THEN upper(concat('bread for ', o_orderstatus)) ELSE concat(CASE o_custkey % 3 WHEN 0 THEN 'Fresh milk' WHEN 1 THEN 'Extra virgin olive oil' ELSE 'Sundries' END, ' ', o_orderkey) END AS title,
+        CASE WHEN o_orderkey % 59 <> 5 THEN concat('Parcel of priority ', o_orderpriority, '.') END AS descr, CASE WHEN o_orderkey % 61 <> 6 THEN o_custkey % 30 + 1 END AS rev,
+        CASE WHEN o_orderkey % 4 <> 0 THEN concat('Brand ', o_orderstatus) END AS brand, CASE o_orderkey % 3 WHEN 0 THEN concat(o_custkey % 900 + 100, ' g') WHEN 1 THEN concat(o_custkey % 900 + 100, 'ml') END AS quantity,
+        CASE o_custkey % 3 WHEN 0 THEN ' b ' WHEN 1 THEN 'unknown' END AS grade, CASE WHEN o_custkey % 5 <> 0 THEN o_custkey % 4 + 1 END AS nova, o_custkey AS scans FROM orders""",
     "scans": "SELECT user_id, count(*) AS scans FROM events GROUP BY user_id",
     "built": "SELECT o_orderkey AS id, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
     "published": """SELECT o_orderkey AS id, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders

@@ -10,7 +10,7 @@ from shelfspark.functions import text as T
 from shelfspark.operators import documents as D
 from shelfspark.operators import publish, reconcile, verify
 from shelfspark.plans.adapters import ctes, table
-from shelfspark.session import cut
+from shelfspark.session import cut, scratch
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -42,7 +42,11 @@ def parse_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _HAY = "lower(CASE p_size % 6 WHEN 0 THEN 'Dark Chocolate' WHEN 1 THEN 'Extra virgin fine olive' WHEN 2 THEN 'boiled' WHEN 3 THEN 'Whole milk' WHEN 4 THEN 'rye bread' ELSE 'x' END || ' | ' || p_type || ' | ' || p_name)"
-_BUCKET = "CASE " + " ".join("WHEN " + ("(h LIKE '%olive oil%' OR (h LIKE '%extra virgin%' AND h LIKE '%olive%'))" if n == "olive_oil" else "(" + " OR ".join(f"h LIKE '%{w}%'" for w in ws.split("|")) + ")") + f" THEN '{n}'" for n, ws in P.BUCKET_WORDS) + " ELSE 'default' END"
+#: The oracle's own statement of the buckets in order and of their margins (fixed values).
+_BUCKET = """CASE WHEN regexp_matches(h, 'snack|confection|candy|chocolate|sweet|biscuit|cookie|gummies') THEN 'snacks_sweets' WHEN regexp_matches(h, 'condiment|sauce|vinegar|dressing|marinade|ketchup|mustard') THEN 'condiments_sauces'
+    WHEN h LIKE '%olive oil%' OR (h LIKE '%extra virgin%' AND h LIKE '%olive%') THEN 'olive_oil' WHEN regexp_matches(h, 'oil|fat') THEN 'oils_fats' WHEN regexp_matches(h, 'sweetener|syrup|maple|honey') THEN 'sweeteners_syrups'
+    WHEN regexp_matches(h, 'meal|pasta|ravioli|frozen|ready|prepared|dish') THEN 'meals_chilled_frozen' WHEN regexp_matches(h, 'fruit|vegetable|produce|salad|lettuce|apple') THEN 'produce' WHEN regexp_matches(h, 'milk|cheese|yogurt|dairy|butter') THEN 'dairy'
+    WHEN regexp_matches(h, 'beverage|drink|juice|soda|soft|water') THEN 'beverages_soft' WHEN regexp_matches(h, 'coffee|tea') THEN 'coffee_tea' WHEN regexp_matches(h, 'bread|bakery|croissant|cake|pastry') THEN 'bakery' ELSE 'default' END"""
 
 
 def _primary() -> F.Column:
@@ -79,7 +83,9 @@ def retail_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", P.retail_round(F.col("l_extendedprice") / 37, CONFIG.endings).alias("price"))
 
 
-_VALUES = ", ".join(f"('{k}', '{b.unit}', {b.median}::DOUBLE, {b.sigma}::DOUBLE, {'NULL' if b.grams is None else b.grams}::DOUBLE, {'NULL' if b.ml is None else b.ml}::DOUBLE)" for k, b in CONFIG.buckets.items())
+#: The oracle's own statement of CONFIG.
+_VALUES = """('default', 'kg', 10.0::DOUBLE, 0.55::DOUBLE, 250::DOUBLE, 500::DOUBLE), ('olive_oil', 'l', 26.0::DOUBLE, 0.5::DOUBLE, NULL::DOUBLE, 500::DOUBLE), ('dairy', 'kg', 6.0::DOUBLE, 0.6::DOUBLE, 500::DOUBLE, NULL::DOUBLE),
+    ('bakery', 'kg', 8.0::DOUBLE, 0.6::DOUBLE, 400::DOUBLE, NULL::DOUBLE)"""
 _ESTIMATE = f"""WITH b(name, unit, median, sigma, dg, dm) AS (VALUES {_VALUES}),
 p AS (SELECT *, {_BUCKET} AS raw FROM (SELECT *, {_HAY} AS h, CASE p_partkey % 3 WHEN 0 THEN p_size::DOUBLE END AS g, CASE WHEN p_partkey % 3 = 1 THEN p_size * 10.0::DOUBLE END AS m FROM part)),
 j AS (SELECT p.*, b.*, CASE WHEN unit = 'kg' AND g IS NOT NULL THEN g / 1000 WHEN unit = 'l' AND m IS NOT NULL THEN m / 1000 WHEN unit = 'kg' THEN coalesce(dg / 1000, 0.25) ELSE coalesce(dm / 1000, 0.5) END AS amount,
@@ -96,7 +102,7 @@ def _estimated(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.when(n == 0, F.concat("p_size", F.lit(" g"))).when(n == 1, F.concat(F.col("p_size") * 10, F.lit("ml")))
     labels = F.when(F.col("p_size") % 2 == 0, F.array(*map(F.lit, ("en:organic", "en:organic", "en:fair-trade", "en:other"))))
     brand = F.when(F.col("p_partkey") % 4 != 0, F.col("p_brand"))
-    return rows.withColumns({"size": size, "labels": labels, "brand": brand}).withColumn("e", P.estimate(F.col("p_partkey").cast("string"), F.col("bucket"), F.col("size"), F.col("labels"), F.col("brand"), CONFIG))
+    return P.estimated(rows.withColumns({"size": size, "labels": labels, "brand": brand}), F.col("p_partkey").cast("string"), F.col("bucket"), F.col("size"), F.col("labels"), F.col("brand"), CONFIG)
 
 
 @query("estimate_price", f"{_ESTIMATE} SELECT p_partkey, name AS bucket, round(unit_price, 6) AS unit_price, {_rounded('greatest(0.49, least(99.99, unit_price * amount))')} AS price FROM u")
@@ -110,7 +116,8 @@ def popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "scans").select("user_id", P.popularity(F.col("scans")).alias("popularity"))
 
 
-_RATES = "CASE k " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in P.BASE_MARGIN.items()) + " END"
+_RATES = """CASE k WHEN 'bakery' THEN 42 WHEN 'snacks_sweets' THEN 38 WHEN 'coffee_tea' THEN 35 WHEN 'produce' THEN 35 WHEN 'beverages_soft' THEN 30 WHEN 'condiments_sauces' THEN 30 WHEN 'meals_chilled_frozen' THEN 28
+    WHEN 'sweeteners_syrups' THEN 28 WHEN 'default' THEN 25 WHEN 'oils_fats' THEN 24 WHEN 'olive_oil' THEN 22 WHEN 'dairy' THEN 20 END"""
 
 
 @query("margin", f"""WITH m AS (SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'default' ELSE raw END AS k, p_size, least(1.4, CASE WHEN p_size % 2 = 0 THEN 1.25 ELSE 1.0 END * CASE WHEN p_size % 5 = 0 THEN 1.15 ELSE 1.0 END) AS up
@@ -243,23 +250,28 @@ def _both(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 _PB = ctes("published", "built")
 
 
-@query("schema_check", "SELECT unnest(['id', 'o_totalprice', 'o_orderstatus', 'absent']) AS field, unnest(['pass', 'pass', 'pass', 'fail']) AS status FROM (SELECT count(*) FROM orders)")
+@query("schema_check", "SELECT f AS field, CASE WHEN f IN (SELECT replace(column_name, 'o_orderkey', 'id') FROM (DESCRIBE orders)) THEN 'pass' ELSE 'fail' END AS status FROM (SELECT unnest(['id', 'o_totalprice', 'o_orderstatus', 'absent']) AS f)")
 def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.schema_check(_both(spark, sf_dir)[0], ["id", "o_totalprice", "o_orderstatus", "absent"])
 
 
-@query("identity_check", f"WITH {_PB} SELECT unnest(['ids', 'rows', 'commit']) AS property, unnest(['fail', CASE WHEN (SELECT count(*) FROM built) > 0 THEN 'pass' END, 'unverifiable']) AS status FROM (SELECT count(*) FROM built)")
+@query("identity_check", f"""WITH {_PB}, p(property, found, expected) AS (SELECT unnest(['ids', 'rows', 'commit']), unnest([(SELECT count(DISTINCT id) FROM published), (SELECT count(*) FROM built), NULL]),
+    unnest([(SELECT count(DISTINCT id) FROM built), (SELECT count(*) FROM built), 0])) SELECT property, CASE WHEN found IS NULL THEN 'unverifiable' WHEN found = expected THEN 'pass' ELSE 'fail' END AS status FROM p""")
 def identity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, built = _both(spark, sf_dir)
+    published, built = _both(spark, sf_dir)
     n = built.agg(F.count("*").cast("string").alias("n"), F.countDistinct("id").cast("string").alias("ids"))
     manifest = n.select(F.explode(F.map_from_arrays(F.array(F.lit("ids"), F.lit("rows"), F.lit("commit")), F.array("ids", "n", F.lit("abc")))).alias("property", "value"))
-    return reconcile.identity_check({"ids": "none", "rows": str(built.count())}, manifest)
+    return reconcile.identity_check({"ids": str(published.select("id").distinct().count()), "rows": str(built.count())}, manifest)
 
 
-@query("count_coverage", f"WITH {_PB} SELECT (SELECT count(*) FROM published) AS published, (SELECT count(DISTINCT id) FROM built) AS expected, 'fail' AS count_status, (SELECT count(*) FROM published) AS rows, (SELECT count(*) FROM published) AS covered, 'pass' AS coverage_status")
+@query("count_coverage", f"""WITH {_PB}, n AS (SELECT 'published' AS side, (SELECT count(*) FROM published) AS n, (SELECT count(CASE WHEN o_custkey % 9 <> 0 THEN 1 END) FROM published) AS full
+    UNION ALL SELECT 'built', (SELECT count(*) FROM built), (SELECT count(o_orderpriority) FROM built)), e AS (SELECT count(DISTINCT id) AS expected FROM built)
+    SELECT side, n AS published, expected, CASE WHEN n = expected AND n > 0 THEN 'pass' ELSE 'fail' END AS count_status, n AS rows, full AS covered, CASE WHEN n > 0 AND full = n THEN 'pass' ELSE 'fail' END AS coverage_status FROM n, e""")
 def count_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     p, b = _both(spark, sf_dir)
-    return reconcile.count_check(p, b).withColumnRenamed("status", "count_status").join(reconcile.coverage_check(p, "o_orderpriority").withColumnRenamed("status", "coverage_status"))
+    p = p.withColumn("o_orderpriority", F.when(F.col("o_custkey") % 9 != 0, F.col("o_orderpriority")))
+    rows = [reconcile.count_check(x, b).withColumnRenamed("status", "count_status").join(reconcile.coverage_check(x, "o_orderpriority").withColumnRenamed("status", "coverage_status")).withColumn("side", F.lit(side)) for side, x in (("published", p), ("built", b))]
+    return rows[0].unionByName(rows[1])
 
 
 @query("value_counts", f"WITH {_PB} SELECT o_orderpriority AS value, count(*) AS rows FROM published GROUP BY 1")
@@ -282,25 +294,32 @@ def orphan_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.orphan_addresses(rows.select(F.explode(paths).alias("path")))
 
 
-@query("id_diff", f"WITH {_PB} SELECT id, 'missing' AS side FROM built WHERE id NOT IN (SELECT id FROM published)")
+_SHIFTED = "shifted AS (SELECT CASE WHEN id % 700 = 3 THEN -id ELSE id END AS id FROM published)"
+
+
+@query("id_diff", f"WITH {_PB}, {_SHIFTED} SELECT id, 'missing' AS side FROM built WHERE id NOT IN (SELECT id FROM shifted) UNION ALL SELECT id, 'unexpected' FROM shifted WHERE id NOT IN (SELECT id FROM built)")
 def id_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile.id_diff(*_both(spark, sf_dir))
+    p, b = _both(spark, sf_dir)
+    return reconcile.id_diff(p.withColumn("id", F.when(F.col("id") % 700 == 3, -F.col("id")).otherwise(F.col("id"))), b)
+
 
+_RUNS = f"""WITH {_PB}, m AS (SELECT row_number() OVER (ORDER BY id) - 1 AS n, id FROM built), g AS (SELECT n, n - row_number() OVER (ORDER BY n) AS i FROM m WHERE id NOT IN (SELECT id FROM published)),
+    runs AS (SELECT min(n) AS first, max(n) AS last, count(*) AS ids FROM g GROUP BY i)"""
 
-@query("missing_runs", f"""WITH {_PB}, m AS (SELECT row_number() OVER (ORDER BY id) - 1 AS n, id FROM built), g AS (SELECT n, n - row_number() OVER (ORDER BY n) AS i FROM m WHERE id NOT IN (SELECT id FROM published))
-    SELECT min(n) AS first, max(n) AS last, count(*) AS ids FROM g GROUP BY i""")
+
+@query("missing_runs", f"{_RUNS} SELECT first, last, ids FROM runs")
 def missing_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfspark.sources.products import numbered
 
     p, b = _both(spark, sf_dir)
-    gone = cut(numbered(b, "id").withColumn("n", F.col("n") - 1), "numbered").join(p.select("id"), "id", "left_anti")
+    gone = numbered(b, "id").withColumn("n", F.col("n") - 1).join(p.select("id"), "id", "left_anti")
     return reconcile.missing_runs(gone, width=128)
 
 
-@query("reconcile", f"WITH {_PB} SELECT unnest(['schema', 'count', 'coverage']) AS \"check\", unnest(['pass', 'fail', 'pass']) AS status FROM (SELECT count(*) FROM published)")
-def reconcile_(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p, b = _both(spark, sf_dir)
-    return reconcile.verdicts(schema=reconcile.schema_check(p, ["id"]), count=reconcile.count_check(p, b), coverage=reconcile.coverage_check(p, "id"))
+@query("missing_run_summary", f"""{_RUNS} SELECT 'runs' AS metric, count(*)::BIGINT AS value FROM runs UNION ALL SELECT 'long_runs', count(*) FILTER (ids >= 100) FROM runs
+    UNION ALL SELECT 'ids_in_long_runs', coalesce(sum(ids) FILTER (ids >= 100), 0)::BIGINT FROM runs UNION ALL SELECT 'run ' || first || '-' || last, ids FROM (SELECT * FROM runs ORDER BY ids DESC, first LIMIT 10)""")
+def missing_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.run_summary(cut(missing_runs(spark, sf_dir), "runs"))
 
 
 # Publishing: updates for orders and unknown ids; every 7th repeats what is there, every 11th is blank, every 13th comes twice.
@@ -326,6 +345,12 @@ def merge_update_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.merged(table(spark, sf_dir, "published"), _updates(spark, sf_dir), _FIELDS).select("id", *_FIELDS)
 
 
+@query("merge_overwrite", f"WITH {ctes('published')}, {_UPDATES}, o AS (SELECT * FROM u WHERE k % 13 <> 0) SELECT p.id, coalesce(o.o_orderpriority, p.o_orderpriority) AS o_orderpriority, coalesce(o.o_orderstatus, p.o_orderstatus) AS o_orderstatus FROM published p LEFT JOIN o ON o.id = p.id")
+def merge_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates with an empty value overwrite too."""
+    return publish.merged(table(spark, sf_dir, "published"), _updates(spark, sf_dir), _FIELDS, skip_empty=False).select("id", *_FIELDS)
+
+
 @query("merge_outcomes", f"WITH {ctes('published')}, {_OUTCOMES} SELECT id, outcome FROM o")
 def merge_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.outcomes(table(spark, sf_dir, "published"), _updates(spark, sf_dir), _FIELDS)
@@ -338,22 +363,14 @@ def merge_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("generation_copy", "SELECT o_orderkey AS id, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, NULL::VARCHAR AS category FROM orders")
 def generation_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cut(publish.next_generation(table(spark, sf_dir, "built"), "category", "string"), "generation")
+    path = scratch(spark, "generation")
+    publish.copy_generation(table(spark, sf_dir, "built"), path, "category", "string")
+    return spark.read.parquet(path)
 
 
-@query("copy_gate", f"WITH {_PB} SELECT (SELECT count(*) FROM built) AS source_rows, (SELECT count(*) FROM published) AS copied_rows, (SELECT count(*) FROM built WHERE id NOT IN (SELECT id FROM published)) AS missing, 'fail' AS status")
+@query("copy_gate", f"""WITH {_PB}, c AS (SELECT (SELECT count(*) FROM built) AS source_rows, (SELECT count(*) FROM published) AS copied_rows, (SELECT count(*) FROM built WHERE id NOT IN (SELECT id FROM published)) AS missing)
+    SELECT allowed, source_rows, copied_rows, missing, CASE WHEN missing > floor(allowed * source_rows) OR copied_rows > source_rows OR copied_rows = 0 THEN 'fail' ELSE 'pass' END AS status FROM c, (SELECT unnest([0.0, 0.5])::DOUBLE AS allowed)""")
 def copy_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     p, b = _both(spark, sf_dir)
-    return publish.copy_gate(b, p, verify.Tolerance(count=10))
-
-
-@query("manifest")
-def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publish.manifest(spark, {t: table(spark, sf_dir, t) for t in ("orders", "part", "published")})
-
-
-@query("snapshot_pin")
-def snapshot_pin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from shelfspark.sources.taxonomy import snapshot_verdict
-
-    return snapshot_verdict(spark, f"{sf_dir}/region.parquet", None)
+    rows = [publish.copy_gate(b, p, verify.Tolerance(fraction=x)).withColumn("allowed", F.lit(x)) for x in (0.0, 0.5)]
+    return rows[0].union(rows[1])

@@ -87,7 +87,7 @@ class Catalog:
         return graph.ancestry(self.canon)
 
     def _addresses(self):
-        return graph.addresses(self.nodes, self.edges, self.canon)
+        return graph.addresses(self.nodes, self.edges, self.canon, chains=self.chains)
 
     def _labels(self):
         return self.nodes.select("id", graph.display_label(F.col("id"), [F.col("en")]).alias("label"))
@@ -95,6 +95,12 @@ class Catalog:
     def _rendered(self):
         return graph.rendered(self.addresses, self.labels)
 
+    @property
+    def numbered_paths(self) -> tuple[DataFrame, DataFrame]:
+        if "path_ids" not in self.made:
+            self.made["path_ids"] = graph.path_ids(self.rendered)
+        return self.made["path_ids"]
+
     def _vocab(self):
         return curate.vocabulary(self.nodes)
 
@@ -110,17 +116,20 @@ class Catalog:
     def _leaves(self):
         return address.leaves(self.accepted, self.chains, self.eligible)
 
-    def _unions(self):
+    def union_rows(self) -> DataFrame:
+        """For one reader; ``unions`` writes them for several."""
         address.require_addresses(self.leaves, self.addresses)
-        return address.address_union(self.leaves, self.rendered)
+        paths, steps = self.numbered_paths
+        return address.address_union(self.leaves, steps, paths)
+
+    def _unions(self):
+        return self.union_rows()
 
     def _entries(self):
         return curate.label_entries(self.accepted, self.labels)
 
     def _capped(self):
-        chain = address.primary_chain(self.leaves, self.chains).select("product", F.explode("chain").alias("tag"))
-        first = self.accepted.groupBy("product").agg(F.min_by("tag", "pos").alias("tag"))
-        return curate.capped(self.entries, chain.union(first), CAP)
+        return curate.capped(curate.label_entries(self.accepted, self.labels), curate.reserved_tags(self.accepted, address.primary_chain(self.leaves, self.chains)), CAP)
 
 
 def catalog(f):
@@ -173,14 +182,14 @@ query("primary_chain", f"{GRAPH}, {CURATED}{ADDRESSED} SELECT product, list_aggr
 )
 query("address_union", f"""{GRAPH}, {CURATED}{ADDRESSED} SELECT product, count(*) AS entries, count(*) FILTER (is_primary) AS primary_entries,
     md5(string_agg(node || '=' || path, '|' ORDER BY ord)) AS entries_md5 FROM unions GROUP BY product""")(
-    catalog(lambda c: c.unions.groupBy("product").agg(
+    catalog(lambda c: c.union_rows().groupBy("product").agg(
         F.count("*").alias("entries"), F.count_if("is_primary").alias("primary_entries"),
         F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", F.concat("node", F.lit("="), "path").alias("x")))), lambda s: s["x"]), "|").cast("binary")).alias("entries_md5"),
     ))
 )
 query("address_forms", f"""{GRAPH}, {CURATED}{ADDRESSED} SELECT product, string_agg(path, '|' ORDER BY ord) AS category_path,
     string_agg(path, '|' ORDER BY ord) FILTER (is_primary) AS category_path_primary FROM strings GROUP BY product""")(
-    catalog(lambda c: address.path_arrays(c.unions).select("product", *[F.array_join(x, "|").alias(x) for x in ("category_path", "category_path_primary")]))
+    catalog(lambda c: address.path_arrays(c.union_rows()).select("product", *[F.array_join(x, "|").alias(x) for x in ("category_path", "category_path_primary")]))
 )
 query("unanchored", f"""{GRAPH}, {CURATED}{ADDRESSED} SELECT product, head FROM (SELECT product, path[1] AS head FROM leaves WHERE leaf_rank = 1)
     WHERE head NOT IN (SELECT id FROM roots WHERE id <> 'en:r2')""")(catalog(lambda c: address.unanchored(address.primary_chain(c.leaves, c.chains), graph.global_roots(c.nodes, c.edges).filter("id <> 'en:r2'"))))

@@ -23,17 +23,23 @@ def local_session(cores: int = 8, app: str = "shelfspark") -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one is set only where that is unset."""
+    """The folder named in ``spark.checkpoint.dir``; a temporary one is set only where that is unset, on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder."""
+    return f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

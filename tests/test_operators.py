@@ -160,3 +160,85 @@ def test_sources(spark, tmp_path):
     assert text == ['{"id":"1","tags":[]}', '{"id":"2","brand":"é","tags":["x"]}']
     back = products.read_catalog(spark, str(tmp_path / "out"), "id string, brand string, tags array<string>")
     assert back.count() == 2
+
+
+def test_a_bad_line_fails_the_catalog_scan(spark, tmp_path):
+    (tmp_path / "docs.txt").write_text('{"id": "1"}\n{"id": \n')
+    with pytest.raises(Exception, match="FAILFAST|MALFORMED"):
+        products.read_catalog(spark, str(tmp_path), "id string").collect()
+
+
+def test_missing_addresses_are_refused(spark):
+    leaf = spark.createDataFrame([(1, "a", 1), (2, "b", 1), (2, "c", 2)], "product int, tag string, leaf_rank int")
+    address.require_addresses(leaf, spark.createDataFrame([("a",), ("b",)], "id string"))
+    with pytest.raises(address.NodeSetMismatchError, match="leaf b"):
+        address.require_addresses(leaf, spark.createDataFrame([("a",), ("c",)], "id string"))
+
+
+def test_fingerprints_count_repeated_rows(spark):
+    rows = [publish.fingerprint("t", spark.createDataFrame([(x, None) for x in xs], "a int, b string")).first().fingerprint for xs in ([1, 2], [2, 1], [1, 2, 2, 2], [1])]
+    assert rows[0] == rows[1] and len(set(rows)) == 3
+    assert publish.fingerprint("t", spark.createDataFrame([], "a int")).first().fingerprint == "0"
+
+
+def test_several_primary_addresses_of_a_segment_are_found(spark):
+    docs = spark.createDataFrame([("1", [], ["a", "a/x"], ["a", "a/x"]), ("2", [], ["b", "b/x"], ["b", "b/x"])], "id string, taxonomy_tags array<string>, category_path array<string>, category_path_primary array<string>")
+    labels = spark.createDataFrame([("a",), ("b",), ("x",)], "label string")
+    got = verify.segment_checks(verify.row_violations(docs), labels, labels).first()
+    assert got.several_primary_addresses == 1 and got.values_outside == 0
+
+
+@pytest.mark.parametrize(("bucket", "labels", "margin"), [("snacks_sweets", [], 38), ("", [], 25), ("dairy", ["en:organic"], 25), ("bakery", ["en:organic", "en:fair-trade"], 59), ("default", ["en:vegan"], 25)])
+def test_margins(spark, bucket, labels, margin):
+    assert one(spark, P.margin(F.lit(bucket), F.array(*map(F.lit, labels)).cast("array<string>"))["margin"]) == margin
+
+
+TAXONOMY = {"en:beverages": [], "en:hot-beverages": ["en:beverages"], "en:teas": ["en:hot-beverages"]}
+
+
+def record(code, tags, **more):
+    return json.dumps({"code": code, "product_name_en": "Green tea", "generic_name_en": "A tea.", "images": {"front_en": {"rev": "3", "imgid": "1", "sizes": {"400": {"w": 400}}}}, "categories_tags": tags, "unique_scans_n": 10} | more)
+
+
+@pytest.mark.parametrize("kept", [False, True])
+def test_extraction_drops_and_counts_what_does_not_resolve(spark, tmp_path, kept):
+    from shelfspark.operators import extract
+
+    nodes, edges = graph_of(spark, TAXONOMY)
+    settings = extract.Settings(require_category=not kept, require_path=not kept)
+    labels = nodes.select("id", graph.display_label(F.col("id"), []).alias("label"))
+    none = spark.createDataFrame([], "tag string, to string")
+    lines = [record("5449000000995", list(TAXONOMY)), record("5449000000996", ["en:not-in-taxonomy"]), record(5, ["en:teas"], brands=7, nova_group="x", quantity=" "), record("6", list(TAXONOMY), product_name_en=" "), "{", "[]", " "]
+    rows = spark.createDataFrame([(x,) for x in lines], "value string")
+    run = extract.Extraction(rows, extract.Taxonomy.of(nodes, edges, labels, settings), none, none, settings)
+    docs = {d.id: d for d in run.documents.collect()}
+    figures = {(r.block, r.metric): r.value for r in run.report.collect()}
+    tea = docs["5449000000995"]
+    assert tea.category_path == ["Beverages", "Beverages/Hot beverages", "Beverages/Hot beverages/Teas"] == tea.category_path_primary and tea.taxonomy_tags == ["Beverages", "Hot beverages", "Teas"]
+    assert tea.popularity == 2398 and tea.description == "Green tea. A tea." and tea.image_url.endswith("544/900/000/0995/front_en.3.400.jpg") and tea.attrs["Category"] == "Beverages"
+    five = docs["0000000000005"]
+    assert five.brand == "" and five.nova_group is None and five.attrs["Quantity"] is None and five.taxonomy_tags == ["Teas"]
+    assert ("5449000000996" in docs) == kept and figures["counters", "written"] == ("3" if kept else "2") and figures["counters", "missing_category"] == ("0" if kept else "1")
+    assert figures["counters", "read"] == "5" and figures["counters", "bad_json"] == "1" and figures["counters", "missing_title"] == "1" and figures["counters", "with_category_path"] == "2"
+    assert figures["curation", "rejected_instances"] == "1" and figures["top not_in_taxonomy", "en:not-in-taxonomy"] == "1"
+    extract.write_report(run.report, str(tmp_path / "report"))
+    blocks = json.loads(spark.read.text(str(tmp_path / "report")).first().value)
+    assert json.loads(blocks["counters"])["read"] == "5"
+
+
+def test_extraction_without_taxonomy(spark):
+    from shelfspark.operators import extract
+
+    none = spark.createDataFrame([], "tag string, to string")
+    run = extract.Extraction(spark.createDataFrame([(record("1", ["en:teas", "en:teas"]),), (record("2", []),)], "value string"), None, none, none)
+    docs = run.documents.collect()
+    assert [(d.taxonomy_tags, d.category_path) for d in docs] == [(["Teas"], [])]
+    assert {(r.metric, r.value) for r in run.report.filter("block = 'counters' AND value <> '0'").collect()} == {("read", "2"), ("written", "1"), ("missing_category", "1")}
+
+
+def test_a_million_blanks_are_stripped_in_linear_time(spark):
+    import time
+
+    began = time.time()
+    assert one(spark, F.length(T.strip(F.concat(F.lit("\u00a0 a"), F.repeat(F.lit(" "), 1_000_000), F.lit("b\n"))))) == 1_000_002
+    assert time.time() - began < 20
