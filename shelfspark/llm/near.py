@@ -31,8 +31,9 @@ RARE, DAMP = 0.001, 0.2
 #: How many times as many pivots a bucket may have in each round.
 GROWTH = 8
 ID_BITS = 44
-#: Bits of the sketch that rules out pairs whose estimate is four standard deviations below the similarity.
-SKETCH, DEVIATIONS = 1024, 4
+#: Bits of the sketch that rules out pairs whose estimate is so many standard deviations below the similarity; at
+#: 0.8 that errs about once in a hundred million pairs. Without a number there is no sketch and every pair is compared.
+SKETCH, DEVIATIONS = 1024, 6.0
 _DRAWS = 1 << 16
 U = np.uint64
 
@@ -86,7 +87,7 @@ def _add(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"slice": rows["slice"].iloc[:1], "docs": [rows["docs"].sum()], "counts": [total.tobytes()]})
 
 
-def weight_table(docs: DataFrame) -> np.ndarray:
+def weight_table(docs: DataFrame, damp: float = DAMP) -> np.ndarray:
     """The weight of one occurrence by a shingle's bucket, from its document frequency over all documents.
 
     A bucket's count less the mean count estimates how many documents have its
@@ -99,7 +100,7 @@ def weight_table(docs: DataFrame) -> np.ndarray:
         return np.ones(BUCKETS, np.float32)
     counts, n = np.concatenate([np.frombuffer(r.counts, np.int64) for r in rows]), rows[0].docs
     share = np.clip((counts - counts.mean()) / n, RARE, 1)
-    return (1 - DAMP * (1 - np.log(share) / np.log(RARE))).astype(np.float32)
+    return (1 - damp * (1 - np.log(share) / np.log(RARE))).astype(np.float32)
 
 
 class Sampler:
@@ -278,30 +279,34 @@ def _sketch(weights):
     return run
 
 
-def _alike(p, threshold: float):
-    """Whether what is known of a row and a pivot allows the similarity: weights, shared weights, sketches."""
+def _alike(p, threshold: float, deviations: float | None):
+    """Whether what is known of a row and a pivot allows the similarity: weights, shared weights, and sketches if asked for."""
     near, share = threshold - 1e-6, threshold / (1 + threshold) - 1e-6
+    weighs = F.least(p["total"], F.col("total")) >= near * F.greatest(p["total"], F.col("total"))
+    weighs = weighs & (F.least(p["shared"], F.col("shared")) >= share * (p["total"] + F.col("total")))
+    if deviations is None:
+        return weighs
     differ = SKETCH * (1 - threshold) / 2
-    most = differ + DEVIATIONS * float(np.sqrt(differ * (1 - differ / SKETCH)))
+    most = differ + deviations * float(np.sqrt(differ * (1 - differ / SKETCH)))
     apart = F.aggregate(F.zip_with("sketch", p["sketch"], lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
-    weighs = F.least(p["total"], F.col("total")) >= near * F.greatest(p["total"], F.col("total"))
-    return weighs & (F.least(p["shared"], F.col("shared")) >= share * (p["total"] + F.col("total"))) & (apart <= most)
+    return weighs & (apart <= most)
 
 
-def labels_of(members: DataFrame, texts, weights, threshold: float) -> DataFrame | None:
+def labels_of(members: DataFrame, texts, weights, threshold: float, deviations: float | None = DEVIATIONS) -> DataFrame | None:
     """``node, label`` for all nodes that verified links join, from ``members(key, node)``, the bands' buckets.
 
     In a round each bucket's pivots are compared with its other members that
     are not joined to them yet; then pivots leave, and so do buckets whose
     members are all joined. A bucket has one pivot first, then up to GROWTH
     times as many in each round, until every pair of a bucket was compared,
-    joined or ruled out: no link is lost to a cap, and a group of near copies
-    takes about as many pairs as it has members.
+    joined or ruled out, and a group of near copies takes about as many pairs
+    as it has members.
 
     After the first round pairs are ruled out by what bounds their similarity,
     the weights of both and how much of it lies on shingles that any other text
-    still in a bucket has, and by sketches, which err once in 30,000 times for
-    a pair at the threshold. ``texts(nodes)`` gives the texts of some nodes.
+    still in a bucket has, which is exact, and by sketches ``deviations`` away,
+    which err as said there; None leaves the sketches out. ``texts(nodes)``
+    gives the texts of some nodes.
     """
     now, parts, labels, feats = members.withColumn("label", F.col("node")), 1, None, None
     while True:
@@ -311,7 +316,7 @@ def labels_of(members: DataFrame, texts, weights, threshold: float) -> DataFrame
             both = cut(both, "buckets")
             feats = cut(texts(both.select("node").distinct()).mapInArrow(_features(weights), "node long, ids binary, w binary, total double"), "features")
         fits = lambda p: (p["node"] != F.col("node")) & (p["label"] != F.col("label"))
-        met = F.filter("ps", fits if parts == 1 else lambda p: fits(p) & _alike(p, threshold))
+        met = F.filter("ps", fits if parts == 1 else lambda p: fits(p) & _alike(p, threshold, deviations))
         # A node meets most pivots in several bands; its list, of at most BANDS buckets' pivots, has each once.
         lists = both.select("node", F.transform(met, lambda p: p["node"]).alias("m")).filter(F.size("m") > 0)
         pairs = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("m"))).alias("m")).select("node", F.explode("m").alias("p"))
@@ -332,12 +337,15 @@ def labels_of(members: DataFrame, texts, weights, threshold: float) -> DataFrame
         if parts == 1:
             some = cut(feats.join(rest.select("node").distinct(), "node", "left_semi"), "left")
             able = cut(shared_weights(some).filter(F.col("shared") >= (threshold - 1e-6) * F.col("total")), "weights")
-            sketches = some.join(able.select("node"), "node", "left_semi").select("node", "ids", "w").mapInArrow(_sketch(weights), "node long, sketch array<long>")
-            rest = cut(rest.join(able.join(sketches, "node"), "node"), "open")
+            if deviations is None:
+                able = able.withColumn("sketch", F.array().cast("array<long>"))
+            else:
+                able = able.join(some.join(able.select("node"), "node", "left_semi").select("node", "ids", "w").mapInArrow(_sketch(weights), "node long, sketch array<long>"), "node")
+            rest = cut(rest.join(able, "node"), "open")
         now, parts = rest.select("key", "node", "label", "total", "shared", "sketch"), parts * GROWTH
 
 
-def near_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
+def near_classes(docs: DataFrame, threshold: float = SIMILARITY, damp: float = DAMP, deviations: float | None = DEVIATIONS) -> DataFrame:
     """One row per document: ``doc_id, class_id, class_size, kept`` (and ``th``, the text's hash).
 
     Texts of one class are joined by links of weighted Jaccard similarity of at
@@ -347,12 +355,17 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     classes of their own. An empty table gives an empty result. Words are
     ``[^\\x20\\x09-\\x0D]+`` as they stand; texts are read whole.
 
+    ``damp`` is how much less a shingle weighs that is in every document, up to
+    1 for plain inverse document frequencies. ``deviations`` is that of the
+    sketches (see ``DEVIATIONS``); with None every link between members of one
+    bucket is found.
+
     Equal shingle sets are one node from the start, combined before they move;
     64-bit node hashes would merge two of 10^9 texts with a probability of 3 %.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("th"), F.col("text").cast("string"))
-    weights = spark.sparkContext.broadcast(weight_table(rows))
+    weights = spark.sparkContext.broadcast(weight_table(rows, damp))
     signed = rows.mapInArrow(_signatures(weights), "doc_id long, th long, node long, bands array<long>")
     signed = cut(signed.withColumn("uid", F.monotonically_increasing_id()), "signatures")
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")
@@ -365,7 +378,7 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
         one = nodes.select("node", *[c.alias(n) for n, c in key.items()], "th").join(wanted, "node", "left_semi")
         return rows.select(*[c.alias(n) for n, c in key.items()], "th", "text").join(one, [*key, "th"]).select("node", "text").dropDuplicates(["node"])
 
-    labels = labels_of(members, texts, weights, threshold)
+    labels = labels_of(members, texts, weights, threshold, deviations)
     of = signed.select("uid", "doc_id", "th", "node")
     if labels is not None:
         of = of.join(labels, "node", "left")
