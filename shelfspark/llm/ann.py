@@ -22,8 +22,8 @@ from shelfspark.session import cut
 
 #: Vectors that the codebooks are fitted on, about; all vectors are indexed.
 SAMPLE = 6000
-#: Rows and queries that one tile of the scan holds, about.
-ROWS, QUERIES = 8192, 4096
+#: Rows that one tile of the scan holds, about: at least, and at most where there are TILES blocks and more; and queries.
+ROWS, MOST_ROWS, TILES, QUERIES = 8192, 1 << 16, 64, 8192
 #: Candidates of each tile that are scored exactly, for each result wanted.
 RERANK = 6
 #: Inner products from this share of the norm up are what the loss is made for.
@@ -122,30 +122,35 @@ def best(score: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate((above, np.flatnonzero(score == edge)[: k - len(above)]))
 
 
-def _scan(quantiser, k: int):
+def _scan(quantiser, k: int, exact_scan: bool = False):
     def run(tile: pd.DataFrame) -> pd.DataFrame:
         q = quantiser.value
         rows, asked = (tile[tile["query"] == x].sort_values(["vec_id"], kind="stable") for x in (False, True))
         none = pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "qh": pd.Series([], dtype="int64"), "vec_id": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64")})
         if not len(rows) or not len(asked):
             return none
-        ids = rows["vec_id"].to_numpy()
+        ids, marks = rows["vec_id"].to_numpy(), rows["qh"].to_numpy()
         vecs, qs = (np.frombuffer(b"".join(x["vec"]), np.float64).reshape(-1, q.dim) for x in (rows, asked))
         codes = unpack(np.frombuffer(b"".join(rows["codes"]), np.uint8).reshape(len(rows), -1), q.m)
         out = []
         for i in range(0, len(qs), 256):
-            part, own = qs[i : i + 256], asked["vec_id"].to_numpy()[i : i + 256]
-            tables = q.tables(part)
-            score = np.zeros((len(ids), len(part)), np.float32)
-            for m in range(q.m):
-                score += tables[m][codes[:, m]]
-            score[ids[:, None] == own] = -np.inf
-            for j in range(len(part)):
+            part, own, own_mark = qs[i : i + 256], asked["vec_id"].to_numpy()[i : i + 256], asked["qh"].to_numpy()[i : i + 256]
+            if exact_scan:
+                score = vecs @ part.T
+            else:
+                tables = q.tables(part)
+                score = np.zeros((len(ids), len(part)), np.float32)
+                for m in range(q.m):
+                    score += tables[m][codes[:, m]]
+            for j, first in enumerate(np.searchsorted(ids, own)):
+                # The query's own row, one of them if it is there more than once; it is in this tile or in none.
+                same = first + np.flatnonzero(marks[first : np.searchsorted(ids, own[j], side="right")] == own_mark[j])
+                score[same[:1], j] = -np.inf
                 at = best(np.ascontiguousarray(score[:, j]), RERANK * k)
-                at = at[ids[at] != own[j]]
+                at = at[score[at, j] > -np.inf]
                 exact = (vecs[at] * part[j]).sum(1)
                 top = np.lexsort((ids[at], -exact))[:k]
-                out.append((np.full(len(top), own[j]), np.full(len(top), asked["qh"].iloc[i + j]), ids[at][top], exact[top]))
+                out.append((np.full(len(top), own[j]), np.full(len(top), own_mark[j]), ids[at][top], exact[top]))
         return pd.DataFrame({c: np.concatenate(x) for c, x in zip(none.columns, zip(*out, strict=True), strict=True)})
 
     return run
@@ -160,34 +165,36 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.filter(F.size("vec") == (length.n if length else 0))
 
 
-def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
+def nearest(vectors: DataFrame, k: int = 20, every: int = 20, exact: bool = False) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row whose vec_id is divisible by ``every`` its ``k`` nearest others.
 
     Nearest is the largest inner product in double precision, ties to the
     smaller vec_id; fewer rows than ``k`` are all returned. Unusable vectors
-    take no part (see ``usable``). A row with the query's own vec_id is no
-    candidate; repeated rows are each a candidate, and one query. The scan is
-    approximate in which candidates it finds, never in their scores.
-
-    Every row is in one tile with every block of queries, about ROWS by
-    QUERIES; equal vectors spread over tiles by id. No tile grows with the
-    data, only their number.
+    take no part (see ``usable``). Every row but the query's own is a candidate,
+    one with the same vec_id too; rows equal in both are one query. The scan is
+    approximate in which candidates it finds, never in their scores; with
+    ``exact`` it scans the vectors themselves and finds all.
+
+    The stated queries meet all rows, in tiles: every row is in one tile with
+    every block of queries. Equal vectors spread over tiles by id, and no tile
+    grows beyond MOST_ROWS by QUERIES, about.
     """
     spark = vectors.sparkSession
-    rows = usable(vectors)
+    rows = usable(vectors).withColumn("qh", F.xxhash64("vec"))
     n = rows.count()
     first = rows.first()
     if first is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    sample = rows.filter(F.pmod(F.xxhash64("vec_id", F.lit("fit")), F.lit(1 << 30)) < min(1.0, SAMPLE / n) * (1 << 30)).select("vec_id", "vec").collect()
-    x = np.array([r.vec for r in sorted(sample, key=lambda r: (r.vec_id, r.vec))] or [first.vec], float)
+    # Chosen by the vector's hash and each vector once, so that no common vector or id makes the sample large.
+    sample = rows.filter(F.pmod(F.xxhash64("qh", F.lit("fit")), F.lit(1 << 30)) < min(1.0, SAMPLE / n) * (1 << 30)).groupBy("qh").agg(F.min("vec").alias("vec")).collect()
+    x = np.array([r.vec for r in sorted(sample, key=lambda r: r.qh)] or [first.vec], float)
     quantiser = spark.sparkContext.broadcast(Quantiser(len(first.vec)).fit(x))
-    index = cut(rows.mapInArrow(_encode(quantiser), "vec_id long, vec binary, codes binary").withColumn("qh", F.xxhash64("vec")), "index")
+    index = cut(rows.select("vec_id", "vec").mapInArrow(_encode(quantiser), "vec_id long, vec binary, codes binary").withColumn("qh", F.xxhash64("vec")), "index")
     asked = index.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "qh"])
-    blocks, groups = math.ceil(n / ROWS), max(1, math.ceil(asked.count() / QUERIES))
+    blocks, groups = math.ceil(n / min(MOST_ROWS, max(ROWS, n // TILES))), max(1, math.ceil(asked.count() / QUERIES))
     h = F.xxhash64("vec_id", "qh")
     data = index.select(F.pmod(h, F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), F.lit(False).alias("query"), "vec_id", "qh", "vec", "codes")
     queries = asked.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(h, F.lit(groups)).cast("int").alias("group"), F.lit(True).alias("query"), "vec_id", "qh", "vec", "codes")
-    found = data.union(queries).groupBy("block", "group").applyInPandas(_scan(quantiser, k), "query_id long, qh long, vec_id long, score double")
+    found = data.union(queries).groupBy("block", "group").applyInPandas(_scan(quantiser, k, exact), "query_id long, qh long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id", "qh").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

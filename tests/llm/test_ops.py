@@ -250,6 +250,43 @@ def test_near_classes_are_those_of_brute_force(spark):
     assert all(r.class_size == size[r.class_id] and r.kept == (r.doc_id == r.class_id) for r in got.values())
 
 
+def test_later_rounds_and_document_frequencies(spark):
+    """One bucket of hundreds of near copies whose links are few and far from its pivots, against brute force with the operator's own weights."""
+    rng = random.Random(6)
+    base = [f"b{k}" for k in range(160)]
+    texts = {}
+    for i in range(260):
+        words = list(base)
+        for _ in range(rng.choice((1, 2, 3, 4, 6))):
+            words[rng.randrange(160)] = f"x{i}{rng.random()}"
+        texts[i] = " ".join(words)
+    docs = docs_of(spark, [(i, t, "en", "s") for i, t in texts.items()])
+    for damp, deviations in ((near.DAMP, None), (0.9, near.DEVIATIONS)):
+        weights = near.weight_table(docs, damp)
+        sampler, sets = near.Sampler(weights), []
+        for t in texts.values():
+            _, ids, times = near.shingle_sets([t])
+            sets.append((ids, sampler.of(ids, times)))
+        up = list(range(260))
+
+        def find(x, up=up):
+            while up[x] != x:
+                x = up[x]
+            return x
+
+        for a in range(260):
+            for b in range(a):
+                if near.similarity(*sets[a], *sets[b]) >= near.SIMILARITY:
+                    up[find(a)] = find(b)
+        groups = defaultdict(set)
+        for i in range(260):
+            groups[find(i)].add(i)
+        got = defaultdict(set)
+        for r in near.near_classes(docs, damp=damp, deviations=deviations).collect():
+            got[r.class_id].add(r.doc_id)
+        assert sorted(map(sorted, got.values())) == sorted(map(sorted, groups.values())), (damp, deviations)
+
+
 def test_near_odd_inputs(odd, none):
     rows = near.near_classes(odd).collect()
     assert len(rows) == odd.count() and near.near_classes(none).count() == 0
@@ -527,6 +564,24 @@ def test_neighbours(spark):
     assert ann.nearest(df.limit(0)).count() == 0 and ann.nearest(df.filter("vec_id IN (900100, 900101)")).count() == 1
 
 
+def test_neighbours_of_repeated_ids(spark):
+    rng = np.random.default_rng(4)
+    rows = [(20 * (k % 3), rng.standard_normal(6).tolist(), 0) for k in range(9)] + [(7, [1.0] * 6, 0)] * 3 + [(40, [2.0] * 6, 0)] * 3
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    distinct = {(i, tuple(v)) for i, v, _ in rows if i % 20 == 0}
+    want = []
+    for i, v in distinct:
+        others = list(rows)
+        others.remove((i, list(v), 0))
+        scored = sorted(((-float((np.array(x) * np.array(v)).sum()), j) for j, x, _ in others))[:5]
+        want += [(i, r + 1, j, round(-s, 9)) for r, (s, j) in enumerate(scored)]
+    for exact in (True, False):
+        got = [(r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in ann.nearest(df, 5, exact=exact).collect()]
+        assert sorted(got) == sorted(want)
+    one = spark.createDataFrame([(20, [float(k % 50), 1.0], 0) for k in range(300)], "vec_id long, embedding array<double>, label int")
+    assert ann.nearest(one, 3).groupBy("query_id").count().first()["count"] == 150
+
+
 # 10 lines
 def brute_lines(docs, least):
     seen, gone = set(), set()
