@@ -264,9 +264,9 @@ def identity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.identity_check({"ids": str(published.select("id").distinct().count()), "rows": str(built.count())}, manifest)
 
 
-@query("count_coverage", f"""WITH {_PB}, n AS (SELECT 'published' AS side, (SELECT count(*) FROM published) AS n, (SELECT count(CASE WHEN o_custkey % 9 <> 0 THEN 1 END) FROM published) AS full
+@query("count_coverage", f"""WITH {_PB}, n AS (SELECT 'published' AS side, (SELECT count(*) FROM published) AS n, (SELECT count(CASE WHEN o_custkey % 9 <> 0 THEN 1 END) FROM published) AS filled
     UNION ALL SELECT 'built', (SELECT count(*) FROM built), (SELECT count(o_orderpriority) FROM built)), e AS (SELECT count(DISTINCT id) AS expected FROM built)
-    SELECT side, n AS published, expected, CASE WHEN n = expected AND n > 0 THEN 'pass' ELSE 'fail' END AS count_status, n AS rows, full AS covered, CASE WHEN n > 0 AND full = n THEN 'pass' ELSE 'fail' END AS coverage_status FROM n, e""")
+    SELECT side, n AS published, expected, CASE WHEN n = expected AND n > 0 THEN 'pass' ELSE 'fail' END AS count_status, n AS rows, filled AS covered, CASE WHEN n > 0 AND filled = n THEN 'pass' ELSE 'fail' END AS coverage_status FROM n, e""")
 def count_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     p, b = _both(spark, sf_dir)
     p = p.withColumn("o_orderpriority", F.when(F.col("o_custkey") % 9 != 0, F.col("o_orderpriority")))
