@@ -41,7 +41,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("toxicity", drop_toxic), ("exact dedup", drop_copies), ("near dedup", drop_near_copies), ("mixing", mix_sources), ("bpe", encode)]
 
-#: A trained network, sampling and byte-pair merges are beyond SQL; tests compare each stage with brute force.
+#: A trained network, sampling and byte-pair merges are beyond SQL; tests compare each stage's operator with brute force,
+#: the stages with their operators, and the run with its stages.
 ORACLE_SQL = None
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,9 +35,24 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_scopes: list[str] = []
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside go when it ends; what is to stay must be written elsewhere by then."""
+    _scopes.append(f"scope-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tables/{'/'.join(_scopes)}")
+        _scopes.pop()
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A path of its own in the shared folder."""
-    return f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    return "/".join([shared_dir(spark), "tables", *_scopes, f"{name}-{uuid.uuid4().hex}"])
 
 
 def cut(df: DataFrame, name: str = "stage") -> DataFrame:
