@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.llm import segment
+from shelfspark.session import cut
 
 #: Documents of each language to learn from, about; a sample by hash, whole texts, of any corpus.
 SAMPLE = 400
@@ -35,6 +36,9 @@ SCRIPTS = (
 NAMES = ("other", *dict.fromkeys(n for n, _, _ in SCRIPTS))
 
 
+FIELDS = (1 << segment.TRIGRAM_BITS) + len(NAMES)
+
+
 @lru_cache
 def _scripts() -> np.ndarray:
     """The script of each code point."""
@@ -44,26 +48,17 @@ def _scripts() -> np.ndarray:
     return script
 
 
-def _learn(langs: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(langs), 1 << segment.TRIGRAM_BITS), np.int64)
-        scripts = np.zeros((len(langs), len(NAMES)), np.int64)
-        for batch in batches:
-            of = np.array([langs.index(x) for x in batch.column(1).to_pylist()], np.int64)
-            for at, texts in segment.chunks(batch.column(0).to_pylist()):
-                cp, _, inside, starts, ends, doc = segment.letter_words(texts)
-                if not len(starts):
-                    continue
-                lang = np.repeat(of[at + doc], ends - starts)
-                places = np.flatnonzero(inside)
-                counts += np.bincount(lang << segment.TRIGRAM_BITS | segment.trigrams(cp, inside)[places], minlength=counts.size).reshape(counts.shape)
-                scripts += np.bincount(lang * len(NAMES) + _scripts()[cp[places]], minlength=scripts.size).reshape(scripts.shape)
-        for k, lang in enumerate(langs):
-            if counts[k].any():
-                used = np.flatnonzero(counts[k])
-                yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([used.astype(np.int32)], pa.list_(pa.int32())), pa.array([counts[k][used]], pa.list_(pa.int64())), pa.array([scripts[k]], pa.list_(pa.int64()))], names=["lang", "bucket", "n", "scripts"])
-
-    return run
+def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of a chunk's trigrams and scripts by language; scripts come after the trigrams' buckets."""
+    for batch in batches:
+        langs, of = np.unique(np.array(batch.column(1).to_pylist(), object), return_inverse=True)
+        for at, texts in segment.chunks(batch.column(0).to_pylist()):
+            cp, _, inside, starts, ends, doc = segment.letter_words(texts)
+            lang = np.repeat(of[at + doc], ends - starts).astype(np.int64)
+            places = np.flatnonzero(inside)
+            both = np.concatenate((segment.trigrams(cp, inside)[places].astype(np.int64), (1 << segment.TRIGRAM_BITS) + _scripts()[cp[places]].astype(np.int64)))
+            key, n = np.unique(np.concatenate((lang, lang)) * FIELDS + both, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(langs[key // FIELDS].tolist(), pa.string()), pa.array((key % FIELDS).astype(np.int32)), pa.array(n.astype(np.int64))], names=["lang", "field", "n"])
 
 
 class Model:
@@ -75,6 +70,16 @@ class Model:
         self.table = np.ascontiguousarray(np.log(p / p.sum(1, keepdims=True)).T.astype(np.float32))
         self.scripts = (scripts >= SHARE * np.maximum(scripts.sum(1, keepdims=True), 1)).T
 
+    @classmethod
+    def of(cls, langs: list[str], counts: pa.Table) -> Model:
+        """From rows ``lang, field, n`` as ``_learn`` gives them."""
+        langs = sorted(langs)
+        found = np.zeros((len(langs), FIELDS))
+        if counts.num_rows:
+            at = {x: k for k, x in enumerate(langs)}
+            np.add.at(found, ([at[x] for x in counts["lang"].to_pylist()], counts["field"].to_numpy()), counts["n"].to_numpy())
+        return cls(langs, found[:, : 1 << segment.TRIGRAM_BITS], found[:, 1 << segment.TRIGRAM_BITS :])
+
     def candidates(self, cp: np.ndarray, inside: np.ndarray, starts: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
         """By word: the languages written in a script of its letters; if none fits, those of its document's other words, or else all."""
         bits = np.where(inside, np.uint32(1) << _scripts()[cp].astype(np.uint32), np.uint32(0))
@@ -165,21 +170,14 @@ class Model:
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from ``text, lang``, of a sample of about ``sample`` whole documents of each language.
 
-    The sample is taken by hash, so it is the same in every run; counts are
-    added up in the tasks, and one row a language and task comes back.
+    The sample is taken by hash, so it is the same in every run. Counts are
+    added up by Spark; what comes back is a number a language and trigram.
     """
     rows = labelled.select(F.col("text").cast("string"), F.col("lang").cast("string")).filter("text is not null and lang is not null")
-    found = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    langs = sorted(found)
-    if not langs:
-        return Model([], np.zeros((0, 1 << segment.TRIGRAM_BITS)), np.zeros((0, len(NAMES))))
-    share = F.element_at(F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(min(1.0, sample / found[k])))]), F.col("lang"))
-    taken = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * (1 << 30))
-    counts, scripts = np.zeros((len(langs), 1 << segment.TRIGRAM_BITS)), np.zeros((len(langs), len(NAMES)))
-    for r in taken.mapInArrow(_learn(langs), "lang string, bucket array<int>, n array<long>, scripts array<long>").toLocalIterator():
-        counts[langs.index(r.lang)][np.array(r.bucket)] += r.n
-        scripts[langs.index(r.lang)] += r.scripts
-    return Model(langs, counts, scripts)
+    found = cut(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    taken = rows.join(found, "lang").filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.least(F.lit(1.0), sample / F.col("n")) * (1 << 30))
+    counts = taken.select("text", "lang").mapInArrow(_learn, "lang string, field int, n long").groupBy("lang", "field").agg(F.sum("n").alias("n"))
+    return Model.of([r.lang for r in found.select("lang").collect()], counts.toArrow())
 
 
 def _predict(model, spans: bool):

@@ -208,10 +208,10 @@ def train(texts: list[str], y: np.ndarray, seed: int = 7) -> Net | None:
     return learn(seen(texts, y), pick, seed)
 
 
-def learn(found: np.ndarray, pick: Callable[[Net], tuple[np.ndarray, ...]], seed: int = 7) -> Net | None:
+def learn(found: np.ndarray, pick: Callable[[Net], tuple[np.ndarray, ...]], seed: int = 7, seeded: bool = True) -> Net | None:
     """A network from what ``seen`` tells of the documents; None where one class is missing.
 
-    One input dimension starts as the class odds of common words and trigrams.
+    If ``seeded``, one input dimension starts as the class odds of common words and trigrams.
     In each round every document gives its highest window, and clean ones their
     second highest too; those train the network by Adam. ``pick`` finds them:
     their classes and numbers of words, and the words' hashes, lengths and trigrams.
@@ -224,11 +224,12 @@ def learn(found: np.ndarray, pick: Callable[[Net], tuple[np.ndarray, ...]], seed
     common = np.flatnonzero(found[:, : 1 << WORD_BITS].sum(0) >= COMMON)
     net.row[common] = np.arange(1, len(common) + 1)
     net.p["word"] = np.zeros((len(common) + 1, D), np.float32)
-    net.p["word"][1:, 0] = odds[common]
-    net.p["tri"][:, 0] = odds[1 << WORD_BITS :]
-    for d in "fb":
-        net.p[f"W{d}"][0, 2 * H :] = 1
-    net.p["w"][:] = np.abs(net.p["w"])
+    if seeded:
+        net.p["word"][1:, 0] = odds[common]
+        net.p["tri"][:, 0] = odds[1 << WORD_BITS :]
+        for d in "fb":
+            net.p[f"W{d}"][0, 2 * H :] = 1
+        net.p["w"][:] = np.abs(net.p["w"])
     state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
     for _ in range(ROUNDS):
@@ -306,7 +307,7 @@ def _highest(net):
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Net | None:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seeded: bool = True) -> Net | None:
     """A network from the documents whose labels are not held out, a sample by hash of about
     ``sample`` toxic ones and CLEAN times as many others, of those that are there and have words.
 
@@ -336,7 +337,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Net | None:
         words, size, tri = (np.concatenate([c.flatten().to_numpy() for c in t[k].chunks]).astype(np.int64) for k in ("words", "size", "tri"))
         return t["toxic"].to_numpy(), pc.list_value_length(t["words"]).to_numpy(), words.view(np.uint64), size, tri
 
-    return learn(counts, pick)
+    return learn(counts, pick, seeded=seeded)
 
 
 def _run(net, columns: list[str], names: tuple[str, str] = ("score", "predicted")):
@@ -351,14 +352,14 @@ def _run(net, columns: list[str], names: tuple[str, str] = ("score", "predicted"
     return run
 
 
-def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def score_documents(docs: DataFrame, labels: DataFrame, seeded: bool = True) -> DataFrame:
     """One row per row: ``doc_id, held_out, score, predicted``.
 
     Texts are read whole, in all overlapping windows. Null and empty texts, and
     all texts where a class has no labels, score 0. A null doc_id is not held
     out. Repeated rows give repeated rows. Nothing of the documents is shuffled.
     """
-    net = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    net = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, seeded=seeded))
     rows = docs.select(F.col("doc_id").cast("long"), held_out(5, 0).alias("held_out"), F.col("text").cast("string"))
     return rows.mapInArrow(_run(net, ["doc_id", "held_out"]), "doc_id long, held_out boolean, score double, predicted int")
 

@@ -79,12 +79,26 @@ def model_of(texts):
     import pyarrow as pa
 
     langs = sorted(texts)
-    counts, scripts = np.zeros((len(langs), 1 << segment.TRIGRAM_BITS)), np.zeros((len(langs), len(langid.NAMES)))
-    for b in langid._learn(langs)([pa.RecordBatch.from_arrays([pa.array([texts[x] for x in langs]), pa.array(langs)], names=["text", "lang"])]):
-        r = b.to_pylist()[0]
-        counts[langs.index(r["lang"])][r["bucket"]] += r["n"]
-        scripts[langs.index(r["lang"])] += r["scripts"]
-    return langid.Model(langs, counts, scripts)
+    batch = pa.RecordBatch.from_arrays([pa.array([texts[x] for x in langs]), pa.array(langs)], names=["text", "lang"])
+    return langid.Model.of(langs, pa.Table.from_batches(langid._learn([batch])))
+
+
+def test_viterbi_is_the_best_path():
+    """Against all paths, for several documents side by side."""
+    import itertools
+
+    rng = np.random.default_rng(5)
+    for penalty in (0.5, 2.0, 6.0):
+        model = langid.Model(["a", "b", "c"], np.ones((3, 1 << segment.TRIGRAM_BITS)), np.ones((3, len(langid.NAMES))), penalty)
+        n = [5, 1, 0, 7, 3]
+        doc = np.repeat(np.arange(5), n)
+        score = rng.normal(0, 3, (len(doc), 3)).astype(np.float32)
+        label = model.path(score, doc, 5)
+        for d in range(5):
+            s, own = score[doc == d].astype(float), label[doc == d]
+            value = lambda p, s=s: sum(s[t, x] for t, x in enumerate(p)) - penalty * sum(x != y for x, y in itertools.pairwise(p))
+            best = max((value(p) for p in itertools.product(range(3), repeat=len(s))), default=0)
+            assert abs(value(own) - best) < 1e-3
 
 
 def test_short_passages_in_another_script_are_spans():
@@ -388,6 +402,31 @@ def test_gradients_are_right():
         assert abs((up - down) / 2e-3 - grads[k][i]) < 1e-4, k
 
 
+def test_forward_pass_by_hand():
+    """The network word by word in plain Python: gates, both directions, attention, padding."""
+    net, g = toxic.Net(3), np.random.default_rng(8)
+    x = g.standard_normal((5, toxic.D)).astype(np.float32)
+    sig = lambda v: 1 / (1 + np.exp(-v))
+    H = toxic.H
+    idx = np.full((3, toxic.WINDOW), -1)
+    for i, n in enumerate((toxic.WINDOW, 4, 1)):
+        idx[i, :n] = g.integers(0, 5, n)
+    got = net._forward(idx, net.projected(x, "f"), net.projected(x, "b"))[0]
+    for i in range(3):
+        words = [w for w in idx[i] if w >= 0]
+        states = {}
+        for d, order in (("f", range(len(words))), ("b", range(len(words) - 1, -1, -1))):
+            h = np.zeros(H)
+            for t in order:
+                a, b = x[words[t]] @ net.p[f"W{d}"] + net.p[f"c{d}"], h @ net.p[f"U{d}"]
+                z, r = sig(a[:H] + b[:H]), sig(a[H : 2 * H] + b[H : 2 * H])
+                h = z * h + (1 - z) * np.tanh(a[2 * H :] + r * b[2 * H :])
+                states[d, t] = h
+        hs = np.array([np.concatenate((states["f", t], states["b", t])) for t in range(len(words))])
+        e = np.exp(np.tanh(hs @ net.p["Wa"] + net.p["ba"]) @ net.p["v"])
+        assert abs((e / e.sum()) @ hs @ net.p["w"] + net.p["b"][0] - got[i]) < 1e-4
+
+
 def test_toxic_words_are_learned():
     rng = random.Random(4)
     vocab, bad = ["the", "of", "and", *("".join(rng.choice("aeioulnrst") for _ in range(6)) for _ in range(300))], ["vileword", "nastyone"]
