@@ -73,24 +73,31 @@ def _strings(v: Column, path: str) -> Column:
     return F.transform(items, lambda x: x.cast("string"))
 
 
+_TEXTS = ("lang", "lc", "product_name", "generic_name", "ingredients_text", "brands", "quantity", "serving_size", "countries", "nutrition_grades", "nutriscore_grade", "ecoscore_grade", "environmental_score_grade")
+
+
 def fields(rows: DataFrame, lang: str) -> DataFrame:
-    """All that is read of a record, from its variant ``v``."""
-    v, s = F.col("v"), lambda path: T.variant_string(F.col("v"), f"$['{path}']")
-    own = F.coalesce(F.nullif(s("lang"), F.lit("")), s("lc"))
-    text = T.language_description([(s(f"{x}_{lang}"), s(x)) for x in ("generic_name", "ingredients_text")], own, lang)
-    title = T.language_title(s(f"product_name_{lang}"), s("product_name"), own, lang)
-    code = gates.key(F.try_variant_get(v, "$.code", "string"), F.try_variant_get(v, "$._id", "string"))
-    images = F.try_variant_get(v, "$.images", _IMAGES)
-    front = F.element_at(images, F.lit(f"front_{lang}"))
+    """All that is read of a record. Each field is taken from its variant ``v`` once, then worked on."""
+    v = F.col("v")
+    own = {f"{c}_own": T.variant_string(v, f"$['{c}_{lang}']") for c in ("product_name", "generic_name", "ingredients_text")}
+    numbers = {f"{n}_n": _number(v, f"$.nutriments['{n}_100g']") for n in NUTRIENTS.values()}
+    units = {f"{n}_u": T.variant_string(v, f"$.nutriments['{n}_unit']") for n in NUTRIENTS.values()}
+    lists = {c: _strings(v, f"$.{c}_tags") for c in ("categories", "labels", "allergens", "ingredients_analysis")}
+    raw = {c: T.variant_string(v, f"$['{c}']") for c in _TEXTS} | own | numbers | units | lists
+    raw |= {"code": gates.key(F.try_variant_get(v, "$.code", "string"), F.try_variant_get(v, "$._id", "string")), "images": F.try_variant_get(v, "$.images", _IMAGES), "nova": _number(v, "$.nova_group"), "scans": F.try_variant_get(v, "$.unique_scans_n", "long")}
+    rows = rows.select("row", "kind", *[x.alias(c) for c, x in raw.items()])
+    said = F.coalesce(F.nullif("lang", F.lit("")), "lc")
+    rows = rows.withColumns({"said": said, "front": F.element_at("images", F.lit(f"front_{lang}"))})
+    text = T.language_description([(F.col(f"{x}_own"), F.col(x)) for x in ("generic_name", "ingredients_text")], F.col("said"), lang)
+    title = T.language_title(F.col("product_name_own"), F.col("product_name"), F.col("said"), lang)
     sizes = lambda x: F.coalesce(F.map_keys(x["sizes"]), F.array().cast("array<string>"))
-    url = T.image_url(code, T.front_key(F.map_keys(images), require=lang), F.nullif(front["rev"], F.lit("")), front["imgid"], sizes(front), sizes(F.element_at(images, front["imgid"])))
-    unit = lambda n: T.variant_string(v, f"$.nutriments['{n}_unit']")
+    front = F.col("front")
+    url = T.image_url(F.col("code"), T.front_key(F.map_keys("images"), require=lang), F.nullif(front["rev"], F.lit("")), front["imgid"], sizes(front), sizes(F.element_at("images", front["imgid"])))
     return rows.select(
-        "row", "kind", code.alias("code"), title.alias("title"), text.alias("text"), url.alias("image_url"), F.coalesce(s("brands"), F.lit("")).alias("brand"), s("quantity").alias("quantity"), s("serving_size").alias("serving_size"),
-        s("countries").alias("countries"), F.struct(s("nutrition_grades").alias("a"), s("nutriscore_grade").alias("b")).alias("nutri"), F.struct(s("ecoscore_grade").alias("a"), s("environmental_score_grade").alias("b")).alias("eco"),
-        _number(v, "$.nova_group").alias("nova"), F.try_variant_get(v, "$.unique_scans_n", "long").alias("scans"), F.coalesce(_strings(v, "$.categories_tags"), F.array().cast("array<string>")).alias("tags"),
-        _strings(v, "$.labels_tags").alias("labels"), _strings(v, "$.allergens_tags").alias("allergens"), _strings(v, "$.ingredients_analysis_tags").alias("analysis"),
-        F.struct(*[F.when(_number(v, f"$.nutriments['{n}_100g']").isNotNull(), T.nutrient(_number(v, f"$.nutriments['{n}_100g']"), unit(n))).alias(k) for k, n in NUTRIENTS.items()]).alias("nutrients"),
+        "row", "kind", "code", title.alias("title"), text.alias("text"), url.alias("image_url"), F.coalesce("brands", F.lit("")).alias("brand"), "quantity", "serving_size", "countries",
+        F.struct(F.col("nutrition_grades").alias("a"), F.col("nutriscore_grade").alias("b")).alias("nutri"), F.struct(F.col("ecoscore_grade").alias("a"), F.col("environmental_score_grade").alias("b")).alias("eco"),
+        "nova", "scans", F.coalesce("categories", F.array().cast("array<string>")).alias("tags"), "labels", "allergens", F.col("ingredients_analysis").alias("analysis"),
+        F.struct(*[F.when(F.col(f"{n}_n").isNotNull(), T.nutrient(F.col(f"{n}_n"), F.col(f"{n}_u"))).alias(k) for k, n in NUTRIENTS.items()]).alias("nutrients"),
     )
 
 

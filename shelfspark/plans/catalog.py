@@ -12,6 +12,8 @@ from shelfspark.session import cut
 QUERIES: dict = {}
 ORACLES: dict = {}
 CAP = 6
+#: Parts that only filter a written one.
+FILTERS = ("accepted", "eligible")
 
 _label = lambda names: f"replace(coalesce({', '.join(f'upper(left(nullif(trim({n}), {chr(39) * 2}), 1)) || substr(trim({n}), 2)' for n in names)}, CASE WHEN w = '' THEN id ELSE upper(left(w, 1)) || substr(w, 2) END), '/', ' ')"
 GRAPH = ctes("nodes", "edges") + f""", labels AS (SELECT id, {_label(['en'])} AS label, {_label(['fr', 'en'])} AS label_fr
@@ -68,7 +70,8 @@ class Catalog:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in self.made:
-            self.made[name] = cut(getattr(self, f"_{name}")(), name)
+            made = getattr(self, f"_{name}")()
+            self.made[name] = made if name in FILTERS else cut(made, name)
         return self.made[name]
 
     def table(self, name: str) -> DataFrame:
