@@ -8,7 +8,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Characters that a chunk holds, about; a longer document is a chunk of its own.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _P = 0x9E3779B97F4A7C15 | 1
 TRIGRAM_BITS = 16
 _SPACES = (9, 10, 11, 12, 13, 32)
