@@ -331,8 +331,7 @@ def labels_of(members: DataFrame, texts, weights, threshold: float, deviations:
         if labels is not None:
             rest = rest.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         open_ = rest.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("key")
-        # A written side leaves both of a join's inputs plain, so that Spark can split a class with thousands of rows.
-        rest = cut(rest.join(cut(open_, "undecided"), "key"), "open")
+        rest = cut(rest.join(open_, "key"), "open")
         if rest.isEmpty():
             return labels
         if parts == 1:
@@ -387,6 +386,7 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY, damp: float = D
         of = of.withColumn("label", F.lit(None).cast("long"))
     alone = F.col("node").isNull()
     of = cut(of.select("uid", "doc_id", "th", F.struct(alone.alias("alone"), F.when(alone, F.col("uid")).otherwise(F.coalesce("label", "node")).alias("c")).alias("c")), "labelled")
+    # A written side leaves both of the join's inputs plain, so that Spark can split a class with thousands of rows.
     classes = cut(of.groupBy("c").agg(F.min(row).alias("first"), F.count("*").alias("class_size")), "classes")
     return of.join(classes, "c").select("doc_id", F.col("first.doc_id").alias("class_id"), "class_size", (F.col("uid") == F.col("first.uid")).alias("kept"), "th")
 
