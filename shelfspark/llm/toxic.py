@@ -208,7 +208,7 @@ def train(texts: list[str], y: np.ndarray, seed: int = 7) -> Net | None:
     return learn(seen(texts, y), pick, seed)
 
 
-def learn(found: np.ndarray, pick: Callable[[Net], tuple[np.ndarray, ...]], seed: int = 7, seeded: bool = True) -> Net | None:
+def learn(found: np.ndarray, pick: Callable[[Net], tuple[np.ndarray, ...]], seed: int = 7, seeded: bool = False) -> Net | None:
     """A network from what ``seen`` tells of the documents; None where one class is missing.
 
     If ``seeded``, one input dimension starts as the class odds of common words and trigrams.
@@ -307,7 +307,7 @@ def _highest(net):
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seeded: bool = True) -> Net | None:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seeded: bool = False) -> Net | None:
     """A network from the documents whose labels are not held out, a sample by hash of about
     ``sample`` toxic ones and CLEAN times as many others, of those that are there and have words.
 
@@ -352,7 +352,7 @@ def _run(net, columns: list[str], names: tuple[str, str] = ("score", "predicted"
     return run
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, seeded: bool = True) -> DataFrame:
+def score_documents(docs: DataFrame, labels: DataFrame, seeded: bool = False) -> DataFrame:
     """One row per row: ``doc_id, held_out, score, predicted``.
 
     Texts are read whole, in all overlapping windows. Null and empty texts, and
