@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import ann, bpe, chat, exact, langid, lines, mix, near, slots, toxic
+from shelfspark.llm import ann, bpe, chat, exact, langid, lines, mix, near, repair, slots, toxic
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digests(_read(spark, sf_dir, "documents"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_damaged(_read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_mixing": op2_mixing,
@@ -66,9 +70,83 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_nearest": op9_nearest,
     "op10_line_dedup": op10_line_dedup,
+    "op11_repair": op11_repair,
 }
 
+#: The checksum of a short text, byte by byte through its table of 256 remainders.
+_CRC = """
+        bits AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab)
+"""
+
+
+def _crc(text: str) -> str:
+    """Of text in ASCII; ``tab`` must be in scope."""
+    bytes_ = f"list_transform(range(1, length({text}) + 1), lambda i: ascii(substr({text}, i, 1))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bytes_}), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def _least(*values: str) -> str:
+    return f"list_min(list_filter([{', '.join(values)}], lambda x: x IS NOT NULL))"
+
+
+def _step(state: str, cost: str, edit: str, to: str, when: str = "true") -> str:
+    return f"CASE WHEN {state} IS NOT NULL AND {when} THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 'r': list_append({state}.r, {to})}} END"
+
+
+_USER, _BOT = "'user:'", "'assistant:'"
+_DROP = lambda q: f"CASE WHEN {q} IS NOT NULL THEN {{'c': {q}.c + 4, 'a': {q}.a || 'D', 'r': {q}.r}} END"
+
+
+def _shifted(q: str, to: str, initial: str) -> str:
+    """The row kept under its own role or given that of ``to``."""
+    keep = _step(q, "more", "K", "role || ':' || text", f"fault NOT IN ('b', 'd') AND initial = '{initial}'")
+    other = _step(q, "more + 3", "R", f"{to} || text", "fault NOT IN ('b', 'd')")
+    return f"{keep}, {other}" if to != "''" else keep
+
+
+#: Four columns for the four places in ``(s?(ua)+)?``, rows of a conversation one after the other.
+_OP11 = f"""
+        WITH RECURSIVE {_CRC},
+        d AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS hit
+            FROM conversations, bits
+        ), e AS (
+            SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role, CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM d, range(CASE hit WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END) WHERE hit <> 0
+        ), o AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+                   regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS t, left(role, 1) AS initial FROM e
+        ), f AS (
+            SELECT *, CASE WHEN t = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd' WHEN right(t, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '-' END AS fault,
+                   coalesce(lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au'), false) AS bad FROM o
+        ), counted AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+                   count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (bad) AS illegal, max(i) AS n FROM f GROUP BY conv_id
+        ), p AS (
+            SELECT conv_id, 0::BIGINT AS step, {{'c': 0::BIGINT, 'a': '', 'r': []::VARCHAR[]}} AS q0, NULL::STRUCT(c BIGINT, a VARCHAR, r VARCHAR[]) AS q1,
+                   NULL::STRUCT(c BIGINT, a VARCHAR, r VARCHAR[]) AS q2, NULL::STRUCT(c BIGINT, a VARCHAR, r VARCHAR[]) AS q3 FROM (SELECT DISTINCT conv_id FROM conversations)
+            UNION ALL
+            SELECT conv_id, step + 1, {_DROP("q0")}, {_least(_DROP("q1"), _shifted("q0", "''", "s"))},
+                   {_least(_DROP("q2"), *[_shifted(q, _USER, "u") for q in ("q0", "q1", "q3")])}, {_least(_DROP("q3"), _shifted("q2", _BOT, "a"))}
+            FROM (
+                SELECT conv_id, step, q0, q1, q2, {_least("q3", _step("q2", "3", "I", _BOT))} AS q3, role, text, fault, initial, more
+                FROM (
+                    SELECT p.conv_id, step, q0, q1, {_least("q2", *[_step(q, "3", "I", _USER) for q in ("q0", "q1", "q3")])} AS q2, q3, role, text, fault, initial, CASE WHEN fault = 't' THEN 3 ELSE 0 END AS more
+                    FROM p JOIN f ON p.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = p.step + 1
+                )
+            )
+        ), last AS (
+            SELECT conv_id, step, q0, {_least("q3", _step("q2", "3", "I", _BOT))} AS q3
+            FROM (SELECT conv_id, step, q0, {_least("q2", *[_step(q, "3", "I", _USER) for q in ("q0", "q1", "q3")])} AS q2, q3 FROM p)
+        )
+        SELECT last.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+               x.c AS cost, x.a AS audit, sha256(array_to_string(x.r, chr(10))) AS repaired_sha256
+        FROM (SELECT conv_id, step, {_least("q0", "q3")} AS x FROM last) last LEFT JOIN counted ON last.conv_id IS NOT DISTINCT FROM counted.conv_id
+        WHERE step = coalesce(n, 0)
+"""
+
 ORACLES = {
+    "op11_repair": _OP11,
     "op4_chat": r"""
         WITH t AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
