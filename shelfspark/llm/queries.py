@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import ann, bpe, chat, exact, langid, lines, mix, near, repair, slots, toxic
+from shelfspark.llm import ann, bpe, chat, exact, html, langid, lines, mix, near, periodic, repair, slots, toxic
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -59,6 +59,14 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_damaged(_read(spark, sf_dir, "conversations"))
 
 
+def op12_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_read(spark, sf_dir, "pages"))
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.planted_runs(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_mixing": op2_mixing,
@@ -71,6 +79,8 @@ QUERIES = {
     "op9_nearest": op9_nearest,
     "op10_line_dedup": op10_line_dedup,
     "op11_repair": op11_repair,
+    "op12_html": op12_html,
+    "op13_periodic": op13_periodic,
 }
 
 #: The checksum of a short text, byte by byte through its table of 256 remainders.
@@ -145,7 +155,30 @@ _OP11 = f"""
         WHERE step = coalesce(n, 0)
 """
 
+#: Pairs of equal words at each lag, found by the three words from there on, and their stretches.
+_OP13 = f"""
+        WITH {_CRC},
+        w AS (
+            SELECT row_number() OVER () AS d, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws, coalesce({_crc("doc_id::VARCHAR")}, 1) AS h FROM documents, bits
+        ), g AS (SELECT d, doc_id, ws, len(ws) AS n, h % 10 = 0 AND len(ws) > 0 AS hit, h // 10 AS g FROM w),
+        a AS (SELECT *, CASE WHEN hit THEN g % n ELSE 0 END AS a FROM g),
+        p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+        word AS (SELECT d, n, unnest(list_transform(range(n), lambda i: ws[1 + CASE WHEN hit AND i >= a THEN a + (i - a) % p ELSE i END])) AS x, unnest(range(n)) AS i FROM p),
+        tri AS (SELECT d, n, i, x || ' ' || lead(x) OVER o || ' ' || lead(x, 2) OVER o AS t FROM word WINDOW o AS (PARTITION BY d ORDER BY i)),
+        pair AS (SELECT l.d, l.i, r.i - l.i AS q FROM tri l JOIN tri r ON l.d = r.d AND l.t = r.t AND r.i > l.i AND 4 * (r.i - l.i) <= l.n),
+        stretch AS (SELECT d, q, min(i) AS s, count(*) + 2 + q AS length FROM (SELECT d, q, i, i - row_number() OVER (PARTITION BY d, q ORDER BY i) AS k FROM pair) GROUP BY d, q, k),
+        run AS (SELECT d, s, length, min(q) AS q FROM stretch WHERE length >= greatest(6, 4 * q) GROUP BY d, s, length),
+        best AS (SELECT d, s, length, q FROM run QUALIFY row_number() OVER (PARTITION BY d ORDER BY length / q DESC, s, q) = 1),
+        listed AS (SELECT d, count(*) AS n_runs, string_agg(s || ',' || length || ',' || q || chr(10), '' ORDER BY s, q) AS t FROM run GROUP BY d),
+        gone AS (SELECT DISTINCT d, unnest(range(s + q, s + length)) AS i FROM run),
+        stay AS (SELECT d, string_agg(x, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone USING (d, i) GROUP BY d)
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.length AS length, best.q AS period, 1000 * best.length // best.q AS exponent_milli,
+               sha256(coalesce(listed.t, '')) AS runs_sha256, sha256(coalesce(stay.t, '')) AS collapsed_sha256
+        FROM w LEFT JOIN best USING (d) LEFT JOIN listed USING (d) LEFT JOIN stay USING (d)
+"""
+
 ORACLES = {
+    "op13_periodic": _OP13,
     "op11_repair": _OP11,
     "op4_chat": r"""
         WITH t AS (

@@ -58,6 +58,11 @@ def _powers(n: int) -> list[np.ndarray]:
     return _tables
 
 
+def powers(n: int) -> np.ndarray:
+    """The first ``n`` powers of an odd number, modulo 2^64."""
+    return _powers(n)[0][:n]
+
+
 def runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of true; the last value must be false."""
     edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
