@@ -42,6 +42,7 @@ class Taxonomy:
 
     labels: DataFrame
     chains: DataFrame
+    places: DataFrame
     addresses: DataFrame
     paths: DataFrame
     steps: DataFrame
@@ -58,7 +59,7 @@ class Taxonomy:
         addresses = cut(graph.addresses(kept, edges, canon, chains=chains), "addresses")
         labels = cut(labels.select("id", "label"), "labels")
         paths, steps = graph.path_ids(graph.rendered(addresses, labels))
-        return cls(labels, chains, addresses, paths, steps, roots, cut(curate.vocabulary(nodes, settings.lang, list(settings.exclude)), "vocabulary"))
+        return cls(labels, chains, cut(graph.intervals(chains), "places"), addresses, paths, steps, roots, cut(curate.vocabulary(nodes, settings.lang, list(settings.exclude)), "vocabulary"))
 
 
 def _number(v: Column, path: str) -> Column:
@@ -126,7 +127,7 @@ class Extraction:
             self.leaves, self.chains = none.select("product", "tag", "leaf_rank"), none.select("product", "chain")
             self.heads = none.select("product", F.col("tag").alias("head"))
         else:
-            self.leaves = cut(address.leaves(self.accepted, taxonomy.chains, taxonomy.vocab.filter("eligible")), "leaves")
+            self.leaves = cut(address.leaves(self.accepted, taxonomy.places, taxonomy.vocab.filter("eligible")), "leaves")
             address.require_addresses(self.leaves, taxonomy.addresses)
             chains = address.primary_chain(self.leaves, taxonomy.chains)
             past = chains.join(some, "product", "left_semi") if settings.require_category else chains

@@ -1,24 +1,37 @@
 """The category graph: roots, canonical parents, ancestries, all addresses, labels.
 
 Tables: ``nodes(id, ...)`` and ``edges(child, parent)``. Walks are frontier
-joins, one per level of the graph, each written to the shared folder.
+joins; several levels go into one plan, which is then written to the shared
+folder, so a graph takes a few jobs and not a few for each of its levels.
+Addresses are counted, a number a node, before any of them is listed.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark.session import cut
+from shelfspark.sources.products import numbered
 
 SEPARATOR = "/"
 MAX_ADDRESSES = 1000
+#: Levels of a walk that one plan takes.
+UNROLL = 4
+#: Counts of addresses stop growing here; any bound is far below.
+_FULL = 1 << 40
 
 
 class AddressExplosionError(ValueError):
     """A node has more addresses than allowed; refused, never truncated."""
 
 
+class CyclicGraphError(ValueError):
+    """Addresses of a graph with cycles can be listed, not counted."""
+
+
 def without(nodes: DataFrame, exclude: list[str]) -> DataFrame:
     return nodes.filter(~F.col("id").isin(*exclude)) if exclude else nodes
 
@@ -40,17 +53,55 @@ def depths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _depths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    ids = cut(nodes.select("id").distinct(), "ids")
-    seen = frontier = cut(ids.join(edges.select(F.col("child").alias("id")), "id", "left_anti").withColumn("depth", F.lit(0)), "depth")
+    ids = nodes.select("id").distinct()
+    roots = ids.join(edges.select(F.col("child").alias("id")), "id", "left_anti").withColumn("depth", F.lit(0))
+    seen = _reached(roots, edges)
+    rest = cut(ids.join(seen.select("id"), "id", "left_anti"), "unreached")
+    return seen if rest.isEmpty() else seen.union(_cyclic_depths(rest, edges))
+
+
+def _reached(start: DataFrame, edges: DataFrame) -> DataFrame:
+    """``id, depth``: fewest hops from ``start(id, depth 0)``, which is part of it.
+
+    A plan goes several levels down and drops what was seen before at its end: a shortest way to a new node leads over
+    new nodes only, so that those seen again on the way change nothing."""
+    seen = frontier = cut(start.select("id", F.col("depth").cast("int").alias("depth")), "depth")
+    depth = 0
     while True:
-        step = edges.join(frontier.select(F.col("id").alias("parent"), "depth"), "parent").groupBy(F.col("child").alias("id")).agg((F.min("depth") + 1).alias("depth"))
-        frontier = cut(step.join(seen.select("id"), "id", "left_anti"), "depth")
+        level, levels = frontier.select("id"), []
+        for j in range(1, UNROLL + 1):
+            level = edges.join(level.withColumnRenamed("id", "parent"), "parent").select(F.col("child").alias("id")).distinct()
+            levels.append(level.withColumn("depth", F.lit(depth + j)))
+        new = reduce(DataFrame.union, levels).groupBy("id").agg(F.min("depth").alias("depth"))
+        new = cut(new.join(seen.select("id"), "id", "left_anti"), "depth")
+        seen, depth = seen.union(new), depth + UNROLL
+        frontier = new.filter(F.col("depth") == depth)
         if frontier.isEmpty():
-            least = ids.join(seen.select("id"), "id", "left_anti").agg(F.min("id")).first()[0]
-            if least is None:
-                return seen
-            frontier = nodes.sparkSession.createDataFrame([(least, 0)], "id string, depth int")
-        seen = seen.union(frontier)
+            return seen
+
+
+def _cyclic_depths(rest: DataFrame, edges: DataFrame) -> DataFrame:
+    """``id, depth`` of nodes that no root reaches, all cycles at once.
+
+    Taking the smallest unreached id as a root, again and again, gives each node to the smallest id that reaches it:
+    were that id itself reached by a smaller one, so were the node. Those smallest ids spread along the edges in rounds,
+    and then one walk starts from all that are their own, inside what each has got."""
+    inside = edges.join(rest.withColumnRenamed("id", "child"), "child", "left_semi").join(rest.withColumnRenamed("id", "parent"), "parent", "left_semi")
+    inside = cut(inside, "inside")
+    labels = cut(rest.select("id", F.col("id").alias("least")), "labels")
+    while True:
+        spread = labels
+        for _ in range(UNROLL):
+            sent = inside.join(spread.withColumnRenamed("id", "parent"), "parent").select(F.col("child").alias("id"), "least")
+            spread = spread.union(sent).groupBy("id").agg(F.min("least").alias("least"))
+        spread = cut(spread, "labels")
+        changed = not spread.join(labels, ["id", "least"], "left_anti").isEmpty()
+        labels = spread
+        if not changed:
+            break
+    of = lambda end: labels.select(F.col("id").alias(end), F.col("least").alias(f"{end}_least"))
+    own = cut(inside.join(of("child"), "child").join(of("parent"), "parent").filter("child_least = parent_least").select("child", "parent"), "own")
+    return _reached(labels.filter("id = least").select("id", F.lit(0).alias("depth")), own)
 
 
 def canonical(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -66,12 +117,88 @@ def canonical(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def ancestry(canon: DataFrame) -> DataFrame:
     """``id, path``: the canonical chain from the root down to the node."""
     done = level = canon.filter("parent IS NULL").select("id", F.array("id").alias("path"))
-    rest = canon.filter("parent IS NOT NULL").select("id", "parent")
+    rest = cut(canon.filter("parent IS NOT NULL").select("id", "parent"), "canon")
     while True:
-        level = cut(rest.join(level.select(F.col("id").alias("parent"), "path"), "parent").select("id", F.array_append("path", F.col("id")).alias("path")), "chain")
-        if level.isEmpty():
+        levels = []
+        for _ in range(UNROLL):
+            level = rest.join(level.select(F.col("id").alias("parent"), "path"), "parent").select("id", F.array_append("path", F.col("id")).alias("path"))
+            levels.append(level)
+        new = cut(reduce(DataFrame.union, levels), "chain")
+        longest = new.agg(F.max(F.size("path"))).first()[0]
+        if longest is None:
             return done
-        done = done.union(level)
+        done, level = done.union(new), new.filter(F.size("path") == longest)
+
+
+def intervals(chains: DataFrame) -> DataFrame:
+    """``id, enter, leave, length``: the node's place in a walk of the canonical forest, parents before children, and
+    the last place under it. A node lies under another exactly if its ``enter`` is in that one's ``(enter, leave]``.
+
+    In order of their paths all that is under a node follows it at once, so one sort numbers the forest."""
+    sizes = chains.select(F.explode("path").alias("id")).groupBy("id").agg(F.count("*").alias("size"))
+    return numbered(chains, "path").join(sizes, "id").select("id", F.col("n").alias("enter"), (F.col("n") + F.col("size") - 1).alias("leave"), F.size("path").alias("length"))
+
+
+def _walkable(nodes: DataFrame, edges: DataFrame, canon: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The roots, and the edges that addresses go along: none leads to a root."""
+    roots = canon.filter("parent IS NULL").select("id")
+    return roots, cut(valid_edges(nodes, edges).join(roots.withColumnRenamed("id", "child"), "child", "left_anti"), "walkable")
+
+
+def address_counts(nodes: DataFrame, edges: DataFrame, canon: DataFrame, most: int | None = MAX_ADDRESSES) -> DataFrame:
+    """``id, addresses, longest``: how many root-to-node paths each node has and the hops of the longest, on a graph
+    without cycles, and no path is listed.
+
+    Level by level each node adds up its parents' numbers. A node with more than ``most`` is refused at the level that
+    brings it over; without a bound, numbers stop at 2^40. On a graph with cycles this is ``CyclicGraphError``.
+    """
+    roots, walkable = _walkable(nodes, edges, canon)
+    return _counted(roots, walkable, most)
+
+
+def _counted(roots: DataFrame, edges: DataFrame, most: int | None) -> DataFrame:
+    done = level = roots.select("id", F.lit(1).cast("long").alias("n"), F.lit(0).alias("hops"))
+    bound, hops, checked = 1, 0, 0
+    while True:
+        levels = []
+        for j in range(1, UNROLL + 1):
+            sums = edges.join(level.select(F.col("id").alias("parent"), "n"), "parent").groupBy(F.col("child").alias("id"))
+            level = sums.agg(F.least(F.sum("n"), F.lit(_FULL)).cast("long").alias("n")).withColumn("hops", F.lit(hops + j))
+            levels.append(level)
+        new = cut(reduce(DataFrame.union, levels), "counts")
+        largest = {r.hops: r.n for r in new.groupBy("hops").agg(F.max("n").alias("n")).collect()}
+        done, hops = done.union(new), hops + UNROLL
+        bound += sum(largest.values())
+        if most is not None and bound > most:
+            over = _totals(done).filter(F.col("addresses") > most).orderBy("id").first()
+            if over and is_cyclic(edges):
+                raise CyclicGraphError("walks around a cycle never end")
+            if over:
+                raise AddressExplosionError(f"{over.id} has {over.addresses} addresses or more")
+        elif hops >= 2 * max(checked, 32):
+            checked = hops
+            if is_cyclic(edges):
+                raise CyclicGraphError("walks around a cycle never end")
+        if hops not in largest:
+            return _totals(done)
+        level = new.filter(F.col("hops") == hops)
+
+
+def _totals(levels: DataFrame) -> DataFrame:
+    return levels.groupBy("id").agg(F.least(F.sum("n"), F.lit(_FULL)).cast("long").alias("addresses"), F.max("hops").alias("longest"))
+
+
+def is_cyclic(edges: DataFrame) -> bool:
+    """Whether some edges lead around: those whose parent has no edge to it go, until none does or none is left."""
+    left, n = edges, edges.count()
+    while n:
+        for _ in range(UNROLL):
+            left = left.join(left.select(F.col("child").alias("parent")).distinct(), "parent", "left_semi").select("child", "parent")
+        left = cut(left, "trimmed")
+        before, n = n, left.count()
+        if n == before:
+            return True
+    return False
 
 
 def addresses(nodes: DataFrame, edges: DataFrame, canon: DataFrame, most: int = MAX_ADDRESSES, chains: DataFrame | None = None) -> DataFrame:
@@ -79,38 +206,58 @@ def addresses(nodes: DataFrame, edges: DataFrame, canon: DataFrame, most: int =
 
     The canonical chain (``chains``, if it is known already) comes first, the
     rest by length, then step by step. A node with more than ``most`` addresses
-    stops the run: each level is counted by itself, and all levels together
-    only once their largest counts could add up to more.
+    stops the run. On a graph without cycles that shows before a path is listed,
+    and the listing then goes down as many levels as were counted; on one with
+    cycles each level is listed and counted by itself.
     """
-    edges = cut(valid_edges(nodes, edges), "edges")
-    roots = canon.filter("parent IS NULL").select("id")
+    if most >= 1 << 16:
+        raise ValueError("unions of addresses keep 16 bits for a rank")
+    roots, walkable = _walkable(nodes, edges, canon)
+    try:
+        deepest = _counted(roots, walkable, most).agg(F.max("longest")).first()[0] or 0
+        done = _listed(roots, walkable, deepest)
+    except CyclicGraphError:
+        done = _listed_around_cycles(roots, walkable, most)
+    # Paths of different lengths come from different levels and edges are distinct, so no path is there twice.
+    chains = ancestry(canon) if chains is None else chains
+    rows = done.join(chains.withColumnRenamed("path", "chain"), "id").withColumn("is_primary", F.col("path") == F.col("chain"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("is_primary"), F.size("path"), "path"))
+    return rows.select("id", rank.alias("address_rank"), "path", "is_primary")
+
+
+def _listed(roots: DataFrame, edges: DataFrame, deepest: int) -> DataFrame:
+    done = level = roots.select("id", F.array("id").alias("path"))
+    for j in range(deepest):
+        level = edges.join(level.withColumnRenamed("id", "parent"), "parent").select(F.col("child").alias("id"), F.array_append("path", F.col("child")).alias("path"))
+        if j % UNROLL == UNROLL - 1:
+            level = cut(level, "address")
+        done = done.union(level)
+    return done
+
+
+def _listed_around_cycles(roots: DataFrame, edges: DataFrame, most: int) -> DataFrame:
     done = level = roots.select("id", F.array("id").alias("path"))
     bound = 1
     while True:
         step = edges.join(level.withColumnRenamed("id", "parent"), "parent").filter(~F.array_contains("path", F.col("child")))
-        step = step.join(roots.withColumnRenamed("id", "child"), "child", "left_anti")
         level = cut(step.select(F.col("child").alias("id"), F.array_append("path", F.col("child")).alias("path")), "address")
         largest = level.groupBy("id").count().agg(F.max("count")).first()[0]
         if largest is None:
-            break
+            return done
         done, bound = done.union(level), bound + largest
         over = exploded(done, most).orderBy("id").first() if bound > most else None
         if over:
             raise AddressExplosionError(f"{over.id} has {over.addresses} addresses")
-    # Paths of different lengths come from different levels and edges are distinct, so no path is there twice.
-    chains = ancestry(canon) if chains is None else chains
-    rows = done.join(chains.withColumnRenamed("path", "chain"), "id").withColumn("is_primary", F.col("path") == F.col("chain"))
-    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("is_primary"), F.size("path"), "path"))
-    return rows.select("id", rank.alias("address_rank"), "path", "is_primary")
 
 
 def exploded(found: DataFrame, most: int = MAX_ADDRESSES) -> DataFrame:
-    """Nodes with more than ``most`` addresses."""
+    """Nodes with more than ``most`` of the listed addresses."""
     return found.groupBy("id").agg(F.count("*").alias("addresses")).filter(F.col("addresses") > most)
 
 
-def address_stats(found: DataFrame) -> DataFrame:
-    per = found.groupBy("id").agg(F.count("*").alias("n"))
+def address_stats(counts: DataFrame) -> DataFrame:
+    """From ``address_counts``."""
+    per = counts.select("id", F.col("addresses").alias("n"))
     return per.agg(F.count("*").alias("nodes"), F.count_if(F.col("n") > 1).alias("multi_address_nodes"), F.coalesce(F.max("n"), F.lit(0)).alias("max_addresses"), F.coalesce(F.sum("n"), F.lit(0)).alias("addresses"))
 
 
@@ -155,3 +302,15 @@ def path_ids(steps: DataFrame) -> tuple[DataFrame, DataFrame]:
 def path_ceiling(found: DataFrame, labels: DataFrame, eligible: DataFrame) -> DataFrame:
     """How many distinct path strings the eligible nodes' addresses have: a bound for any catalog."""
     return rendered(found.join(eligible.select("id"), "id", "left_semi"), labels).agg(F.countDistinct("path").alias("distinct_paths"))
+
+
+def path_bound(counts: DataFrame, chains_to: DataFrame) -> DataFrame:
+    """How many paths lead to the nodes of ``chains_to(id)``, from ``address_counts``, none of them listed: with all
+    ancestors of the eligible nodes there, no catalog has more path strings."""
+    return counts.join(chains_to.select("id").distinct(), "id", "left_semi").agg(F.coalesce(F.sum("addresses"), F.lit(0)).alias("paths"))
+
+
+def ancestors(edges: DataFrame, ids: DataFrame) -> DataFrame:
+    """``id``: the nodes of ``ids(id)`` and all that they lie under."""
+    up = edges.select(F.col("parent").alias("child"), F.col("child").alias("parent"))
+    return _reached(ids.select("id", F.lit(0).alias("depth")), up).select("id")

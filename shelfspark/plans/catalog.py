@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfspark.operators import address, audits, curate, graph
@@ -89,6 +89,12 @@ class Catalog:
     def _chains(self):
         return graph.ancestry(self.canon)
 
+    def _places(self):
+        return graph.intervals(self.chains)
+
+    def _counts(self):
+        return graph.address_counts(self.nodes, self.edges, self.canon)
+
     def _addresses(self):
         return graph.addresses(self.nodes, self.edges, self.canon, chains=self.chains)
 
@@ -117,7 +123,7 @@ class Catalog:
         return self.curated.filter("status = 'accepted'")
 
     def _leaves(self):
-        return address.leaves(self.accepted, self.chains, self.eligible)
+        return address.leaves(self.accepted, self.places, self.eligible)
 
     def union_rows(self) -> DataFrame:
         """For one reader; ``unions`` writes them for several."""
@@ -147,9 +153,15 @@ query("ancestry", f"{GRAPH} SELECT id, list_aggregate(path, 'string_agg', '>') A
 query("all_addresses", f"{GRAPH} SELECT id, address_rank, list_aggregate(path, 'string_agg', '>') AS path, is_primary FROM addresses")(
     catalog(lambda c: c.addresses.select("id", "address_rank", F.array_join("path", ">").alias("path"), "is_primary"))
 )
-query("address_breaker", f"{GRAPH} SELECT id, count(*) AS addresses FROM addresses GROUP BY id HAVING count(*) > 5")(catalog(lambda c: graph.exploded(c.addresses, 5)))
+query("address_breaker", f"{GRAPH} SELECT id, count(*) AS addresses FROM addresses GROUP BY id HAVING count(*) > 5")(catalog(lambda c: c.counts.filter("addresses > 5").select("id", "addresses")))
 query("address_stats", f"""{GRAPH} SELECT count(*) AS nodes, count(*) FILTER (n > 1) AS multi_address_nodes, max(n) AS max_addresses, sum(n)::BIGINT AS addresses
-    FROM (SELECT count(*) AS n FROM addresses GROUP BY id)""")(catalog(lambda c: graph.address_stats(c.addresses)))
+    FROM (SELECT count(*) AS n FROM addresses GROUP BY id)""")(catalog(lambda c: graph.address_stats(c.counts)))
+query("address_counts", f"{GRAPH} SELECT id, count(*) AS addresses, max(len(path)) - 1 AS longest FROM addresses GROUP BY id")(catalog(lambda c: c.counts))
+query("path_bound", f"""{GRAPH} SELECT count(*) AS paths FROM addresses WHERE id IN (SELECT unnest(path) FROM addresses WHERE id IN (SELECT id FROM eligible))""")(
+    catalog(lambda c: graph.path_bound(c.counts, graph.ancestors(c.edges, c.eligible)))
+)
+query("forest_places", f"""{GRAPH} SELECT c.id, row_number() OVER (ORDER BY c.path) AS enter, row_number() OVER (ORDER BY c.path) + size - 1 AS leave, len(c.path) AS length
+    FROM chains c JOIN (SELECT unnest(path) AS id, count(*) AS size FROM chains GROUP BY 1) USING (id)""")(catalog(lambda c: c.places))
 query("display_label", f"{GRAPH} SELECT id, label, label_fr FROM labels")(
     catalog(lambda c: c.nodes.select("id", graph.display_label(F.col("id"), [F.col("en")]).alias("label"), graph.display_label(F.col("id"), [F.col("fr"), F.col("en")]).alias("label_fr")))
 )
@@ -163,6 +175,25 @@ def phantom_roots(c: Catalog) -> DataFrame:
     return graph.phantom_roots(graph.canonical(kept, c.edges), c.nodes, c.edges)
 
 
+@query("many_cycles", f"""ring AS (SELECT o_orderkey // 5 AS ring, o_orderkey % 5 AS k, concat('en:a', o_orderkey // 5, '-', o_orderkey % 5) AS id FROM orders),
+    least AS (SELECT ring, min(id) AS top, arg_min(k, id) AS top_k, count(*) AS n FROM ring GROUP BY ring),
+    step AS (SELECT *, row_number() OVER (PARTITION BY ring ORDER BY k) - 1 AS spot, lag(id) OVER (PARTITION BY ring ORDER BY k) AS before, last_value(id) OVER (PARTITION BY ring ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last FROM ring),
+    placed AS (SELECT id, ring, (spot - (SELECT s.spot FROM step s WHERE s.id = top) + n) % n AS depth, coalesce(before, last) AS parent FROM step JOIN least USING (ring))
+    SELECT id, depth::INT AS depth, CASE WHEN depth > 0 THEN parent END AS parent FROM placed
+    UNION ALL SELECT concat('en:c', o_custkey, '-', o_orderkey), (depth + 1)::INT, id FROM orders JOIN placed ON id = concat('en:a', o_orderkey // 5, '-', o_orderkey % 5)""")
+@catalog
+def many_cycles(c: Catalog) -> DataFrame:
+    """A ring for every five order keys, each with its least id on top, and a customer's node under each order."""
+    ring = cut(c.table("orders").select(F.expr("o_orderkey div 5").alias("ring"), (F.col("o_orderkey") % 5).alias("k"), "o_custkey", "o_orderkey"), "ring")
+    name = F.concat(F.lit("en:a"), "ring", F.lit("-"), "k")
+    by = Window.partitionBy("ring").orderBy("k")
+    last = F.last("id").over(by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    rows = ring.withColumn("id", name).withColumn("parent", F.coalesce(F.lag("id").over(by), last))
+    edges = rows.select(F.col("id").alias("child"), "parent").union(rows.select(F.concat(F.lit("en:c"), "o_custkey", F.lit("-"), "o_orderkey"), "id"))
+    edges = cut(edges, "edges")
+    return graph.canonical(edges.select(F.col("child").alias("id")).distinct(), edges)
+
+
 @query("cycle_break", """a AS (SELECT concat('en:a', r_regionkey) AS id, (5 - r_regionkey) % 5 AS depth, concat('en:a', (r_regionkey + 1) % 5) AS parent, r_regionkey FROM region)
     SELECT id, depth, CASE WHEN depth > 0 THEN parent END AS parent FROM a
     UNION ALL SELECT concat('en:n', n_nationkey), depth + 1, id FROM nation JOIN a ON n_regionkey = r_regionkey

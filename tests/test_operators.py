@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from shelfspark import session
 from shelfspark.functions import pricing as P
 from shelfspark.functions import text as T
 from shelfspark.operators import address, curate, graph, publish, reconcile, verify
@@ -48,7 +50,7 @@ def test_covered_tags_are_no_leaves(spark):
     nodes, edges = graph_of(spark, {"r": [], "a": ["r"], "b": ["a"]})
     chains = graph.ancestry(graph.canonical(nodes, edges))
     tags = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (2, "nowhere")], "product int, tag string")
-    rows = address.leaves(tags, chains, nodes).collect()
+    rows = address.leaves(tags, graph.intervals(chains), nodes).collect()
     assert {(x.product, x.tag, x.leaf_rank) for x in rows} == {(1, "b", 1), (2, "a", 1)}
 
 
@@ -242,3 +244,99 @@ def test_a_million_blanks_are_stripped_in_linear_time(spark):
     began = time.time()
     assert one(spark, F.length(T.strip(F.concat(F.lit("\u00a0 a"), F.repeat(F.lit(" "), 1_000_000), F.lit("b\n"))))) == 1_000_002
     assert time.time() - began < 20
+
+
+def plain_depths(parents: dict) -> dict:
+    """Breadth first from the roots, then from the smallest node left, again and again."""
+    edges = {(c, p) for c, ps in parents.items() for p in ps if p in parents}
+    seen: dict = {}
+    starts = [n for n in parents if not any(c == n for c, _ in edges)]
+    while True:
+        level, depth = starts, 0
+        while level:
+            seen |= {n: depth for n in level}
+            level, depth = sorted({c for c, p in edges if p in level and c not in seen}), depth + 1
+        rest = sorted(set(parents) - set(seen))
+        if not rest:
+            return seen
+        starts = rest[:1]
+
+
+def test_depths_on_graphs_with_and_without_cycles(spark):
+    rng = random.Random(11)
+    for n, fan, back in ((30, 2, 0.0), (40, 2, 0.5), (40, 1, 1.0)):
+        names = [f"n{i:02}" for i in range(n)]
+        rng.shuffle(names)
+        parents = {}
+        for i, x in enumerate(names):
+            pool = names if rng.random() < back else names[:i]
+            parents[x] = rng.sample(pool, min(len(pool), rng.randrange(fan + 1) if back < 1 else 1))
+        nodes, edges = graph_of(spark, parents)
+        assert {r.id: r.depth for r in graph.depths(nodes, edges).collect()} == plain_depths(parents)
+
+
+def test_a_thousand_cycles_take_the_rounds_of_one(spark, monkeypatch):
+    parents = {f"c{i:03}-{j}": [f"c{i:03}-{(j + 2) % 3}"] for i in range(1000) for j in range(3)}
+    nodes, edges = graph_of(spark, parents)
+    cuts = []
+    monkeypatch.setattr(graph, "cut", lambda df, name="stage": cuts.append(name) or session.cut(df, name))
+    depth = {r.id: r.depth for r in graph.depths(nodes, edges).collect()}
+    assert depth == {f"c{i:03}-{j}": j for i in range(1000) for j in range(3)}
+    assert len(cuts) < 15
+
+
+def test_counts_are_those_of_the_list(spark):
+    rng = random.Random(12)
+    names = [f"n{i:02}" for i in range(25)]
+    parents = {x: rng.sample(names[:i], min(i, rng.randrange(4))) for i, x in enumerate(names)}
+    nodes, edges = graph_of(spark, parents)
+    canon = graph.canonical(nodes, edges)
+    listed = graph.addresses(nodes, edges, canon)
+    want = {r.id: (r.n, r.l) for r in listed.groupBy("id").agg(F.count("*").alias("n"), (F.max(F.size("path")) - 1).alias("l")).collect()}
+    assert {r.id: (r.addresses, r.longest) for r in graph.address_counts(nodes, edges, canon).collect()} == want
+
+
+def test_an_exploding_graph_is_refused_before_a_path_is_written(spark, monkeypatch):
+    """Eleven diamonds in a row: 2048 paths to the last node."""
+    parents = {"d00": []}
+    for i in range(1, 12):
+        parents |= {f"a{i:02}": [f"d{i - 1:02}"], f"b{i:02}": [f"d{i - 1:02}"], f"d{i:02}": [f"a{i:02}", f"b{i:02}"]}
+    nodes, edges = graph_of(spark, parents)
+    canon = graph.canonical(nodes, edges)
+    cuts = []
+    monkeypatch.setattr(graph, "cut", lambda df, name="stage": cuts.append(name) or session.cut(df, name))
+    with pytest.raises(graph.AddressExplosionError):
+        graph.addresses(nodes, edges, canon)
+    assert "address" not in cuts
+
+
+def test_counting_refuses_cycles_and_listing_takes_simple_paths(spark):
+    nodes, edges = graph_of(spark, {"r": [], "a": ["r", "c"], "b": ["a"], "c": ["b"]})
+    canon = graph.canonical(nodes, edges)
+    with pytest.raises(graph.CyclicGraphError):
+        graph.address_counts(nodes, edges, canon, most=None)
+    assert {r.id: "/".join(r.path) for r in graph.addresses(nodes, edges, canon).collect()} == {"r": "r", "a": "r/a", "b": "r/a/b", "c": "r/a/b/c"}
+
+
+def test_ranks_that_do_not_fit_are_refused(spark):
+    nodes, edges = graph_of(spark, {"r": []})
+    with pytest.raises(ValueError, match="16 bits"):
+        graph.addresses(nodes, edges, graph.canonical(nodes, edges), most=1 << 16)
+
+
+def test_leaves_by_intervals_are_those_by_paths(spark):
+    rng = random.Random(13)
+    names = [f"n{i:02}" for i in range(40)]
+    parents = {x: rng.sample(names[:i], 1) if i > 3 and rng.random() < 0.9 else [] for i, x in enumerate(names)}
+    nodes, edges = graph_of(spark, parents)
+    chains = session.cut(graph.ancestry(graph.canonical(nodes, edges)))
+    path = {r.id: list(r.path) for r in chains.collect()}
+    picks = [(p, t) for p in range(60) for t in rng.choices([*names, "nowhere"], k=rng.randrange(1, 9))]
+    want = set()
+    for p in range(60):
+        own = {t for q, t in picks if q == p and t in path}
+        free = sorted((t for t in own if not any(t in path[o][:-1] for o in own)), key=lambda t: (-len(path[t]), t))
+        want |= {(p, t, k) for k, t in enumerate(free, 1)}
+    found = address.leaves(spark.createDataFrame(picks, "product int, tag string"), graph.intervals(chains), nodes)
+    assert {tuple(r) for r in found.collect()} == want
+    assert "path" not in found.columns and all("path" not in c for c in graph.intervals(chains).columns)
