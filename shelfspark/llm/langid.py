@@ -22,6 +22,8 @@ from shelfspark.session import cut
 #: Documents of each language to learn from, about; a sample by hash, whole texts, of any corpus.
 SAMPLE = 400
 PENALTY = 6.0
+#: Words in a block of a path, and the most languages for which blocks pay.
+BLOCK, MATRIX = 128, 16
 #: A script is a language's if it has this share of its letters; at most so likely is a letter of any other script.
 SHARE = 0.01
 UND = "und"
@@ -115,38 +117,75 @@ class Model:
         return np.where(fits, score, behind[:, None]).astype(np.float32)
 
     def path(self, score: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
-        """Each word's language on its document's best path. Documents go side by side, the longest first."""
+        """Each word's language on its document's best path.
+
+        Documents are cut into blocks, and all blocks go side by side: first from every language that the word before
+        a block may have, which gives the best way from each to each; a walk over a document's blocks then says in
+        which language each begins and ends on the best path of the whole; and that path is found inside each block.
+        Of many languages, documents are one block each."""
+        n_langs = score.shape[1]
         n = np.bincount(doc, minlength=n_docs)
-        first = np.concatenate(([0], np.cumsum(n)))[:-1]
-        order = np.argsort(-n, kind="stable")
-        n, first = n[order], first[order]
+        size = BLOCK if n_langs <= MATRIX else max(1, int(n.max(initial=1)))
+        of_doc = np.repeat(np.arange(n_docs), -(-n // size))
+        nth = np.arange(len(of_doc)) - np.repeat(np.concatenate(([0], np.cumsum(-(-n // size))))[:-1], -(-n // size))
+        first = np.concatenate(([0], np.cumsum(n)))[:-1][of_doc] + nth * size
+        length = np.minimum(n[of_doc] - nth * size, size)
+        before = np.full((len(of_doc), 1, n_langs), -np.inf)
+        before[nth == 0] = 0
+        end = np.full(len(of_doc), -1)
+        many = np.flatnonzero((n > size)[of_doc])
+        if len(many):
+            every = np.where(np.eye(n_langs, dtype=bool), 0, -np.inf)
+            ways = self._forward(score, first[many], length[many], np.where((nth[many] == 0)[:, None, None], 0, every))
+            at = np.full(len(of_doc), -1)
+            at[many] = np.arange(len(many))
+            docs = np.flatnonzero(n > size)
+            begin = np.searchsorted(of_doc, docs)
+            count = -(-n // size)[docs]
+            best, came = ways[at[begin], 0], np.zeros((len(many), n_langs), np.int64)
+            for j in range(1, count.max()):
+                on = np.flatnonzero(count > j)
+                k = at[begin[on] + j]
+                both = best[on][:, :, None] + ways[k]
+                came[k], best[on] = both.argmax(1), both.max(1)
+            now = best.argmax(1)
+            for j in range(count.max() - 1, -1, -1):
+                on = np.flatnonzero(count > j)
+                end[begin[on] + j] = now[on]
+                if j:
+                    now[on] = came[at[begin[on] + j], now[on]]
+                    before[begin[on] + j, 0, now[on]] = 0
+        came = np.zeros((len(doc), n_langs), np.int16 if n_langs <= 1 << 15 else np.int32)
+        last = self._forward(score, first, length, before, came)[:, 0]
         label = np.zeros(len(doc), np.int32)
-        live = np.searchsorted(-n, -np.arange(n[0] if len(n) else 0), side="left")  # documents longer than t words
-        kind = np.int16 if score.shape[1] <= 1 << 15 else np.int32
-        came = np.zeros((len(doc), score.shape[1]), kind)
-        v = np.zeros((live[0] if len(live) else 0, score.shape[1]), np.float32)
-        own = np.arange(score.shape[1], dtype=kind)[None, :]
-        for t, m in enumerate(live.tolist()):
-            at = first[:m] + t
-            v = v[:m]
-            if t:
-                best = v.argmax(1)
-                switch = v[np.arange(m), best][:, None] - self.penalty
-                stay = v >= switch
-                came[at] = np.where(stay, own, best[:, None].astype(kind))
-                v = np.where(stay, v, switch) + score[at]
-                v -= v.max(1, keepdims=True)
-            else:
-                v = score[at].copy()
-            ends = np.searchsorted(-n, -(t + 1), side="left")  # those with exactly t + 1 words lie in [ends, m)
-            if ends < m:
-                label[at[ends:m]] = v[ends:m].argmax(1)
+        label[first + length - 1] = np.where(end >= 0, end, last.argmax(1))
+        order = np.argsort(-length, kind="stable")
+        first, length = first[order], length[order]
+        live = np.searchsorted(-length, -np.arange(length[0] if len(length) else 0), side="left")
         for t in range(len(live) - 1, 0, -1):
-            m = live[t]
-            at = first[:m] + t
+            at = first[: live[t]] + t
             label[at - 1] = came[at, label[at]]
         return label
 
+    def _forward(self, score: np.ndarray, first: np.ndarray, length: np.ndarray, before: np.ndarray, came: np.ndarray | None = None) -> np.ndarray:
+        """The best values after each block, from those ``before`` it (block, way, language); ``came`` gets the language
+        before each word, where there is one way. Blocks go side by side, the longest first."""
+        order = np.argsort(-length, kind="stable")
+        first, length = first[order], length[order]
+        v = np.array(before[order], np.float64)
+        own = np.arange(score.shape[1])[None, :]
+        live = np.searchsorted(-length, -np.arange(length[0] if len(length) else 0), side="left")  # blocks longer than t words
+        for t, m in enumerate(live.tolist()):
+            at, now = first[:m] + t, v[:m]
+            switch = now.max(2, keepdims=True) - self.penalty
+            if came is not None:
+                came[at] = np.where(now[:, 0] >= switch[:, 0], own, now[:, 0].argmax(1)[:, None])
+            np.maximum(now, switch, out=now)
+            now += score[at][:, None, :]
+        out = np.empty_like(v)
+        out[order] = v
+        return out
+
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, list[list[tuple[str, int]]]]:
         """Language and score of each text, and its spans: language and number of words, in order."""
         cp, _, inside, starts, ends, doc = segment.letter_words(texts)
@@ -168,7 +207,7 @@ class Model:
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model from ``text, lang``, of a sample of about ``sample`` whole documents of each language.
+    """A model from ``text, lang``, of a sample of at most about ``sample`` different whole texts of each language.
 
     The sample is taken by hash, so it is the same in every run. Counts are
     added up by Spark; what comes back is a number a language and trigram.
@@ -176,7 +215,8 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     rows = labelled.select(F.col("text").cast("string"), F.col("lang").cast("string")).filter("text is not null and lang is not null")
     found = cut(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
     taken = rows.join(found, "lang").filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.least(F.lit(1.0), sample / F.col("n")) * (1 << 30))
-    counts = taken.select("text", "lang").mapInArrow(_learn, "lang string, field int, n long").groupBy("lang", "field").agg(F.sum("n").alias("n"))
+    # A text counts once, however often it is there: so its repeats cannot fill the sample.
+    counts = taken.select("text", "lang").distinct().mapInArrow(_learn, "lang string, field int, n long").groupBy("lang", "field").agg(F.sum("n").alias("n"))
     return Model.of([r.lang for r in found.select("lang").collect()], counts.toArrow())
 
 
