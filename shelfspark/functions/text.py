@@ -46,7 +46,11 @@ def gtin13(code: Column) -> Column:
 
 
 def image_folder(code: Column) -> Column:
-    c = gtin13(code)
+    return code_folder(gtin13(code))
+
+
+def code_folder(c: Column) -> Column:
+    """The folder of a code of 13 digits."""
     return F.concat_ws("/", F.substring(c, 1, 3), F.substring(c, 4, 3), F.substring(c, 7, 3), F.substring(c, 10, 4))
 
 
@@ -58,9 +62,9 @@ def image_resolution(sizes: Column) -> Column:
     return F.coalesce(best, F.lit("full"))
 
 
-def image_url(code: Column, key: Column, rev: Column, imgid: Column, sizes: Column, raw_sizes: Column, base: str = IMAGE_BASE) -> Column:
+def image_url(code: Column, key: Column, rev: Column, imgid: Column, sizes: Column, raw_sizes: Column, base: str = IMAGE_BASE, folder: Column | None = None) -> Column:
     """A selected image by its revision, else the raw upload by its number; null without key, or without both."""
-    head = F.concat(F.lit(base + "/"), image_folder(code), F.lit("/"))
+    head = F.concat(F.lit(base + "/"), image_folder(code) if folder is None else folder, F.lit("/"))
     selected = F.concat(head, key, F.lit("."), rev, F.lit("."), image_resolution(sizes), F.lit(".jpg"))
     raw = image_resolution(raw_sizes)
     plain = F.concat(head, imgid, F.when(raw == "full", "").otherwise(F.concat(F.lit("."), raw)), F.lit(".jpg"))
@@ -81,15 +85,19 @@ def variant_string(v: Column, path: str) -> Column:
     return F.when(F.schema_of_variant(F.variant_get(v, path, "variant")) == "STRING", F.variant_get(v, path, "string"))
 
 
+def language_pick(candidates: list[tuple[Column, Column]], lang: Column, wanted: str) -> Column:
+    """From (named, plain) pairs the first at hand, plain ones only if the record is in the wanted language; stripped."""
+    return F.coalesce(*[c for named, plain in candidates for c in (present(named), F.when(lang == wanted, present(plain)))])
+
+
 def language_title(named: Column, plain: Column, lang: Column, wanted: str) -> Column:
     """The wanted language's name, else the plain one if the record is in that language; de-shouted."""
-    return deshout(F.coalesce(present(named), F.when(lang == wanted, present(plain))))
+    return deshout(language_pick([(named, plain)], lang, wanted))
 
 
 def language_description(candidates: list[tuple[Column, Column]], lang: Column, wanted: str, most: int = DESCRIPTION_LENGTH) -> Column:
     """From (named, plain) pairs the first at hand: stripped, cut, de-shouted."""
-    found = F.coalesce(*[c for named, plain in candidates for c in (present(named), F.when(lang == wanted, present(plain)))])
-    return deshout(F.substring(found, 1, most))
+    return deshout(F.substring(language_pick(candidates, lang, wanted), 1, most))
 
 
 def describe(title: Column, text: Column) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfspark.functions import pricing as P
@@ -77,8 +77,12 @@ def _strings(v: Column, path: str) -> Column:
 _TEXTS = ("lang", "lc", "product_name", "generic_name", "ingredients_text", "brands", "quantity", "serving_size", "countries", "nutrition_grades", "nutriscore_grade", "ecoscore_grade", "environmental_score_grade")
 
 
-def fields(rows: DataFrame, lang: str) -> DataFrame:
-    """All that is read of a record. Each field is taken from its variant ``v`` once, then worked on."""
+def fields(rows: DataFrame, lang: str, seen: dict[str, Observation] | None = None) -> DataFrame:
+    """All that is read of a record. Each field is taken from its variant ``v`` once, then worked on.
+
+    ``seen`` gets figures on the way: of records ``parsed``, ``shown`` by an image, ``told`` of by a text, and so on.
+    There a plan's generated code is cut too; in one piece it would be too large to compile."""
+    at = lambda df, point, **f: df if seen is None else df.observe(seen.setdefault(point, Observation()), *[c.alias(k) for k, c in f.items()])
     v = F.col("v")
     own = {f"{c}_own": T.variant_string(v, f"$['{c}_{lang}']") for c in ("product_name", "generic_name", "ingredients_text")}
     numbers = {f"{n}_n": _number(v, f"$.nutriments['{n}_100g']") for n in NUTRIENTS.values()}
@@ -86,19 +90,26 @@ def fields(rows: DataFrame, lang: str) -> DataFrame:
     lists = {c: _strings(v, f"$.{c}_tags") for c in ("categories", "labels", "allergens", "ingredients_analysis")}
     raw = {c: T.variant_string(v, f"$['{c}']") for c in _TEXTS} | own | numbers | units | lists
     raw |= {"code": gates.key(F.try_variant_get(v, "$.code", "string"), F.try_variant_get(v, "$._id", "string")), "images": F.try_variant_get(v, "$.images", _IMAGES), "nova": _number(v, "$.nova_group"), "scans": F.try_variant_get(v, "$.unique_scans_n", "long")}
-    rows = rows.select("row", "kind", *[x.alias(c) for c, x in raw.items()])
+    rows = at(rows.select("row", "kind", *[x.alias(c) for c, x in raw.items()]), "parsed", records=F.count(F.lit(1)))
     said = F.coalesce(F.nullif("lang", F.lit("")), "lc")
     rows = rows.withColumns({"said": said, "front": F.element_at("images", F.lit(f"front_{lang}"))})
-    text = T.language_description([(F.col(f"{x}_own"), F.col(x)) for x in ("generic_name", "ingredients_text")], F.col("said"), lang)
-    title = T.language_title(F.col("product_name_own"), F.col("product_name"), F.col("said"), lang)
+    text = T.language_pick([(F.col(f"{x}_own"), F.col(x)) for x in ("generic_name", "ingredients_text")], F.col("said"), lang)
+    title = T.language_pick([(F.col("product_name_own"), F.col("product_name"))], F.col("said"), lang)
     sizes = lambda x: F.coalesce(F.map_keys(x["sizes"]), F.array().cast("array<string>"))
     front = F.col("front")
-    url = T.image_url(F.col("code"), T.front_key(F.map_keys("images"), require=lang), F.nullif(front["rev"], F.lit("")), front["imgid"], sizes(front), sizes(F.element_at("images", front["imgid"])))
+    url = T.image_url(F.col("code"), T.front_key(F.map_keys("images"), require=lang), F.nullif(front["rev"], F.lit("")), front["imgid"], sizes(front), sizes(F.element_at("images", front["imgid"])), folder=F.col("folder"))
+    # One expression for all of them: seven copies of the number format would not compile.
+    pairs = F.array(*[F.struct(F.col(f"{n}_n").alias("n"), F.col(f"{n}_u").alias("u")) for n in NUTRIENTS.values()])
+    nutrients = F.transform(pairs, lambda x: F.when(x["n"].isNotNull(), T.nutrient(x["n"], x["u"])))
+    gone = [f"{n}_{x}" for n in NUTRIENTS.values() for x in "nu"]
+    rows = at(rows.withColumns({"nutrients": nutrients, "folder": T.gtin13(F.col("code"))}).drop(*gone), "shown", with_front=F.count_if(front.isNotNull()))
+    rows = at(rows.withColumns({"title": title, "text": F.substring(text, 1, T.DESCRIPTION_LENGTH)}), "told", with_title=F.count_if(F.col("title").isNotNull()), with_text=F.count_if(F.col("text").isNotNull()))
+    rows = at(rows.withColumns({"title": T.deshout(F.col("title")), "text": T.deshout(F.col("text")), "folder": T.code_folder(F.col("folder"))}), "cased", with_title_and_text=F.count_if(F.col("title").isNotNull() & F.col("text").isNotNull()))
     return rows.select(
-        "row", "kind", "code", title.alias("title"), text.alias("text"), url.alias("image_url"), F.coalesce("brands", F.lit("")).alias("brand"), "quantity", "serving_size", "countries",
+        "row", "kind", "code", "title", "text", url.alias("image_url"), F.coalesce("brands", F.lit("")).alias("brand"), "quantity", "serving_size", "countries",
         F.struct(F.col("nutrition_grades").alias("a"), F.col("nutriscore_grade").alias("b")).alias("nutri"), F.struct(F.col("ecoscore_grade").alias("a"), F.col("environmental_score_grade").alias("b")).alias("eco"),
         "nova", "scans", F.coalesce("categories", F.array().cast("array<string>")).alias("tags"), "labels", "allergens", F.col("ingredients_analysis").alias("analysis"),
-        F.struct(*[F.when(F.col(f"{n}_n").isNotNull(), T.nutrient(F.col(f"{n}_n"), F.col(f"{n}_u"))).alias(k) for k, n in NUTRIENTS.items()]).alias("nutrients"),
+        F.struct(*[F.col("nutrients")[i].alias(k) for i, k in enumerate(NUTRIENTS)]).alias("nutrients"),
     )
 
 
@@ -110,14 +121,22 @@ class Extraction:
     """``documents`` and ``report`` of one run over ``lines(value)``; alias and drop tables as in ``curate``.
 
     Without a taxonomy tags are renamed and dropped only, there are no paths,
-    and the gates on paths are off.
+    and the gates on paths are off. ``read`` and ``written`` bound the run in
+    file order: no more than the first ``read`` records count, and no record
+    after the one that is the ``written``th document; zero is no bound. The
+    counters are observed while the tables are written, not read again.
     """
 
-    def __init__(self, lines: DataFrame, taxonomy: Taxonomy | None, alias: DataFrame, drop: DataFrame, settings: Settings = Settings()) -> None:
-        self.taxonomy, self.settings = taxonomy, settings
-        rows = products.parsed(lines).filter("kind <> 'not_object'").withColumn("row", F.monotonically_increasing_id())
+    def __init__(self, lines: DataFrame, taxonomy: Taxonomy | None, alias: DataFrame, drop: DataFrame, settings: Settings = Settings(), read: int | None = None, written: int | None = None) -> None:
+        self.taxonomy, self.settings, self.bounds = taxonomy, settings, {"read": read, "written": written}
+        lines = products.in_file_order(lines) if read or written else lines.withColumn("row", F.monotonically_increasing_id())
+        rows = products.parsed(lines).filter("kind <> 'not_object'")
+        if read and (last := products.nth_row(rows.select("row"), read)) is not None:
+            rows = rows.filter(F.col("row") <= last)
         first = {"bad_json": F.col("kind") == "bad_json", "missing_code": F.col("code").isNull(), "missing_title": F.col("title").isNull(), "missing_desc": F.col("text").isNull(), "missing_image": F.col("image_url").isNull()}
-        self.rows = cut(gates.gated(fields(rows, settings.lang), first), "staged")
+        self.seen = {k: Observation() for k in ("staged", "gated", "union")}
+        dropped = lambda names: {g: F.count_if(F.coalesce(F.col("drop_reason") == g, F.lit(False))) for g in names}
+        self.rows = cut(gates.gated(fields(rows, settings.lang, self.seen), first), "staged", self.seen["staged"], read=F.count(F.lit(1)), **dropped(ROW_GATES))
         passed = self.rows.filter("drop_reason IS NULL").withColumnRenamed("row", "product")
         self.curated = cut(curate.curate(curate.tag_rows(passed), alias, drop, taxonomy and taxonomy.vocab, list(settings.exclude)), "curated")
         self.accepted = self.curated.filter("status = 'accepted'").select("product", "pos", "tag")
@@ -136,7 +155,13 @@ class Extraction:
         later = {"missing_category": F.lit(settings.require_category) & F.col("has_category").isNull(), "empty_path": F.col("chain").isNull(), "unanchored_path": F.col("head").isNotNull()}
         later = gates.path_checks(later, taxonomy is not None and settings.require_path)
         state = passed.join(some, "product", "left").join(self.chains, "product", "left").join(self.heads, "product", "left")
-        self.state = cut(gates.gated(state.drop("drop_reason"), later).drop("has_category", "head"), "gated")
+        self.state = cut(gates.gated(state.drop("drop_reason"), later).drop("has_category", "head"), "gated", self.seen["gated"], written=F.count_if(F.col("drop_reason").isNull()), **dropped(LATER_GATES))
+        survivors = self.state.filter("drop_reason IS NULL").select(F.col("product").alias("row"))
+        self.last = products.nth_row(survivors, written) if written else None
+        if self.last is not None:
+            self.rows = self.rows.filter(F.col("row") <= self.last)
+            upto = F.col("product") <= self.last
+            self.state, self.curated, self.accepted, self.chains = (x.filter(upto) for x in (self.state, self.curated, self.accepted, self.chains))
         self.written = self.state.filter("drop_reason IS NULL").drop("drop_reason")
         ids = self.written.select("product")
         accepted = self.accepted.join(ids, "product", "left_semi")
@@ -145,7 +170,7 @@ class Extraction:
             self.union = lines.sparkSession.createDataFrame([], "product long, ord int, node string, path string, is_primary boolean")
         else:
             labels = taxonomy.labels
-            self.union = cut(address.address_union(self.leaves.join(ids, "product", "left_semi"), taxonomy.steps, taxonomy.paths), "union")
+            self.union = cut(address.address_union(self.leaves.join(ids, "product", "left_semi"), taxonomy.steps, taxonomy.paths), "union", self.seen["union"], with_category_path=F.count_if(F.col("ord") == 1))
         entries = curate.label_entries(accepted, labels)
         self.capped = cut(curate.capped(entries, curate.reserved_tags(accepted, self.chains), settings.max_tags), "capped")
 
@@ -169,14 +194,21 @@ class Extraction:
         rows = rows.withColumns({"attrs": attrs, "description": T.describe(F.col("title"), F.col("text")), "price": F.col("e.price"), "margin": F.col("m.margin"), "popularity": P.popularity(F.col("scans"))})
         return D.project(rows, self.settings.pricing.currency)
 
+    def _counters(self) -> DataFrame:
+        """One row: records read, documents written, those with a path, and what each gate dropped."""
+        if self.last is None:
+            seen = {k: v for part in ("staged", "gated", "union") if part != "union" or self.taxonomy is not None for k, v in self.seen[part].get.items()}
+            names = ("read", "written", *ROW_GATES, *LATER_GATES, "with_category_path")
+            return self.rows.sparkSession.range(1).select(*[F.lit(int(seen.get(k) or 0)).cast("long").alias(k) for k in names])
+        has_path = self.union.agg(F.count_if(F.col("ord") == 1).alias("with_category_path"))
+        reasons = self.rows.filter("drop_reason IS NOT NULL").select("drop_reason").union(self.state.select("drop_reason"))
+        counts = reasons.agg(F.count("*").alias("read"), F.count_if(F.col("drop_reason").isNull()).alias("written"), *[F.count_if(F.coalesce(F.col("drop_reason") == g, F.lit(False))).alias(g) for g in (*ROW_GATES, *LATER_GATES)])
+        return counts.join(has_path)
+
     @property
     def report(self) -> DataFrame:
         """``block, metric, value``: counters, and the audits, each over the rows that it is about."""
-        has_path = self.union.select("product").distinct().agg(F.count("*").alias("with_category_path"))
-        reasons = self.rows.filter("drop_reason IS NOT NULL").select("drop_reason").union(self.state.select("drop_reason"))
-        counts = reasons.agg(
-            F.count("*").alias("read"), F.count_if(F.col("drop_reason").isNull()).alias("written"), *[F.count_if(F.coalesce(F.col("drop_reason") == g, F.lit(False))).alias(g) for g in (*ROW_GATES, *LATER_GATES)]
-        ).join(has_path)
+        counts = self._counters()
         blocks = [_unpivoted("counters", counts), _unpivoted("curation", audits.curation(self.curated))]
         blocks += [_listed(audits.top_by(self.curated.filter("status <> 'accepted'"), "status", "tag", 20).select(F.concat(F.lit("top "), "status").alias("block"), F.col("tag").alias("metric"), F.col("instances").alias("value")))]
         blocks += [_unpivoted("cap", audits.cap(self.capped, self.settings.max_tags)), _listed(audits.dropped_labels(self.capped))]

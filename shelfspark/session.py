@@ -6,8 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def local_session(cores: int = 8, app: str = "shelfspark") -> SparkSession:
@@ -35,28 +36,31 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-_scopes: list[str] = []
+#: Of the thread or task that asks, so that scopes of others are not mixed up with it.
+_scopes: ContextVar[tuple[str, ...]] = ContextVar("scopes", default=())
 
 
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
     """Tables written inside go when it ends; what is to stay must be written elsewhere by then."""
-    _scopes.append(f"scope-{uuid.uuid4().hex}")
+    inside = (*_scopes.get(), f"scope-{uuid.uuid4().hex}")
+    token = _scopes.set(inside)
     try:
         yield
     finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tables/{'/'.join(_scopes)}")
-        _scopes.pop()
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tables/{'/'.join(inside)}")
+        _scopes.reset(token)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A path of its own in the shared folder."""
-    return "/".join([shared_dir(spark), "tables", *_scopes, f"{name}-{uuid.uuid4().hex}"])
+    return "/".join([shared_dir(spark), "tables", *_scopes.get(), f"{name}-{uuid.uuid4().hex}"])
 
 
-def cut(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends here and survives lost executors."""
+def cut(df: DataFrame, name: str = "stage", seen: Observation | None = None, **figures: Column) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: lineage ends here and survives lost executors. ``seen``
+    gets ``figures``, aggregates of the rows as they are written."""
     path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    (df.observe(seen, *[c.alias(k) for k, c in figures.items()]) if seen is not None else df).write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

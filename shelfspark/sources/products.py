@@ -9,11 +9,42 @@ from shelfspark.session import cut
 
 
 def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """Lines of plain or gzip files. A gzip file is read by one task; ``partitions`` deals its lines out after."""
-    lines = spark.read.text(path)
+    """Lines of plain or gzip files. A gzip file is read by one task; ``partitions`` deals its lines out after.
+
+    ``file``, ``start`` and ``at`` say where a line stood: the file, where in it the part that one task read begins,
+    and a number that grows with the lines of that part.
+    """
+    place = {"file": F.col("_metadata.file_path"), "start": F.col("_metadata.file_block_start"), "at": F.monotonically_increasing_id()}
+    lines = spark.read.text(path).select("value", *[c.alias(k) for k, c in place.items()])
     return lines.repartition(partitions) if partitions else lines
 
 
+#: Rows are numbered by their part in the high bits and their place in it in the low ones.
+_IN_PART = 33
+
+
+def in_file_order(lines: DataFrame) -> DataFrame:
+    """``row``, a number that grows from line to line and from file to file, by path. Lines that did not come from
+    ``read_lines`` go by their partitions. The table of parts has a row for each task's share of a file."""
+    if not {"file", "start", "at"} <= set(lines.columns):
+        return lines.withColumn("row", F.monotonically_increasing_id())
+    parts = lines.groupBy("file", "start").agg(F.min("at").alias("first_")).withColumn("part_", F.row_number().over(Window.orderBy("file", "start")).cast("long"))
+    rows = lines.join(F.broadcast(parts), ["file", "start"])
+    return rows.withColumn("row", F.shiftleft("part_", _IN_PART) + F.col("at") - F.col("first_")).drop("file", "start", "at", "part_", "first_")
+
+
+def nth_row(rows: DataFrame, n: int) -> int | None:
+    """The ``row`` of the ``n``th of ``rows`` in order, null if there are fewer: counts by part are added up, one
+    number a part, and rows of the part that holds it, alone, are numbered."""
+    part = F.shiftright("row", _IN_PART)
+    counts = rows.groupBy(part.alias("part")).agg(F.count("*").alias("c")).withColumn("upto", F.sum("c").over(Window.orderBy("part")))
+    hit = counts.filter(F.col("upto") >= n).orderBy("part").first()
+    if hit is None:
+        return None
+    inside = rows.filter(part == hit.part).select("row", F.row_number().over(Window.partitionBy(part).orderBy("row")).alias("k"))
+    return inside.filter(F.col("k") == n - (hit.upto - hit.c)).first().row
+
+
 def parsed(lines: DataFrame, column: str = "value") -> DataFrame:
     """Lines that are not blank, with ``v``, a variant, and ``kind``: object, bad_json, or not_object.
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shelfspark import session
 from shelfspark.functions import pricing as P
 from shelfspark.functions import text as T
-from shelfspark.operators import address, curate, graph, publish, reconcile, verify
+from shelfspark.operators import address, curate, extract, graph, publish, reconcile, verify
 from shelfspark.operators.verify import Tolerance
 from shelfspark.sources import products, taxonomy
 
@@ -340,3 +340,66 @@ def test_leaves_by_intervals_are_those_by_paths(spark):
     found = address.leaves(spark.createDataFrame(picks, "product int, tag string"), graph.intervals(chains), nodes)
     assert {tuple(r) for r in found.collect()} == want
     assert "path" not in found.columns and all("path" not in c for c in graph.intervals(chains).columns)
+
+
+def test_file_order_over_several_files_and_parts(spark, tmp_path):
+    """Rows number up by path and place, whichever task reads what; the nth is found by counts of parts."""
+    names = ["b", "a", "c"]
+    for k, name in enumerate(names):
+        (tmp_path / f"{name}.txt").write_text("".join(f"{name}{i:04}\n" for i in range(50 * (k + 1))))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        rows = session.cut(products.in_file_order(products.read_lines(spark, str(tmp_path))), "rows")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    got = [r.value for r in rows.orderBy("row").collect()]
+    assert got == sorted(got) and len(got) == 300
+    assert rows.select("row").distinct().count() == 300
+    for n in (1, 2, 77, 100, 101, 299, 300):
+        last = products.nth_row(rows, n)
+        assert rows.filter(F.col("row") <= last).count() == n
+    assert products.nth_row(rows, 301) is None
+
+
+@pytest.mark.parametrize("bounds", [{}, {"read": 3}, {"written": 2}, {"read": 99, "written": 99}])
+def test_runs_stop_where_a_bound_is_reached(spark, tmp_path, bounds):
+    def line(i, name):
+        record = {"code": str(i), "lang": "en", "product_name": name, "generic_name": "Text of it.", "categories_tags": ["en:a"], "images": {"front_en": {"rev": "3", "imgid": "1", "sizes": {"400": {}}}}}
+        return json.dumps(record)
+
+    (tmp_path / "dump").mkdir()
+    (tmp_path / "dump" / "1.jsonl").write_text("\n".join([line(1, "One"), "[1]", line(2, ""), line(3, "Three")]) + "\n")
+    (tmp_path / "dump" / "2.jsonl").write_text("\n".join(["{bad", line(4, "Four"), line(5, "Five")]) + "\n")
+    none = spark.createDataFrame([], "tag string, to string")
+    x = extract.Extraction(products.read_lines(spark, str(tmp_path / "dump")), None, none, none.select("tag"), **bounds)
+    counters = {r.metric: int(r.value) for r in x.report.filter("block = 'counters'").collect()}
+    want = {(): (6, 4, 1), (3,): (3, 2, 0), (2,): (3, 2, 0), (99, 99): (6, 4, 1)}[tuple(bounds.values())]
+    assert (counters["read"], counters["written"], counters["bad_json"]) == want
+    assert counters["missing_title"] == 1
+    assert x.documents.count() == counters["written"]
+
+
+def test_a_run_over_nothing(spark):
+    none = spark.createDataFrame([], "tag string, to string")
+    x = extract.Extraction(spark.createDataFrame([], "value string"), None, none, none.select("tag"))
+    counters = {r.metric: int(r.value) for r in x.report.filter("block = 'counters'").collect()}
+    assert counters["read"] == counters["written"] == 0 and x.documents.count() == 0
+
+
+def test_scopes_of_threads_do_not_meet(spark):
+    import threading
+
+    kept = []
+
+    def other():
+        with session.scope(spark):
+            kept.append(session.cut(spark.range(3), "other"))
+            kept.append(kept[0].count())
+
+    with session.scope(spark):
+        mine = session.cut(spark.range(5), "mine")
+        t = threading.Thread(target=other)
+        t.start()
+        t.join()
+        assert mine.count() == 5
+    assert kept[1] == 3
