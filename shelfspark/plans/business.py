@@ -9,6 +9,7 @@ from shelfspark.functions import pricing as P
 from shelfspark.functions import text as T
 from shelfspark.operators import documents as D
 from shelfspark.operators import publish, reconcile, verify
+from shelfspark.operators.generations import Generations, local_diff
 from shelfspark.plans.adapters import ctes, table
 from shelfspark.session import cut, scratch
 
@@ -374,3 +375,40 @@ def copy_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     p, b = _both(spark, sf_dir)
     rows = [publish.copy_gate(b, p, verify.Tolerance(fraction=x)).withColumn("allowed", F.lit(x)) for x in (0.0, 0.5)]
     return rows[0].union(rows[1])
+
+
+_MERGED = f"""final AS (SELECT p.id, p.o_custkey, CASE WHEN o.id IS NULL THEN p.o_orderstatus ELSE o.o_orderstatus END AS o_orderstatus, p.o_totalprice, CASE WHEN o.id IS NULL THEN p.o_orderpriority ELSE o.o_orderpriority END AS o_orderpriority
+    FROM published p LEFT JOIN (SELECT * FROM o WHERE outcome IN ('updated', 'noop')) o ON o.id = p.id),
+last AS (SELECT id, o_custkey, o_orderstatus, o_totalprice, CASE WHEN id < 40 THEN 'late' ELSE o_orderpriority END AS o_orderpriority FROM final)"""
+
+
+def _merged_twice(spark: SparkSession, sf_dir: str) -> Generations:
+    """The published orders in generations: all updates, then those of a few ids."""
+    table_ = Generations(spark, scratch(spark, "orders"), buckets=64)
+    table_.create(table(spark, sf_dir, "published"))
+    table_.merge(_updates(spark, sf_dir), _FIELDS, verify.Tolerance(fraction=1.0))
+    table_.merge(table_.read().filter("id < 40").select("id", F.lit("late").alias("o_orderpriority")), ["o_orderpriority"])
+    return table_
+
+
+@query("merge_generations", f"WITH {ctes('published')}, {_OUTCOMES}, {_MERGED} SELECT 2 AS generation, id, o_orderpriority, o_orderstatus FROM last UNION ALL SELECT 1, id, o_orderpriority, o_orderstatus FROM final UNION ALL SELECT 0, id, o_orderpriority, o_orderstatus FROM published")
+def merge_generations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each generation is there to read, whole, after the merges."""
+    table_ = _merged_twice(spark, sf_dir)
+    parts = [table_.read(g).select(F.lit(g).alias("generation"), "id", *_FIELDS) for g in (0, 1, 2)]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@query("generation_diff", f"WITH {ctes('published', 'built')}, {_OUTCOMES}, {_MERGED} SELECT b.id, CASE WHEN l.id IS NULL THEN 'missing' ELSE 'changed' END AS side FROM built b LEFT JOIN last l ON l.id = b.id WHERE l.id IS NULL OR l.o_orderpriority IS DISTINCT FROM b.o_orderpriority OR l.o_orderstatus IS DISTINCT FROM b.o_orderstatus")
+def generation_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged table against the build, each in generations."""
+    built = Generations(spark, scratch(spark, "built"), buckets=64)
+    built.create(table(spark, sf_dir, "built"))
+    return _merged_twice(spark, sf_dir).diff(built)
+
+
+@query("local_diff", f"WITH {_PB} SELECT id, 'missing' AS side FROM built WHERE id NOT IN (SELECT id FROM published) UNION ALL SELECT id, 'changed' FROM published WHERE id % 1000 = 7")
+def local_diff_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published orders, some with another price, against the built ones."""
+    p, b = _both(spark, sf_dir)
+    return local_diff(p.withColumn("o_totalprice", F.when(F.col("id") % 1000 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))), b)
