@@ -9,7 +9,7 @@ from shelfspark.operators import address, curate, gates, graph, publish, reconci
 from shelfspark.plans import business, catalog
 from shelfspark.plans.adapters import ctes, table
 from shelfspark.session import cut, scratch
-from shelfspark.sources import products, taxonomy
+from shelfspark.sources import objects, products, taxonomy
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -24,31 +24,27 @@ def query(name: str, oracle: str):
     return add
 
 
-_HIGH = "id NOT LIKE '%:p%'"
-
-
-@query("taxonomy_scan", f"WITH {ctes('nodes', 'edges')} SELECT n.id, en AS label, (SELECT string_agg(parent, '|' ORDER BY parent) FROM edges e WHERE e.child = n.id) AS parents FROM nodes n WHERE {_HIGH}")
+@query("taxonomy_scan", f"WITH {ctes('nodes', 'edges')} SELECT n.id, en AS label, fr, (SELECT string_agg(parent, '|' ORDER BY parent) FROM edges e WHERE e.child = n.id) AS parents FROM nodes n")
 def taxonomy_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The graph down to suppliers as a taxonomy file, read back."""
-    nodes, edges = table(spark, sf_dir, "nodes").filter(_HIGH), table(spark, sf_dir, "edges")
+    """The whole graph as a taxonomy file, written and read back in parts."""
+    nodes, edges = table(spark, sf_dir, "nodes"), table(spark, sf_dir, "edges")
     up = edges.groupBy(F.col("child").alias("id")).agg(F.sort_array(F.collect_list("parent")).alias("parents"))
-    entries = nodes.join(up, "id", "left").select("id", F.struct(F.create_map(F.lit("en"), "en").alias("name"), "parents").alias("node"))
+    names = F.map_filter(F.create_map(F.lit("en"), "en", F.lit("fr"), "fr"), lambda _, v: v.isNotNull())
     path = scratch(spark, "taxonomy")
-    entries.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("id", "node")))).alias("value")).write.text(path)
+    objects.write_object(nodes.join(up, "id", "left").select(F.col("id").alias("key"), F.to_json(F.struct(names.alias("name"), "parents")).alias("value")), path)
     found, links = taxonomy.read_taxonomy(spark, path)
     back = links.groupBy(F.col("child").alias("id")).agg(F.array_join(F.sort_array(F.collect_list("parent")), "|").alias("parents"))
-    return found.join(back, "id", "left").select("id", F.col("name")["en"].alias("label"), "parents")
+    return found.join(back, "id", "left").select("id", F.col("name")["en"].alias("label"), F.col("name")["fr"].alias("fr"), "parents")
 
 
-@query("pricing_file", "SELECT 'default' AS bucket, 'kg' AS unit, 10.0::DOUBLE AS median, 0.55::DOUBLE AS sigma, 250.0::DOUBLE AS grams, 500.0::DOUBLE AS ml UNION ALL SELECT p_brand, 'l', max(p_retailprice), 0.55, count(*)::DOUBLE, NULL FROM part GROUP BY p_brand")
+@query("pricing_file", "SELECT 'default' AS bucket, 'kg' AS unit, 10.0::DOUBLE AS median, 0.55::DOUBLE AS sigma, 250.0::DOUBLE AS grams, 500.0::DOUBLE AS ml UNION ALL SELECT p_brand || ' ' || p_type, 'l', max(p_retailprice), 0.55, count(*)::DOUBLE, NULL FROM part GROUP BY p_brand || ' ' || p_type")
 def pricing_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A price list by brand as a pricing file, read back: missing fields take their defaults, ``default`` is put in."""
-    brands = table(spark, sf_dir, "part").groupBy("p_brand").agg(F.struct(F.lit("l").alias("unit"), F.max("p_retailprice").alias("median_unit_price"), F.count("*").cast("double").alias("default_qty_g")).alias("b"))
+    """A price list by brand and type as a pricing file, written and read back in parts: missing fields take their
+    defaults, ``default`` is put in."""
+    rows = table(spark, sf_dir, "part").groupBy(F.concat_ws(" ", "p_brand", "p_type").alias("key")).agg(F.to_json(F.struct(F.lit("l").alias("unit"), F.max("p_retailprice").alias("median_unit_price"), F.count("*").cast("double").alias("default_qty_g"))).alias("value"))
     path = scratch(spark, "pricing")
-    brands.agg(F.to_json(F.struct(F.map_from_entries(F.collect_list(F.struct("p_brand", "b"))).alias("buckets"))).alias("value")).write.text(path)
-    found = taxonomy.read_pricing(spark, path).buckets
-    rows = [(k, b.unit, float(b.median), float(b.sigma), None if b.grams is None else float(b.grams), None if b.ml is None else float(b.ml)) for k, b in found.items()]
-    return spark.createDataFrame(rows, "bucket string, unit string, median double, sigma double, grams double, ml double")
+    objects.write_object(rows, path, before='{"currency": "USD", "rounding_endings": [0.49, 0.99],\n"buckets": {', after='},\n"premium_multipliers": {"en:organic": 1.25}}')
+    return taxonomy.read_price_buckets(spark, path)
 
 
 def _orders_as_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

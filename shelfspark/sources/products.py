@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from shelfspark.session import cut
 
 
-def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, partitions: int | None = None, until: str | None = None) -> DataFrame:
     """Lines of plain or gzip files. A gzip file is read by one task; ``partitions`` deals its lines out after.
 
     ``file``, ``start`` and ``at`` say where a line stood: the file, where in it the part that one task read begins,
-    and a number that grows with the lines of that part.
+    and a number that grows with the lines of that part. ``until`` ends lines in place of a line feed.
     """
     place = {"file": F.col("_metadata.file_path"), "start": F.col("_metadata.file_block_start"), "at": F.monotonically_increasing_id()}
-    lines = spark.read.text(path).select("value", *[c.alias(k) for k, c in place.items()])
+    lines = (spark.read.option("lineSep", until) if until else spark.read).text(path).select("value", *[c.alias(k) for k, c in place.items()])
     return lines.repartition(partitions) if partitions else lines
 
 
@@ -33,10 +33,14 @@ def in_file_order(lines: DataFrame) -> DataFrame:
     return rows.withColumn("row", F.shiftleft("part_", _IN_PART) + F.col("at") - F.col("first_")).drop("file", "start", "at", "part_", "first_")
 
 
+def part_of(row: str) -> Column:
+    return F.shiftright(row, _IN_PART)
+
+
 def nth_row(rows: DataFrame, n: int) -> int | None:
     """The ``row`` of the ``n``th of ``rows`` in order, null if there are fewer: counts by part are added up, one
     number a part, and rows of the part that holds it, alone, are numbered."""
-    part = F.shiftright("row", _IN_PART)
+    part = part_of("row")
     counts = rows.groupBy(part.alias("part")).agg(F.count("*").alias("c")).withColumn("upto", F.sum("c").over(Window.orderBy("part")))
     hit = counts.filter(F.col("upto") >= n).orderBy("part").first()
     if hit is None:
