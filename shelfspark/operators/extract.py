@@ -33,6 +33,7 @@ class Settings:
     require_category: bool = True
     require_path: bool = True
     exclude: tuple[str, ...] = ()
+    inputs: tuple[tuple[str, str], ...] = ()  # what a run reads, by name, for its report
     pricing: P.PricingConfig = field(default_factory=P.PricingConfig)
 
 
@@ -113,6 +114,17 @@ def fields(rows: DataFrame, lang: str, seen: dict[str, Observation] | None = Non
     )
 
 
+def described(s: Settings, has_taxonomy: bool) -> dict[str, str]:
+    """What a run writes, in words: so a report tells its reader what the documents hold."""
+    own, plain = f"in {s.lang}", f"in a record whose language is {s.lang}"
+    return {
+        "lang": s.lang, "category": "required" if s.require_category else "optional", "path": "disabled" if not has_taxonomy else "required" if s.require_path else "optional", "max_tags": str(s.max_tags),
+        "title": f"the name {own}, or the plain name {plain}", "text": f"generic name, then ingredients, each {own} or plain {plain}, {T.DESCRIPTION_LENGTH} characters at most", "image": f"the front image {own} by its revision, else the upload",
+        "tags": "renamed, then refused unless an eligible node of the taxonomy; records stay" if has_taxonomy else "renamed and dropped by list, not checked", "price": "unit price by bucket with noise by key, premiums by label, rounded to an ending",
+        "dietary_restrictions": "words that labels or the analysis of ingredients affirm", "promoted": ", ".join(f"{v}={k}" for k, v in D.PROMOTED.items()),
+    }
+
+
 ROW_GATES = ("bad_json", "missing_code", "missing_title", "missing_desc", "missing_image")
 LATER_GATES = ("missing_category", "empty_path", "unanchored_path")
 
@@ -138,7 +150,7 @@ class Extraction:
         dropped = lambda names: {g: F.count_if(F.coalesce(F.col("drop_reason") == g, F.lit(False))) for g in names}
         self.rows = cut(gates.gated(fields(rows, settings.lang, self.seen), first), "staged", self.seen["staged"], read=F.count(F.lit(1)), **dropped(ROW_GATES))
         passed = self.rows.filter("drop_reason IS NULL").withColumnRenamed("row", "product")
-        self.curated = cut(curate.curate(curate.tag_rows(passed), alias, drop, taxonomy and taxonomy.vocab, list(settings.exclude)), "curated")
+        self.curated = cut(curate.curate(curate.tag_rows(passed), alias, drop, taxonomy and taxonomy.vocab, list(settings.exclude)), "curated", by="product")
         self.accepted = self.curated.filter("status = 'accepted'").select("product", "pos", "tag")
         some = self.accepted.groupBy("product").agg(F.lit(True).alias("has_category"))
         if taxonomy is None:
@@ -146,16 +158,18 @@ class Extraction:
             self.leaves, self.chains = none.select("product", "tag", "leaf_rank"), none.select("product", "chain")
             self.heads = none.select("product", F.col("tag").alias("head"))
         else:
-            self.leaves = cut(address.leaves(self.accepted, taxonomy.places, taxonomy.vocab.filter("eligible")), "leaves")
+            self.leaves = cut(address.leaves(self.accepted, taxonomy.places, taxonomy.vocab.filter("eligible")), "leaves", by="product")
             address.require_addresses(self.leaves, taxonomy.addresses)
             chains = address.primary_chain(self.leaves, taxonomy.chains)
             past = chains.join(some, "product", "left_semi") if settings.require_category else chains
-            self.chains = cut(past, "chains")
+            self.chains = cut(past, "chains", by="product")
             self.heads = address.unanchored(self.chains, taxonomy.roots)
         later = {"missing_category": F.lit(settings.require_category) & F.col("has_category").isNull(), "empty_path": F.col("chain").isNull(), "unanchored_path": F.col("head").isNotNull()}
         later = gates.path_checks(later, taxonomy is not None and settings.require_path)
-        state = passed.join(some, "product", "left").join(self.chains, "product", "left").join(self.heads, "product", "left")
-        self.state = cut(gates.gated(state.drop("drop_reason"), later).drop("has_category", "head"), "gated", self.seen["gated"], written=F.count_if(F.col("drop_reason").isNull()), **dropped(LATER_GATES))
+        # The records move by product once; what they meet here and later lies in buckets of it.
+        dealt = passed.repartition(int(passed.sparkSession.conf.get("spark.sql.shuffle.partitions")), "product")
+        state = dealt.join(some, "product", "left").join(self.chains, "product", "left").join(self.heads, "product", "left")
+        self.state = cut(gates.gated(state.drop("drop_reason"), later).drop("has_category", "head"), "gated", self.seen["gated"], by="product", written=F.count_if(F.col("drop_reason").isNull()), **dropped(LATER_GATES))
         survivors = self.state.filter("drop_reason IS NULL").select(F.col("product").alias("row"))
         self.last = products.nth_row(survivors, written) if written else None
         if self.last is not None:
@@ -170,9 +184,9 @@ class Extraction:
             self.union = lines.sparkSession.createDataFrame([], "product long, ord int, node string, path string, is_primary boolean")
         else:
             labels = taxonomy.labels
-            self.union = cut(address.address_union(self.leaves.join(ids, "product", "left_semi"), taxonomy.steps, taxonomy.paths), "union", self.seen["union"], with_category_path=F.count_if(F.col("ord") == 1))
+            self.union = cut(address.address_union(self.leaves.join(ids, "product", "left_semi"), taxonomy.steps, taxonomy.paths), "union", self.seen["union"], by="product", with_category_path=F.count_if(F.col("ord") == 1))
         entries = curate.label_entries(accepted, labels)
-        self.capped = cut(curate.capped(entries, curate.reserved_tags(accepted, self.chains), settings.max_tags), "capped")
+        self.capped = cut(curate.capped(entries, curate.reserved_tags(accepted, self.chains), settings.max_tags), "capped", by="product")
 
     @property
     def documents(self) -> DataFrame:
@@ -215,13 +229,18 @@ class Extraction:
         if self.taxonomy is not None:
             entries = self.capped.filter("kept")
             blocks += [_unpivoted("addresses", audits.addresses(self.union)), _unpivoted("conflicts", audits.conflicts(self.union, entries)), _unpivoted("anchoring", audits.anchoring(self.chains, self.taxonomy.roots, self.taxonomy.roots))]
+            blocks += [audits.examples(self.union, entries, address.unanchored(self.chains, self.taxonomy.roots))]
         out = blocks[0]
         for x in blocks[1:]:
             out = out.union(x)
         s = self.settings
-        said = {"lang": s.lang, "category": "required" if s.require_category else "optional", "path": "disabled" if self.taxonomy is None else "required" if s.require_path else "optional", "max_tags": str(s.max_tags)}
+        said = described(s, self.taxonomy is not None)
         filters = F.array(*[F.struct(F.lit("filters").alias("block"), F.lit(k).alias("metric"), F.lit(v).alias("value")) for k, v in said.items()])
-        return out.union(self.rows.sparkSession.range(1).select(F.inline(filters)))
+        out = out.union(self.rows.sparkSession.range(1).select(F.inline(filters)))
+        if not s.inputs:
+            return out
+        inputs = F.array(*[F.struct(F.lit("inputs").alias("block"), F.lit(k).alias("metric"), F.lit(v).alias("value")) for k, v in s.inputs])
+        return out.union(self.rows.sparkSession.range(1).select(F.inline(inputs)))
 
 
 def _listed(rows: DataFrame) -> DataFrame:

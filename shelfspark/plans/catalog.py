@@ -52,6 +52,15 @@ capped AS (SELECT product, pos, tag, label, reserved, eligible <= {CAP} OR reser
           sum((NOT reserved)::INT) OVER (PARTITION BY product ORDER BY pos) AS place FROM marked))"""
 
 
+def examples_sql(union: str, named: str, k: int) -> str:
+    """``block, metric, value`` of the first ``k`` of each kind."""
+    several = lambda block, key, value, rows: f"(SELECT '{block}' AS block, {key} AS metric, string_agg({value}, ' | ' ORDER BY {value}) AS value FROM (SELECT DISTINCT {key}, {value} FROM {rows}) GROUP BY {key} HAVING count(*) > 1 ORDER BY {key} LIMIT {k})"
+    return " UNION ALL ".join([
+        several("conflicting addresses", "node", "path", f"{union} WHERE is_primary"), several("conflicting labels", "node", "label", named),
+        several("shared labels", "label", "node", named), several("several addresses", "node", "path", union),
+    ])
+
+
 def query(name: str, oracle: str | None = None):
     def add(f):
         QUERIES[name] = f
@@ -250,3 +259,12 @@ query("audit_anchor", f"""{GRAPH}, {CURATED}{ADDRESSED}, bad AS (SELECT product,
     (SELECT string_agg(head || '=' || n, ',' ORDER BY n DESC, head) FROM (SELECT head, count(*) AS n FROM bad GROUP BY head ORDER BY n DESC, head LIMIT 20)) AS top_heads""")(
     catalog(lambda c: audits.anchoring(address.primary_chain(c.leaves, c.chains), c.spark.createDataFrame([("en:r0",), ("en:r1",)], "id string"), graph.global_roots(c.nodes, c.edges)))
 )
+query("audit_examples", f"""{GRAPH}, {CURATED}{ADDRESSED}{ENTRIES}, u AS (SELECT product, node, path, is_primary OR product % 50 = 0 AS is_primary FROM unions),
+    named AS (SELECT DISTINCT node, split_part(path, '/', -1) AS label FROM u UNION SELECT tag, CASE WHEN tag LIKE '%3' THEN label || '!' ELSE label END FROM labelled)
+    {examples_sql("u", "named", 5)}
+    UNION ALL (SELECT 'unanchored', product::VARCHAR, path[1] FROM leaves WHERE leaf_rank = 1 AND path[1] <> 'en:r0' AND path[1] <> 'en:r1' ORDER BY product LIMIT 5)""")(
+    catalog(lambda c: audits.examples(
+        c.unions.withColumn("is_primary", F.col("is_primary") | (F.col("product") % 50 == 0)), c.entries.withColumn("label", F.when(F.col("tag").endswith("3"), F.concat("label", F.lit("!"))).otherwise(F.col("label"))),
+        address.unanchored(address.primary_chain(c.leaves, c.chains), c.spark.createDataFrame([("en:r0",), ("en:r1",)], "id string")),
+    ))
+)

@@ -38,6 +38,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 #: Of the thread or task that asks, so that scopes of others are not mixed up with it.
 _scopes: ContextVar[tuple[str, ...]] = ContextVar("scopes", default=())
+#: Names of bucketed tables by the scope that they go with.
+_tables: dict[tuple[str, ...], list[str]] = {}
 
 
 @contextmanager
@@ -50,6 +52,8 @@ def scope(spark: SparkSession) -> Iterator[None]:
     finally:
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tables/{'/'.join(inside)}")
         _scopes.reset(token)
+        for table in _tables.pop(inside, []):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -58,9 +62,17 @@ def scratch(spark: SparkSession, name: str) -> str:
     return "/".join([shared_dir(spark), "tables", *_scopes.get(), f"{name}-{uuid.uuid4().hex}"])
 
 
-def cut(df: DataFrame, name: str = "stage", seen: Observation | None = None, **figures: Column) -> DataFrame:
+def cut(df: DataFrame, name: str = "stage", seen: Observation | None = None, by: str | None = None, **figures: Column) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here and survives lost executors. ``seen``
-    gets ``figures``, aggregates of the rows as they are written."""
-    path = scratch(df.sparkSession, name)
-    (df.observe(seen, *[c.alias(k) for k, c in figures.items()]) if seen is not None else df).write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    gets ``figures``, aggregates of the rows as they are written. With ``by`` the files are buckets of that column, as
+    many as a shuffle has partitions, and later joins and groups on it need no exchange."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    writer = (df.observe(seen, *[c.alias(k) for k, c in figures.items()]) if seen is not None else df).write.option("compression", "zstd")
+    if by is None:
+        writer.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    table = f"bucketed_{uuid.uuid4().hex}"
+    writer.format("parquet").option("path", path).bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), by).saveAsTable(table)
+    if _scopes.get():
+        _tables.setdefault(_scopes.get(), []).append(table)
+    return spark.table(table)

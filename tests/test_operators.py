@@ -403,3 +403,20 @@ def test_scopes_of_threads_do_not_meet(spark):
         t.join()
         assert mine.count() == 5
     assert kept[1] == 3
+
+
+def test_documents_need_no_exchange_on_the_product(spark):
+    """What a run wrote lies in buckets of the product; records went there once."""
+    nodes, edges = graph_of(spark, TAXONOMY)
+    labels = nodes.select("id", graph.display_label(F.col("id"), []).alias("label"))
+    none = spark.createDataFrame([], "tag string, to string")
+    rows = spark.createDataFrame([(record(str(i), list(TAXONOMY)),) for i in range(1, 30)], "value string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        run = extract.Extraction(rows, extract.Taxonomy.of(nodes, edges, labels, extract.Settings()), none, none)
+        docs = run.documents
+        assert docs.count() == 29
+        plan = docs._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning(product" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
