@@ -29,6 +29,35 @@ RERANK = 6
 #: Inner products from this share of the norm up are what the loss is made for.
 THRESHOLD = 0.2
 SUB, CENTROIDS, SWEEPS, STEPS = 2, 16, 3, 5
+#: Where a solution for the centroids is good enough, and the most rounds for one.
+TOLERANCE, ROUNDS = 1e-6, 200
+
+
+def solved(column: np.ndarray, value: np.ndarray, weight: float, left: np.ndarray, right: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """``b`` with ``weight V'V b + left * b = right``, where row i of V has ``value[i]`` in the columns ``column[i]``.
+
+    By conjugate gradients from ``start``, each column scaled by its own diagonal: V is never made, and what is held
+    grows with the dimension and not with its square."""
+
+    def times(b: np.ndarray) -> np.ndarray:
+        ahead = (value * b[column]).sum(1)
+        return weight * np.bincount(column.ravel(), weights=(value * ahead[:, None]).ravel(), minlength=len(left)) + left * b
+
+    scale = 1 / (weight * np.bincount(column.ravel(), weights=(value * value).ravel(), minlength=len(left)) + left)
+    b = start.astype(float)
+    rest = right - times(b)
+    ahead = way = scale * rest
+    size, least = rest @ ahead, (right @ (scale * right)) * TOLERANCE**2
+    for _ in range(ROUNDS):
+        if size <= least:
+            break
+        step = times(way)
+        far = size / (way @ step)
+        b, rest = b + far * way, rest - far * step
+        ahead = scale * rest
+        size, before = rest @ ahead, size
+        way = ahead + size / before * way
+    return b
 
 
 class Quantiser:
@@ -73,15 +102,13 @@ class Quantiser:
         self.books = np.stack([parts[rng.choice(len(x), CENTROIDS, replace=len(x) < CENTROIDS), k] for k in range(self.m)])
         norm = np.maximum(np.sqrt((x * x).sum(1)), 1e-150)
         size, codes = self.m * CENTROIDS * SUB, None
+        along = (parts / norm[:, None, None]).reshape(len(x), -1)
         for _ in range(STEPS):
             codes = self.encode(x, codes)
-            column = (np.arange(self.m) * CENTROIDS + codes)[:, :, None] * SUB + np.arange(SUB)
-            v = np.zeros((len(x), size), np.float32)
-            np.put_along_axis(v, column.reshape(len(x), -1), (parts / norm[:, None, None]).reshape(len(x), -1).astype(np.float32), 1)
-            left = (self.weight - 1) * (v.T @ v).astype(float)
-            left[np.arange(size), np.arange(size)] += np.bincount(column.ravel(), minlength=size) + 1e-3
+            column = ((np.arange(self.m) * CENTROIDS + codes)[:, :, None] * SUB + np.arange(SUB)).reshape(len(x), -1)
+            left = np.bincount(column.ravel(), minlength=size) + 1e-3
             right = self.weight * np.bincount(column.ravel(), weights=parts.ravel(), minlength=size) + 1e-3 * self.books.ravel()
-            self.books = np.linalg.solve(left, right).reshape(self.books.shape)
+            self.books = solved(column, along, self.weight - 1, left, right, self.books.ravel()).reshape(self.books.shape)
         return self
 
     def tables(self, q: np.ndarray) -> np.ndarray:
