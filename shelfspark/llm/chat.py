@@ -50,6 +50,8 @@ MAPPINGS = (
 )
 #: Other names that layouts give to roles.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
+#: Lists of turns with their text fields; these may be lists of content parts.
+TEXTS = frozenset((m.each[0], m.each[2]) for m in MAPPINGS if m.each)
 KNOWN = frozenset(p for m in MAPPINGS for p in m.paths)
 
 
@@ -88,6 +90,29 @@ def _role(x: Column) -> Column:
     return F.coalesce(F.element_at(F.create_map(*[F.lit(v) for kv in ROLES.items() for v in kv]), x), x, F.lit(""))
 
 
+def _kind(x: Column) -> Column:
+    return F.schema_of_variant(x)
+
+
+def _part_texts(x: Column) -> Column:
+    """The texts of a variant list of content parts, each a string or an object with one; null for other parts."""
+    own = lambda p: F.when(_kind(p) == "STRING", p.cast("string")).when(_kind(p).startswith("OBJECT"), F.try_variant_get(p, "$.text", "string"))
+    return F.transform(F.try_variant_get(x, "$", "array<variant>"), own)
+
+
+def _content(x: Column, kind: T.DataType) -> Column:
+    """A turn's text: a string, or the texts of its content parts one after the other."""
+    if isinstance(kind, T.VariantType):
+        return F.when(_kind(x).startswith("ARRAY"), F.array_join(_part_texts(x), "")).otherwise(_text(x))
+    return _text(x)
+
+
+def _turn_type(kind: T.DataType, path: str) -> T.StructType:
+    for p in path.split("."):
+        kind = kind[p].dataType
+    return kind.elementType
+
+
 def canonical_turns(df: DataFrame, record_id: str = "id") -> DataFrame:
     """``conv_id, turn, role, text`` from a table in any declared layout; one row a turn.
 
@@ -103,7 +128,8 @@ def canonical_turns(df: DataFrame, record_id: str = "id") -> DataFrame:
     turns = F.array(*made) if made else None
     if m.each:
         path, role, text = m.each
-        listed = F.transform(F.col(path), lambda x: F.struct(_role(x[role].cast("string")).alias("role"), _text(x[text]).alias("text")))
+        content = _turn_type(df.schema, path)[text].dataType
+        listed = F.transform(F.col(path), lambda x: F.struct(_role(x[role].cast("string")).alias("role"), F.coalesce(_content(x[text], content), F.lit("")).alias("text")))
         turns = listed if turns is None else F.concat(turns, F.coalesce(listed, F.array().cast("array<struct<role:string,text:string>>")))
     out = df.select(F.col(record_id).alias("conv_id"), F.posexplode(turns).alias("turn", "t"))
     return out.select("conv_id", F.col("turn").cast("long").alias("turn"), "t.role", "t.text")
@@ -112,7 +138,9 @@ def canonical_turns(df: DataFrame, record_id: str = "id") -> DataFrame:
 def canonical_json(df: DataFrame, payload: str = "record", record_id: str = "id") -> DataFrame:
     """The same from JSON records whose layouts differ row by row, with ``layout``, the mapping's name.
 
-    Records that are null, not JSON objects or of no known layout give one row
+    A text given as a list of content parts is their texts, one after the other.
+    Records that are null, not JSON objects or of no known layout, as with content
+    parts that hold no text, give one row
     with a null layout, and records of a known one without turns one row with a
     null turn, so that none is lost unseen.
     """
@@ -143,7 +171,13 @@ def _layout(v: Column) -> Column:
         root, field = path.split("[].")
         items = get(v, root, "array<variant>")
         objects = F.forall(items, lambda x: F.coalesce(F.startswith(kind(x), F.lit("OBJECT")) | (kind(x) == "VOID"), F.lit(True)))
-        return F.coalesce(objects & F.exists(items, lambda x: leaf(get(x, field))), F.lit(False))
+        plain = lambda x: leaf(get(x, field)) & ~F.coalesce(kind(get(x, field)).startswith("ARRAY"), F.lit(False))
+        if (root, field) not in TEXTS:
+            return F.coalesce(objects & F.exists(items, lambda x: leaf(get(x, field))), F.lit(False))
+        listed = lambda x: F.coalesce(kind(get(x, field)).startswith("ARRAY"), F.lit(False))
+        texts = lambda x: F.forall(_part_texts(get(x, field)), lambda t: t.isNotNull())
+        known = F.forall(items, lambda x: F.when(listed(x), F.coalesce(texts(x), F.lit(False))).otherwise(F.coalesce(~kind(get(x, field)).startswith("OBJECT"), F.lit(True))))
+        return F.coalesce(objects & known & F.exists(items, lambda x: plain(x) | listed(x)), F.lit(False))
 
     def empty(m: Mapping) -> Column:
         """Whether the mapping's list is there, but null or without elements."""
@@ -168,8 +202,8 @@ def _typed(paths: tuple[str, ...]) -> T.StructType:
             at = at.setdefault(x, {})
         at[leaf] = None
 
-    def kind(t: dict) -> T.StructType:
-        return T.StructType([T.StructField(k.removesuffix("[]"), T.StringType() if v is None else T.ArrayType(kind(v)) if k.endswith("[]") else kind(v)) for k, v in t.items()])
+    def kind(t: dict, at: str = "") -> T.StructType:
+        return T.StructType([T.StructField(k.removesuffix("[]"), T.StringType() if v is None else T.ArrayType(kind(v, at + k.removesuffix("[]"))) if k.endswith("[]") else kind(v, f"{at}{k}.")) if (at, k) not in TEXTS else T.StructField(k, T.VariantType()) for k, v in t.items()])
 
     return kind(tree)
 
