@@ -30,17 +30,28 @@ def _before(rows: DataFrame, **sums: str) -> DataFrame:
     return rows.withColumns({n: F.col(n) + F.col(f"{n}_t") for n in sums}).drop("part_", *[f"{n}_t" for n in sums])
 
 
+def _ends_marked(spark: SparkSession, path: str) -> DataFrame:
+    """Lines that end at braces, with ``brace``: whether one does. The last of a file may not, which shows only in the
+    number of braces that the file has, so these are counted in a second read; the table of files has a row for each."""
+    lines = read_lines(spark, path, until="}")
+    last = lines.groupBy("file").agg(F.count("*").alias("pieces_"), F.max(F.struct("start", "at")).alias("last_"))
+    braces = read_lines(spark, path, until='"').groupBy("file").agg(F.sum(F.length("value") - F.length(F.translate("value", "}", ""))).alias("braces_"))
+    files = cut(last.join(braces, "file").select("file", F.when(F.col("pieces_") > F.col("braces_"), F.col("last_")).alias("open_")), "files")
+    marked = lines.join(F.broadcast(files), "file").withColumn("brace", F.coalesce(F.struct("start", "at") != F.col("open_"), F.lit(True)))
+    return marked.drop("open_")
+
+
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """``row, value, depth``: text up to a closing brace, and the depth after that brace."""
-    rows = in_file_order(read_lines(spark, path, until="}"))
+    """``row, value, brace, depth``: text up to a closing brace or the end of a file, and the depth after that."""
+    rows = in_file_order(_ends_marked(spark, path))
     parts = F.split(F.regexp_replace("value", r"(?s)\\.", ""), '"')
     count = lambda which, x: F.aggregate(F.filter(parts, lambda _, i: i % 2 == which), F.lit(0), lambda n, p: n + F.length(p) - F.length(F.translate(p, x, "")))
-    rows = rows.select("row", "value", (F.size(parts) - 1).alias("quotes"), *[(count(k, "{[") - count(k, "]")).alias(f"step_{k}") for k in (0, 1)])
+    rows = rows.select("row", "value", "brace", (F.size(parts) - 1).alias("quotes"), *[(count(k, "{[") - count(k, "]")).alias(f"step_{k}") for k in (0, 1)])
     rows = _before(rows, said="quotes").withColumns({"open_": F.col("said") % 2, "open_after": (F.col("said") + F.col("quotes")) % 2})
     # Where a string is open at its begin, what is outside of strings is every other part from the second on.
-    step = F.when(F.col("open_") == 0, F.col("step_0")).otherwise(F.col("step_1")) - (1 - F.col("open_after"))
+    step = F.when(F.col("open_") == 0, F.col("step_0")).otherwise(F.col("step_1")) - F.when(F.col("brace"), 1 - F.col("open_after")).otherwise(0)
     rows = _before(rows.withColumn("step", step), depth="step")
-    return cut(rows.select("row", "value", (F.col("depth") + F.col("step")).alias("depth"), (F.col("open_after") == 0).alias("closed")), "pieces")
+    return cut(rows.select("row", "value", "brace", (F.col("depth") + F.col("step")).alias("depth"), (F.col("brace") & (F.col("open_after") == 0)).alias("closed")), "pieces")
 
 
 def entries(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
@@ -53,13 +64,14 @@ def entries(spark: SparkSession, path: str, key: str | None = None) -> DataFrame
     first = pieces.filter(F.trim("value") != "").orderBy("row").select(F.substring(F.regexp_replace("value", r"^\s+", ""), 1, 1).alias("c")).first()
     if first is None or first.c != "{":
         raise ValueError(f"the top level of {path} is not an object")
-    end = pieces.agg(F.max_by("depth", "row").alias("depth"), F.coalesce(F.max((F.col("depth") < 0) & (F.regexp_replace("value", r"\s+", "") != "")), F.lit(False)).alias("more"), F.count_if((F.col("depth") == 0) & F.col("closed")).alias("ends")).first()
+    end = pieces.agg(F.max_by("depth", "row").alias("depth"), F.coalesce(F.max((F.col("depth") < 0) | ((F.col("depth") == 0) & ~F.col("brace") & (F.regexp_replace("value", r"\s+", "") != ""))), F.lit(False)).alias("more"), F.count_if((F.col("depth") == 0) & F.col("closed")).alias("ends")).first()
     if end.more or end.depth > 0 or end.ends != 1:
         raise ValueError(f"the object in {path} {'is followed by more text' if end.more or end.ends > 1 else 'does not end'}")
     depth = 1 if key is None else 2
     ends = F.col("closed") & (F.col("depth") <= depth) & (F.col("depth") >= 0)
     rows = _before(pieces.withColumns({"end": ends.cast("int"), "top": (F.col("closed") & (F.col("depth") <= 1)).cast("int")}), entry="end", place="top")
-    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("row", "value"))), lambda x: x["value"]), "}")
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("row", "value", "brace"))), lambda x: F.concat(x["value"], F.when(x["brace"], "}").otherwise(""))), "")
+    text = F.substr(text, F.lit(1), F.length(text) - 1)
     whole = rows.groupBy("place", "entry").agg(text.alias("text"), F.max_by("depth", "row").alias("depth"), F.max("end").alias("end")).filter("end = 1")
     body = F.concat("text", F.when(F.col("depth") >= depth, "}").otherwise(""))
     if key is not None:

@@ -51,3 +51,13 @@ def test_unions_of_labels_and_nodes_with_separators(spark):
     assert known == {(n, p): m for _, n, p, m in rows}
     every = address.known(leaf.withColumn("whole", F.lit(True)), forms)
     assert every.filter("is_primary").count() == 5
+
+
+def test_an_object_over_several_files(spark, tmp_path):
+    """Files end after a line feed, after a brace, inside an entry and inside a string."""
+    from shelfspark.sources import objects
+
+    for i, text in enumerate(['{"a": {"x": 1}\n', ',"b": {"x": "}"}', ',"c": {"x": [{}, 2], "y": "o{', 'h"}\n', " \n", '}\n']):
+        (tmp_path / f"part-{i}.txt").write_text(text)
+    found = {r.key: r.v for r in objects.entries(spark, str(tmp_path)).select("key", F.to_json("value").alias("v")).collect()}
+    assert found == {"a": '{"x":1}', "b": '{"x":"}"}', "c": '{"x":[{},2],"y":"o{h"}'}
