@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from shelfspark.session import cut, parts_for
+from shelfspark.session import cut, laid, parts_for
 from shelfspark.sources.products import numbered
 
 SEPARATOR = "/"
@@ -51,15 +51,32 @@ def global_roots(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 def depths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``id, depth``: fewest hops from a root. Where only cycles are left, the smallest unreached id becomes a root."""
-    return _depths(nodes, cut(valid_edges(nodes, edges), "edges"))
+    return _depths(*_laid(nodes, edges))
 
 
-def _depths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    ids = nodes.select("id").distinct()
-    roots = ids.join(edges.select(F.col("child").alias("id")), "id", "left_anti").withColumn("depth", F.lit(0))
+def _laid(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Distinct ids in buckets, valid edges in as many of their parent, and the number of these: walks send from
+    parents, so that edges stay where they are."""
+    nodes, edges = nodes.select("id"), edges.select("child", "parent")
+    parts = parts_for(edges.sparkSession, max(nodes.count(), edges.count()))
+    ids = laid(nodes.repartition(parts, "id").distinct(), "ids", "id", parts)
+    hashed = lambda end: ids.withColumnRenamed("id", end).hint("shuffle_hash")
+    known = edges.repartition(parts, "child").join(hashed("child"), "child", "left_semi").repartition(parts, "parent").join(hashed("parent"), "parent", "left_semi")
+    return ids, laid(known.select("child", "parent").distinct(), "edges", "parent", parts), parts
+
+
+def _depths(ids: DataFrame, edges: DataFrame, parts: int) -> DataFrame:
+    children = edges.select(F.col("child").alias("id")).repartition(parts, "id")
+    roots = cut(ids.join(children.hint("shuffle_hash"), "id", "left_anti").withColumn("depth", F.lit(0)), "depth")
+    if roots.isEmpty():
+        return _cyclic_depths(ids, edges, parts)
     seen = _reached(roots, edges)
-    rest = cut(ids.join(seen.select("id"), "id", "left_anti"), "unreached")
-    return seen if rest.isEmpty() else seen.union(_cyclic_depths(rest, edges))
+    rest = laid(ids.join(seen.select("id").repartition(parts, "id").hint("shuffle_hash"), "id", "left_anti"), "unreached", "id", parts)
+    if rest.isEmpty():
+        return seen
+    # What leads to an unreached node is unreached too.
+    inside = edges.repartition(parts, "child").join(rest.withColumnRenamed("id", "child").hint("shuffle_hash"), "child", "left_semi").select("child", "parent")
+    return seen.union(_cyclic_depths(rest, laid(inside.repartition(parts, "parent"), "inside", "parent", parts), parts).select("id", "depth"))
 
 
 def _reached(start: DataFrame, edges: DataFrame) -> DataFrame:
@@ -82,38 +99,36 @@ def _reached(start: DataFrame, edges: DataFrame) -> DataFrame:
             return seen
 
 
-def _cyclic_depths(rest: DataFrame, edges: DataFrame) -> DataFrame:
-    """``id, depth`` of nodes that no root reaches, all cycles at once.
+def _cyclic_depths(rest: DataFrame, inside: DataFrame, parts: int) -> DataFrame:
+    """``id, depth`` of nodes that no root reaches, all cycles at once: ``rest`` in buckets of the id, the edges to them in
+    as many of the parent.
 
     Taking the smallest unreached id as a root, again and again, gives each node to the smallest id that reaches it:
-    were that id itself reached by a smaller one, so were the node. Those smallest ids spread along the edges in rounds,
-    and then one walk starts from all that are their own, inside what each has got."""
-    inside = edges.join(rest.withColumnRenamed("id", "child"), "child", "left_semi").join(rest.withColumnRenamed("id", "parent"), "parent", "left_semi")
-    inside = cut(inside, "inside")
-    labels = cut(rest.select("id", F.col("id").alias("least")), "labels")
+    were that id itself reached by a smaller one, so were the node. So each node seeks the least pair of an id that
+    reaches it and of the hops from there; all nodes on a shortest way have the same id. Only nodes whose pair changed
+    send it on; messages alone move, to the buckets of their node."""
+    best = rest.select("id", F.col("id").alias("least"), F.lit(0).alias("depth"), F.lit(True).alias("changed"))
     while True:
-        spread = labels
-        for _ in range(UNROLL):
-            sent = inside.join(spread.withColumnRenamed("id", "parent"), "parent").select(F.col("child").alias("id"), "least")
-            spread = spread.union(sent).groupBy("id").agg(F.min("least").alias("least"))
-        spread = cut(spread, "labels")
-        changed = not spread.join(labels, ["id", "least"], "left_anti").isEmpty()
-        labels = spread
-        if not changed:
-            break
-    of = lambda end: labels.select(F.col("id").alias(end), F.col("least").alias(f"{end}_least"))
-    own = cut(inside.join(of("child"), "child").join(of("parent"), "parent").filter("child_least = parent_least").select("child", "parent"), "own")
-    return _reached(labels.filter("id = least").select("id", F.lit(0).alias("depth")), own)
+        front = best.filter("changed").select(F.col("id").alias("parent"), "least", "depth")
+        # A node's own id is a bound, so that no greater one is sent to it.
+        sent = inside.join(front.hint("shuffle_hash"), "parent").filter("least < child").select(F.col("child").alias("id"), F.struct("least", (F.col("depth") + 1).alias("depth")).alias("m"))
+        got = sent.repartition(parts, "id").groupBy("id").agg(F.min("m").alias("m"))
+        seen, better = Observation(), F.col("m").isNotNull() & (F.col("m") < F.struct("least", "depth"))
+        rows = best.select("id", "least", "depth").join(got.hint("shuffle_hash"), "id", "left").withColumn("changed", better)
+        rows = rows.select("id", *[F.when(F.col("changed"), F.col("m")[c]).otherwise(F.col(c)).alias(c) for c in ("least", "depth")], "changed")
+        best = laid(rows, "least", "id", parts, seen, changed=F.count_if("changed"))
+        if not seen.get["changed"]:
+            return best.select("id", "depth")
 
 
 def canonical(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``id, depth, parent``: of the parents nearer to a root the nearest, then the smallest; none for roots."""
-    edges = cut(valid_edges(nodes, edges), "edges")
-    depth = _depths(nodes, edges)
-    up = depth.select(F.col("id").alias("parent"), F.col("depth").alias("up"))
-    best = edges.join(up, "parent").join(depth.withColumnRenamed("id", "child"), "child").filter("up < depth")
-    best = best.groupBy(F.col("child").alias("id")).agg(F.min(F.struct("up", "parent"))["parent"].alias("parent"))
-    return depth.join(best, "id", "left")
+    ids, edges, parts = _laid(nodes, edges)
+    depth = _depths(ids, edges, parts)
+    # The nearest parent is nearer than the node or none is.
+    best = edges.join(depth.select(F.col("id").alias("parent"), F.col("depth").alias("up")).hint("shuffle_hash"), "parent").repartition(parts, "child")
+    best = best.groupBy(F.col("child").alias("id")).agg(F.min(F.struct("up", "parent")).alias("best"))
+    return depth.join(best.hint("shuffle_hash"), "id", "left").select("id", "depth", F.when(F.col("best.up") < F.col("depth"), F.col("best.parent")).alias("parent"))
 
 
 def ancestry(canon: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int = 8, app: str = "shelfspark") -> SparkSession:
@@ -34,6 +35,22 @@ def parts_for(spark: SparkSession, rows: int, a_task: int = ROWS_A_TASK) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // a_task))
 
 
+#: Rows of a table that goes to all tasks, at most.
+BROADCAST_ROWS = 1 << 16
+
+
+def meet(rows: DataFrame, facts: DataFrame, on: str, how: str = "left") -> DataFrame:
+    """``rows`` joined to ``facts``, which are counted: few go to all tasks; of many each task gets some and hashes them,
+    so that ``rows`` are not sorted, and a task's memory goes with its facts and not with its rows."""
+    n = facts.count()
+    if n <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(facts), on, how)
+    parts = parts_for(rows.sparkSession, n)
+    if parts > parts_for(rows.sparkSession, 0):
+        facts = facts.repartition(parts, on)
+    return rows.join(facts.hint("shuffle_hash"), on, how)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``; a temporary one is set only where that is unset, on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -85,3 +102,8 @@ def cut(df: DataFrame, name: str = "stage", seen: Observation | None = None, by:
     if _scopes.get():
         _tables.setdefault(_scopes.get(), []).append(table)
     return spark.table(table)
+
+
+def laid(df: DataFrame, name: str, by: str, buckets: int, seen: Observation | None = None, **figures: Column) -> DataFrame:
+    """``cut`` into ``buckets`` of a column, by which ``df`` lies already."""
+    return cut(df, name, seen, by, buckets, **figures)
