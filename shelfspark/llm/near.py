@@ -12,14 +12,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfspark.llm import segment
 from shelfspark.llm.rows import id_key, one_of_each
-from shelfspark.session import cut
+from shelfspark.session import cut, row_batches
 
 WORDS, SIMILARITY = 5, 0.8
 #: Bands are drawn from the samples, so that they overlap; a pair at 0.8 is missed about once in 10,000 times.
@@ -35,6 +34,8 @@ ID_BITS = 44
 #: 0.8 that errs about once in ten million pairs. Without a number there is no sketch and every pair is compared.
 SKETCH, DEVIATIONS = 2048, 5.5
 _DRAWS = 1 << 16
+#: Rows that go to Python at once: executors hold a batch several times over, whole texts or features, and texts have any length.
+BATCH = 512
 U = np.uint64
 
 
@@ -80,11 +81,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([docs] * SLICES, pa.int64()), pa.array(parts, pa.binary())], names=["slice", "docs", "counts"])
 
 
-def _add(rows: pd.DataFrame) -> pd.DataFrame:
+def _add(rows: pa.Table) -> pa.Table:
     total = np.zeros(BUCKETS // SLICES, np.int64)
     for x in rows["counts"]:
-        total += np.frombuffer(x, np.int64)
-    return pd.DataFrame({"slice": rows["slice"].iloc[:1], "docs": [rows["docs"].sum()], "counts": [total.tobytes()]})
+        total += np.frombuffer(x.as_buffer(), np.int64)
+    return pa.table([rows["slice"][:1].combine_chunks(), pa.array([sum(rows["docs"].to_pylist())], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["slice", "docs", "counts"])
 
 
 def weight_table(docs: DataFrame, damp: float = DAMP) -> np.ndarray:
@@ -95,7 +96,7 @@ def weight_table(docs: DataFrame, damp: float = DAMP) -> np.ndarray:
     at every size.
     """
     schema = "slice int, docs long, counts binary"
-    rows = docs.select("text").mapInArrow(_count, schema).groupBy("slice").applyInPandas(_add, schema).orderBy("slice").collect()
+    rows = docs.select("text").mapInArrow(_count, schema).groupBy("slice").applyInArrow(_add, schema).orderBy("slice").collect()
     if not rows:
         return np.ones(BUCKETS, np.float32)
     counts, n = np.concatenate([np.frombuffer(r.counts, np.int64) for r in rows]), rows[0].docs
@@ -177,15 +178,13 @@ def _features(weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(weights.value)
         for batch in batches:
-            rows: list[tuple] = [(b"", b"")] * batch.num_rows
             for at, texts in segment.chunks(batch.column(1).to_pylist()):
                 owner, ids, times = shingle_sets(texts)
                 w = sampler.of(ids, times).astype(np.float32)
                 short = (ids >> U(ID_BITS - 32)).astype(np.uint32)  # sorted as the ids are
                 edge = np.searchsorted(owner, np.arange(len(texts) + 1))
-                for d in range(len(texts)):
-                    rows[at + d] = short[edge[d] : edge[d + 1]].tobytes(), w[edge[d] : edge[d + 1]].tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary()), pa.array([float(np.frombuffer(r[1], np.float32).sum(dtype=float)) for r in rows])], names=["node", "ids", "w", "total"])
+                parts = [slice(edge[d], edge[d + 1]) for d in range(len(texts))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array([short[x].tobytes() for x in parts], pa.binary()), pa.array([w[x].tobytes() for x in parts], pa.binary()), pa.array([float(w[x].sum(dtype=float)) for x in parts], pa.float64())], names=["node", "ids", "w", "total"])
 
     return run
 
@@ -225,12 +224,18 @@ def components(links: DataFrame, before: DataFrame | None = None) -> DataFrame:
     edges = links.select("a", "b").union(links.select("b", "a"))
     if before is not None:
         edges = edges.union(before.select("node", "label")).union(before.select("label", "node"))
-    now = cut(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
-    total = now.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
+
+    def written(labels: DataFrame) -> tuple[DataFrame, int | None]:
+        """The labels, and their sum as they are written; of no rows there may be none."""
+        seen = Observation()
+        labels = cut(labels, "labels", seen, total=F.sum(F.col("label").cast("decimal(38,0)")))
+        return labels, seen.get.get("total")
+
+    now, total = written(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node"))
     while total is not None:
         wider = edges.union(now.select("node", "label")).union(now.select("node", "node")).toDF("a", "b")
-        now = cut(wider.join(now.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("label")).withColumnRenamed("a", "node"), "labels")
-        total, last = now.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0], total
+        last = total
+        now, total = written(wider.join(now.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("label")).withColumnRenamed("a", "node"))
         if total == last:
             break
     return now
@@ -247,13 +252,13 @@ def pivots_of(now: DataFrame, parts: int) -> DataFrame:
 
 def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = [np.frombuffer(x.as_buffer(), np.int32) for x in batch.column(1)]
-        w = [np.frombuffer(x.as_buffer(), np.float32) for x in batch.column(2)]
-        node = np.repeat(batch.column(0).to_numpy(), [len(x) for x in ids])
-        step = 1 << 18
-        ids, w = (np.concatenate(x) if x else np.zeros(0) for x in (ids, w))
-        for i in range(0, len(node), step):
-            yield pa.RecordBatch.from_arrays([pa.array(node[i : i + step], pa.int64()), pa.array(ids[i : i + step], pa.int32()), pa.array(w[i : i + step], pa.float32())], names=["node", "id", "w"])
+        for k in range(0, batch.num_rows, 64):
+            part, step = batch.slice(k, 64), 1 << 18
+            ids = [np.frombuffer(x.as_buffer(), np.int32) for x in part.column(1)]
+            w = np.concatenate([np.frombuffer(x.as_buffer(), np.float32) for x in part.column(2)])
+            node, ids = np.repeat(part.column(0).to_numpy(), [len(x) for x in ids]), np.concatenate(ids)
+            for i in range(0, len(node), step):
+                yield pa.RecordBatch.from_arrays([pa.array(node[i : i + step], pa.int64()), pa.array(ids[i : i + step], pa.int32()), pa.array(w[i : i + step], pa.float32())], names=["node", "id", "w"])
 
 
 def shared_weights(feats: DataFrame) -> DataFrame:
@@ -363,6 +368,12 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY, damp: float = D
     Equal shingle sets are one node from the start, combined before they move;
     64-bit node hashes would merge two of 10^9 texts with a probability of 3 %.
     """
+    with row_batches(docs.sparkSession, BATCH):
+        return _classes(docs, threshold, damp, deviations)
+
+
+def _classes(docs: DataFrame, threshold: float, damp: float, deviations: float | None) -> DataFrame:
+    """``near_classes``; all that runs in Python is written when it returns."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("th"), F.col("text").cast("string"))
     weights = spark.sparkContext.broadcast(weight_table(rows, damp))

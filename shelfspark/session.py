@@ -51,6 +51,18 @@ def meet(rows: DataFrame, facts: DataFrame, on: str, how: str = "left") -> DataF
     return rows.join(facts.hint("shuffle_hash"), on, how)
 
 
+@contextmanager
+def row_batches(spark: SparkSession, most: int) -> Iterator[None]:
+    """Rows go to Python ``most`` at a time, or fewer if the session has less, in what runs inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = int(spark.conf.get(name))
+    spark.conf.set(name, str(min(before, most) if before > 0 else most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, str(before))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``; a temporary one is set only where that is unset, on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
