@@ -1,4 +1,4 @@
-"""What a record and a document cost: fields in one walk, lists of paths made once a node."""
+"""What a record and a document cost: fields in one walk, lists of paths made once a node, tags gathered from lines."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ import re
 from pyspark.sql import functions as F
 
 from shelfspark.operators import address, documents, extract, graph
+from shelfspark.plans import adapters
 from shelfspark.sources import products
 
 
@@ -45,3 +46,24 @@ def test_names_of_attributes_are_put_in_order_once(spark):
     keys = spark.range(1).select(documents.attribute_keys(attrs).alias("k"))
     assert keys.first().k == sorted(["Serving size", "Energy (kcal/100g)", "Allergens", *documents.STAMPS])
     assert "lambda" not in keys._jdf.queryExecution().analyzed().toString()
+
+
+def test_lists_of_tags_are_those_of_the_tags(spark, tmp_path):
+    """Lists of an order's tags, gathered from its lines: repeats, parts that are there twice, orders with no line and
+    with more than a thousand. No window sorts tags, and one exchange takes lines to their order."""
+    lines = [(1, 2, 7, 3), (1, 1, 10, 3), (1, 2, 7, 3), (2, 1, 97, 1), (2, 1, 7, 2), (9, 1, 7, 1), *[(4, i, 7 + 3 * (i % 2), i) for i in range(1, 1102)]]
+    tables = {
+        "lineitem": (lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long"), "part": ([(7,), (10,), (97,), (97,)], "p_partkey long"),
+        "orders": ([(1, 151), (2, 7), (3, 3), (3, 2), (4, 50)], "o_orderkey long, o_custkey long"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    want = {}
+    for r in adapters.table(spark, str(tmp_path), "tags").orderBy("product", "pos", "tag").collect():
+        want.setdefault(r.product, []).append(r.tag)
+    got = adapters.tag_lists(spark, str(tmp_path))
+    assert {r.o_orderkey: r.tags for r in got.collect()} == {k: v for k, v in want.items() if k != 9}
+    assert want[3] == ["en:x2", "en:x3"] and want[2] == ["en:p7", "xx:p97", "xx:p97", "en:s2", "en:s1", "en:s1", "en:x7"] and len(want[4]) == 2203
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("hashpartitioning(l_orderkey") == 1
+    assert "Window" not in plan
